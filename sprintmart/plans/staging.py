@@ -49,6 +49,11 @@ def overwrite_when(df: DataFrame, test: Column, column: str, value: Column) -> D
     return df.withColumn(column, F.when(test, value).otherwise(F.col(column)))
 
 
+def fill_missing(df: DataFrame) -> DataFrame:
+    """0 for every missing scalar, in the spelling of the column's type."""
+    return df.na.fill(0).na.fill("0").na.fill(False)
+
+
 def clean_text(df: DataFrame) -> DataFrame:
     """Trim every string column and turn spelled-out missing values into NULL."""
     strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]

@@ -18,6 +18,7 @@ from sprintmart.queries.registry import Data
 from sprintmart.sources.pages import parse_pages
 
 PAGE = 100
+SPRINT_OPTIONS = 26
 RUN_TS = datetime(2025, 1, 15, 22, 32, tzinfo=timezone.utc)
 FIRST_DAY = date(1995, 1, 1)
 
@@ -261,7 +262,7 @@ def task_records(d: Data) -> DataFrame:
             "Custom Sprints",
             "drop_down",
             F.lit("0"),
-            _options([f"Sprint {n:02d}" for n in range(1, 60)]),
+            _options([f"Sprint {n:02d}" for n in range(1, SPRINT_OPTIONS + 1)]),
         ),
     )
     ms = (F.unix_date("day").cast("bigint") * F.lit(86400000)).cast("string")
