@@ -25,15 +25,16 @@ def left_lookup(
 ) -> DataFrame:
     """Left equi-join that keeps the 1:N fan-out; the right key column is dropped.
 
-    With ``null_safe`` a NULL key matches a NULL key. Without it NULL keys match nothing, and the
-    rows carrying them, often a large share, are spread by the value of ``spread_by`` (a column
-    that varies, by default the first one) rather than sent to the one place NULL hashes to.
+    With ``null_safe`` a NULL key matches a NULL key. Without it NULL keys match nothing; where
+    many rows may lack the key, ``spread_by`` names a column that varies, and they are spread by
+    it rather than sent to the one task NULL hashes to.
     """
     lookup = right.withColumn("_rkey", F.col(right_key)).drop(right_key)
     if null_safe:
         return left.join(lookup, F.col(left_key).eqNullSafe(F.col("_rkey")), "left").drop("_rkey")
-    varied = spread_by or next((c for c in left.columns if c != left_key), left_key)
-    bucket = F.pmod(F.xxhash64(F.col(varied)), F.lit(_NULL_BUCKETS)).cast("string")
+    if spread_by is None:
+        return left.join(lookup, F.col(left_key) == F.col("_rkey"), "left").drop("_rkey")
+    bucket = F.pmod(F.xxhash64(F.col(spread_by)), F.lit(_NULL_BUCKETS)).cast("string")
     stand_in = F.concat(F.lit("\0"), bucket)
     keyed = left.withColumn("_lkey", F.coalesce(F.col(left_key).cast("string"), stand_in))
     lookup = lookup.withColumn("_rkey", F.col("_rkey").cast("string"))

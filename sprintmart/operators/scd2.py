@@ -214,7 +214,7 @@ def flag_changed(dim: DataFrame, stg: DataFrame, spec: Scd2Spec, change: str = "
     per_key = required.groupBy(F.col(staged_key).alias("_staged_key")).agg(
         F.count(mark_stg).alias("_n"), F.min(mark_stg).alias("_lo"), F.max(mark_stg).alias("_hi")
     )
-    joined = left_lookup(active, per_key, dim_key, "_staged_key")
+    joined = left_lookup(active, per_key, dim_key, "_staged_key", spread_by="uuid")
     differs = (F.col("_lo") != mark_dim) | (F.col("_hi") != mark_dim)
     if spec.dim_required:
         differs = differs & F.col(spec.dim_required).isNotNull()

@@ -56,6 +56,12 @@ class Settings:
     sprint_field: str = "Custom Sprints"
     duplicates: str = "error"
     consolidate: bool = False
+    year: int | None = None
+
+    @property
+    def sprint_year(self) -> int:
+        """The year in the sprint dimension's keys; by default that of the run."""
+        return self.year if self.year is not None else self.run_ts.year
 
 
 @dataclass(frozen=True)
@@ -122,7 +128,7 @@ def run_night(landing: Landing, previous: Previous, cfg: Settings) -> Night:
     staged = stage_all(landing, cfg)
     customer, squad, task = merge_all(staged, previous, cfg)
     sprints = cfg.calendar.dimension(spark)
-    year = cfg.run_ts.year
+    year = cfg.sprint_year
     # Only active rows join the fact, so the histories are left out of its plan.
     rows = fact_new_rows(task.written, sprints, customer.written, squad.written, previous.fact, year)
     payload = history_payload(staged.raw_tasks, staged.squads, cfg.team_field, sprint_field=cfg.sprint_field)
@@ -161,7 +167,7 @@ def publish_night(landing: Landing, tables: Tables, cfg: Settings) -> None:
         for n, s in zip(names, (DIM_CUSTOMER, DIM_SQUAD, DIM_TASK))
     )
     sprints = cfg.calendar.dimension(spark)
-    rows = fact_new_rows(task, sprints, customer, squad, previous.fact, cfg.run_ts.year)
+    rows = fact_new_rows(task, sprints, customer, squad, previous.fact, cfg.sprint_year)
     tables.write_appended(rows, "fat_sprint_detail")
     payload = history_payload(raw, squads, cfg.team_field, sprint_field=cfg.sprint_field)
     write_jsonl(payload, tables.path("history_payload", tables.run))
