@@ -251,18 +251,22 @@ def reinsert(stg: DataFrame, changed: DataFrame, spec: Scd2Spec, change: str = "
     return _insertable(spec, rows.join(changed, test, "inner"), F.col("_replaced"))
 
 
-def new_rows(stg: DataFrame, present: DataFrame, spec: Scd2Spec) -> DataFrame:
-    """Staged rows whose key no row of ``present`` has.
+def _seen(spec: Scd2Spec, rows: DataFrame) -> DataFrame:
+    """The keys by which a staged row counts as known."""
+    return rows.filter(F.col(spec.new_probe).isNotNull()).select(F.col(spec.new_key[1]).alias("_have"))
 
-    ``present`` is the dimension with the re-inserted rows. Its keys are first reduced to the
-    staged ones: with a small stage that is a broadcast, and the history's keys are not shuffled.
+
+def unknown_rows(stg: DataFrame, seen: DataFrame, spec: Scd2Spec) -> DataFrame:
+    """Staged rows, still in their staged shape, whose key is not among ``seen``.
+
+    The seen keys are first reduced to the staged ones: beside a small stage that is a broadcast,
+    and the keys of a long history are scanned but not shuffled.
     """
-    staged_key, dim_key = spec.new_key
+    staged_key = spec.new_key[0]
     wanted = stg.filter(F.col(spec.new_required).isNotNull())
-    keys = present.filter(F.col(spec.new_probe).isNotNull()).select(F.col(dim_key).alias("_have"))
     staged = wanted.select(F.col(staged_key).alias("_staged"))
-    have = keys.join(staged, F.col("_have") == F.col("_staged"), "left_semi")
-    return _insertable(spec, absent_from(wanted, have, {staged_key: "_have"}), F.lit(""))
+    have = seen.join(staged, F.col("_have") == F.col("_staged"), "left_semi")
+    return absent_from(wanted, have, {staged_key: "_have"})
 
 
 @dataclass(frozen=True)
@@ -310,16 +314,24 @@ def scd2_parts(
     fresh = keep(
         reinsert(stg, changed_rows(flagged, spec), spec, change), f"{spec.table}_need_updates"
     )
-    seen = list(dict.fromkeys([spec.new_key[1], spec.new_probe]))
-    present = dim.select(*seen).unionByName(fresh.select(*seen))
+    active, history = _split(dim)
+    # Few rows are unknown to the active part, so the history is compared with those only.
+    near = _seen(spec, active).unionByName(_seen(spec, fresh))
+    candidates = keep(unknown_rows(stg, near, spec), f"{spec.table}_candidates")
+    new = _insertable(spec, unknown_rows(candidates, _seen(spec, history), spec), F.lit(""))
     return Scd2Result(
         current=retire(flagged),
         fresh=fresh,
-        new=keep(new_rows(stg, present, spec), f"{spec.table}_new"),
-        history=dim.filter(~F.coalesce(F.col("is_active_register"), F.lit(False))),
+        new=keep(new, f"{spec.table}_new"),
+        history=history,
     )
 
 
+def _split(dim: DataFrame) -> tuple[DataFrame, DataFrame]:
+    active = F.coalesce(F.col("is_active_register"), F.lit(False))
+    return dim.filter(active), dim.filter(~active)
+
+
 def scd2_merge(dim: DataFrame, stg: DataFrame, spec: Scd2Spec, **options) -> DataFrame:
     """The dimension after the merge, as one plan."""
     return scd2_parts(dim, stg, spec, **options).dimension

@@ -72,12 +72,19 @@ class Calendar:
         return next((w for w in self.windows if w.start <= day <= w.end), None)
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        rows = [(w.number, w.start, w.end, w.list_name, w.label, w.dim_name) for w in self.windows]
-        return spark.createDataFrame(
-            rows,
-            "number int, start_date date, end_date date, list_name string, label string,"
-            " dim_name string",
-        ).coalesce(1)
+        """One row per window; literals, so the planner knows how small it is."""
+        rows = [
+            F.struct(
+                F.lit(w.number).alias("number"),
+                F.lit(w.start).alias("start_date"),
+                F.lit(w.end).alias("end_date"),
+                F.lit(w.list_name).alias("list_name"),
+                F.lit(w.label).alias("label"),
+                F.lit(w.dim_name).alias("dim_name"),
+            )
+            for w in self.windows
+        ]
+        return spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
 
     def dimension(self, spark: SparkSession) -> DataFrame:
         """The sprint dimension."""
