@@ -60,16 +60,15 @@ def not_in(left: DataFrame, right: DataFrame, left_key: str, right_key: str) ->
 
     One NULL on the right keeps nothing, and a NULL on the left is kept only when the right side
     is empty. The built-in null-aware join broadcasts the whole right side; here the anti-join is
-    an ordinary one and a scalar subquery supplies the two counts that decide the NULL cases.
+    an ordinary one and a scalar subquery supplies what decides the NULL cases.
     """
-    counts = right.agg(
-        F.struct(
-            F.count(F.lit(1)).alias("rows"), F.count(F.col(right_key)).alias("keys")
-        ).alias("c")
+    rows, keys = F.count(F.lit(1)), F.count(F.col(right_key))
+    # 0: nothing on the right, 1: keys only, 2: at least one NULL.
+    state = right.agg(
+        F.when(rows == 0, F.lit(0)).when(rows == keys, F.lit(1)).otherwise(F.lit(2)).alias("state")
     ).scalar()
-    no_nulls = counts["rows"] == counts["keys"]
-    decided = F.col(left_key).isNotNull() | (counts["rows"] == F.lit(0))
-    return absent_from(left, right, {left_key: right_key}).filter(no_nulls & decided)
+    allowed = F.when(F.col(left_key).isNotNull(), F.lit(1)).otherwise(F.lit(0))
+    return absent_from(left, right, {left_key: right_key}).filter(state <= allowed)
 
 
 def dictionary(mapping: Mapping[str, int | str]) -> Column:

@@ -301,8 +301,8 @@ def scd2_parts(
 ) -> Scd2Result:
     """The merge of a staged table into a dimension.
 
-    ``stage`` may store a named intermediate table and return it read back, so that the rows to
-    re-insert are computed once although the search for new rows reads them too.
+    ``stage`` may store a named intermediate table and return it read back. The two stored are
+    the ones read twice: the rows to re-insert and the rows unknown to the active part.
     """
     keep = stage or (lambda df, _: df)
     if duplicates == "latest":
@@ -322,7 +322,7 @@ def scd2_parts(
     return Scd2Result(
         current=retire(flagged),
         fresh=fresh,
-        new=keep(new, f"{spec.table}_new"),
+        new=new,
         history=history,
     )
 

@@ -21,6 +21,12 @@ SPRINT_DAYS = 14
 SPRINTS_2025 = 25
 
 
+_NO_WINDOWS = (
+    "select 0 as number, date '1970-01-01' as start_date, date '1970-01-01' as end_date,"
+    " 1970 as year where false"
+)
+
+
 @dataclass(frozen=True)
 class Window:
     """One sprint; both days belong to it."""
@@ -72,19 +78,21 @@ class Calendar:
         return next((w for w in self.windows if w.start <= day <= w.end), None)
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        """One row per window; literals, so the planner knows how small it is."""
-        rows = [
-            F.struct(
-                F.lit(w.number).alias("number"),
-                F.lit(w.start).alias("start_date"),
-                F.lit(w.end).alias("end_date"),
-                F.lit(w.list_name).alias("list_name"),
-                F.lit(w.label).alias("label"),
-                F.lit(w.dim_name).alias("dim_name"),
-            )
-            for w in self.windows
-        ]
-        return spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
+        """One row per window: a local table, whose size the planner knows."""
+        rows = ", ".join(
+            f"({w.number}, date '{w.start}', date '{w.end}', {w.year})" for w in self.windows
+        )
+        text = f"select * from values {rows} as w(number, start_date, end_date, year)"
+        frame = spark.sql(text if rows else _NO_WINDOWS)
+        label = sprint_label(F.col("number"))
+        return frame.select(
+            "number",
+            "start_date",
+            "end_date",
+            F.concat(label, F.lit(" - "), F.col("year").cast("string")).alias("list_name"),
+            label.alias("label"),
+            dim_sprint_key(F.col("year"), label).alias("dim_name"),
+        )
 
     def dimension(self, spark: SparkSession) -> DataFrame:
         """The sprint dimension."""

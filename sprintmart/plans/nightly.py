@@ -6,12 +6,12 @@ from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from sprintmart.operators.fact import fact_new_rows
 from sprintmart.operators.history import TeamField, history_payload
 from sprintmart.operators.scd2 import (
     Scd2Result,
+    Scd2Spec,
     Stage,
     customer_spec,
     scd2_parts,
@@ -21,11 +21,16 @@ from sprintmart.operators.scd2 import (
 from sprintmart.operators.sprints import Calendar, current_sprint_rows
 from sprintmart.plans.extracts import customers_extract, squads_extract, tasks_extract
 from sprintmart.plans.staging import stg_customer, stg_squad, stg_task
-from sprintmart.plans.tables import Tables, full_refresh
+from sprintmart.plans.tables import Tables
 from sprintmart.schemas import DIM_CUSTOMER, DIM_SQUAD, DIM_TASK, FACT_SPRINT
 from sprintmart.sources.pages import write_jsonl
 from sprintmart.sources.workspace import TreeRules
 
+DIMENSIONS = ("dim_customer", "dim_squad", "dim_task")
+STAGES = ("stg_customer", "stg_squad", "stg_task")
+FACT_TABLE = "fat_sprint_detail"
+PAYLOAD = "history_payload"
+
 
 @dataclass(frozen=True)
 class Landing:
@@ -95,84 +100,75 @@ class Night:
     payload: DataFrame
 
 
-def stage_all(landing: Landing, cfg: Settings) -> Staged:
+def _as_is(df: DataFrame, _: str) -> DataFrame:
+    return df
+
+
+def stage_all(landing: Landing, cfg: Settings, keep: Stage = _as_is) -> Staged:
     """Extract and clean the three sources."""
     members, teams = squads_extract(landing.members, landing.member_teams, landing.teams)
     bought = customers_extract(
         landing.customers, landing.customer_purchases, landing.purchases, landing.purchase_teams, teams
     )
     found = tasks_extract(landing.workspace, landing.task_pages, cfg.rules)
-    current = current_sprint_rows(found, cfg.calendar, cfg.today)
-    squads = stg_squad(members, cfg.run_ts)
+    current = keep(current_sprint_rows(found, cfg.calendar, cfg.today), "raw_task")
+    squads = keep(stg_squad(members, cfg.run_ts), "stg_squad")
+    customers = stg_customer(bought, cfg.run_ts, cfg.excluded_service, cfg.consolidate)
     return Staged(
-        customers=stg_customer(bought, cfg.run_ts, cfg.excluded_service, cfg.consolidate),
+        customers=keep(customers, "stg_customer"),
         squads=squads,
-        tasks=stg_task(current, squads, cfg.run_ts, cfg.tz),
+        tasks=keep(stg_task(current, squads, cfg.run_ts, cfg.tz), "stg_task"),
         raw_tasks=current,
     )
 
 
-def merge_all(staged: Staged, previous: Previous, cfg: Settings, stage: Stage | None = None) -> tuple[Scd2Result, ...]:
-    """The three dimension merges."""
-    options = {"duplicates": cfg.duplicates, "stage": stage}
-    return (
-        scd2_parts(previous.dim_customer, staged.customers, customer_spec(), **options),
-        scd2_parts(previous.dim_squad, staged.squads, squad_spec(), **options),
-        scd2_parts(previous.dim_task, staged.tasks, task_spec(), **options),
-    )
-
+def run_night(landing: Landing, previous: Previous, cfg: Settings, keep: Stage = _as_is) -> Night:
+    """One night.
 
-def run_night(landing: Landing, previous: Previous, cfg: Settings) -> Night:
-    """One night as lazy plans; nothing is written."""
-    spark = landing.members.sparkSession
-    staged = stage_all(landing, cfg)
-    customer, squad, task = merge_all(staged, previous, cfg)
-    sprints = cfg.calendar.dimension(spark)
-    year = cfg.sprint_year
-    # Only active rows join the fact, so the histories are left out of its plan.
-    rows = fact_new_rows(task.written, sprints, customer.written, squad.written, previous.fact, year)
+    Without ``keep`` the result is a set of lazy plans. ``keep`` may store each named table and
+    return it read back; every step then starts from stored rows and nothing is computed twice.
+    """
+    staged = stage_all(landing, cfg, keep)
+
+    def merge(dim: DataFrame, stg: DataFrame, spec: Scd2Spec) -> tuple[Scd2Result, DataFrame]:
+        merged = scd2_parts(dim, stg, spec, duplicates=cfg.duplicates, stage=keep)
+        return merged, keep(merged.written, spec.table)
+
+    customer, customers = merge(previous.dim_customer, staged.customers, customer_spec())
+    squad, squads = merge(previous.dim_squad, staged.squads, squad_spec())
+    task, tasks = merge(previous.dim_task, staged.tasks, task_spec())
+    sprints = cfg.calendar.dimension(landing.members.sparkSession)
+    # Only active rows join the fact, so the untouched histories stay out of its plan.
+    rows = fact_new_rows(tasks, sprints, customers, squads, previous.fact, cfg.sprint_year)
     payload = history_payload(staged.raw_tasks, staged.squads, cfg.team_field, sprint_field=cfg.sprint_field)
-    return Night(staged, customer, squad, task, sprints, rows, payload)
+    return Night(
+        staged, customer, squad, task, sprints, keep(rows, FACT_TABLE), keep(payload, PAYLOAD)
+    )
 
 
-def publish_night(landing: Landing, tables: Tables, cfg: Settings) -> None:
-    """One night, written: staging tables, dimensions, fact rows and the payload as JSON lines.
+def publish_night(landing: Landing, tables: Tables, cfg: Settings) -> Night:
+    """One night, written below the tables' root.
 
-    Each table is stored before the next step reads it, so a lost executor costs at most one
-    step, and nothing is computed twice. An error stops the run; finished tables of a stopped run
-    are overwritten when it is repeated under the same name.
+    An error stops the run. Each table appears whole or not at all, and repeating the run under
+    the same name overwrites what a stopped one left.
     """
-    spark = tables.spark
-    planned = stage_all(landing, cfg)
-    raw = tables.write_appended(planned.raw_tasks, "raw_task")
-    squads = _refreshed(tables, planned.squads, "stg_squad")
-    staged = Staged(
-        customers=_refreshed(tables, planned.customers, "stg_customer"),
-        squads=squads,
-        tasks=_refreshed(tables, stg_task(raw, squads, cfg.run_ts, cfg.tz), "stg_task"),
-        raw_tasks=raw,
-    )
     previous = Previous(
         dim_customer=tables.read_dimension("dim_customer", DIM_CUSTOMER),
         dim_squad=tables.read_dimension("dim_squad", DIM_SQUAD),
         dim_task=tables.read_dimension("dim_task", DIM_TASK),
-        fact=tables.read_appended("fat_sprint_detail", FACT_SPRINT),
+        fact=tables.read_appended(FACT_TABLE, FACT_SPRINT),
     )
-    merged = merge_all(staged, previous, cfg, tables.stage)
-    names = ("dim_customer", "dim_squad", "dim_task")
-    for name, result in zip(names, merged):
-        tables.write_dimension(result.written, name)
-    customer, squad, task = (
-        tables.read_dimension(n, s, including=True).filter(F.col("is_active_register"))
-        for n, s in zip(names, (DIM_CUSTOMER, DIM_SQUAD, DIM_TASK))
-    )
-    sprints = cfg.calendar.dimension(spark)
-    rows = fact_new_rows(task, sprints, customer, squad, previous.fact, cfg.sprint_year)
-    tables.write_appended(rows, "fat_sprint_detail")
-    payload = history_payload(raw, squads, cfg.team_field, sprint_field=cfg.sprint_field)
-    write_jsonl(payload, tables.path("history_payload", tables.run))
-
 
-def _refreshed(tables: Tables, df: DataFrame, name: str) -> DataFrame:
-    full_refresh(df, tables.path(name))
-    return tables.spark.read.schema(df.schema).parquet(tables.path(name))
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        if name in DIMENSIONS:
+            return tables.write_dimension(df, name)
+        if name in STAGES:
+            return tables.write_stage(df, name)
+        if name == FACT_TABLE:
+            return tables.write_appended(df, name)
+        if name == PAYLOAD:
+            write_jsonl(df, tables.path(name, tables.run))
+            return df
+        return tables.stage(df, name)
+
+    return run_night(landing, previous, cfg, keep)
