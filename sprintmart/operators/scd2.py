@@ -18,6 +18,7 @@ from sprintmart.functions.keys import stable_id
 from sprintmart.functions.numbers import safe_int
 from sprintmart.functions.text import initcap_delims, trim_ws
 from sprintmart.operators.joins import absent_from, left_lookup
+from sprintmart.operators.skew import distinct_after_join
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
@@ -199,7 +200,9 @@ def flag_changed(dim: DataFrame, stg: DataFrame, spec: Scd2Spec, change: str = "
     A missing import date on either side is no change. ``change='attributes'`` compares the
     tracked columns instead of the import date. Staged rows are reduced to one per key before the
     join, so they cannot multiply dimension rows; with ``duplicates='error'`` a changed row
-    matched by several of them fails the job.
+    matched by several of them fails the job. None of them lacks the key, so the null-safe join
+    matches no missing keys; it is what lets adaptive execution split a hot key of the dimension,
+    because its hashed expression differs from the aggregate's.
     """
     staged_key, dim_key = spec.match_key
     active = dim.filter(F.col("is_active_register"))
@@ -214,7 +217,7 @@ def flag_changed(dim: DataFrame, stg: DataFrame, spec: Scd2Spec, change: str = "
     per_key = required.groupBy(F.col(staged_key).alias("_staged_key")).agg(
         F.count(mark_stg).alias("_n"), F.min(mark_stg).alias("_lo"), F.max(mark_stg).alias("_hi")
     )
-    joined = left_lookup(active, per_key, dim_key, "_staged_key", spread_by="uuid")
+    joined = left_lookup(active, per_key, dim_key, "_staged_key", null_safe=True)
     differs = (F.col("_lo") != mark_dim) | (F.col("_hi") != mark_dim)
     if spec.dim_required:
         differs = differs & F.col(spec.dim_required).isNotNull()
@@ -265,8 +268,8 @@ def unknown_rows(stg: DataFrame, seen: DataFrame, spec: Scd2Spec) -> DataFrame:
     staged_key = spec.new_key[0]
     wanted = stg.filter(F.col(spec.new_required).isNotNull())
     staged = wanted.select(F.col(staged_key).alias("_staged"))
-    have = seen.join(staged, F.col("_have") == F.col("_staged"), "left_semi")
-    return absent_from(wanted, have, {staged_key: "_have"})
+    have = distinct_after_join(seen.join(staged, F.col("_have") == F.col("_staged"), "left_semi"))
+    return absent_from(wanted, have, {staged_key: "_have"}, left_skew=True)
 
 
 @dataclass(frozen=True)

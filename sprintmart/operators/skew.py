@@ -32,6 +32,16 @@ def hot_keys(counts: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -
     return counts.filter(F.col("n") >= hot_rows).select(*keys)
 
 
+def distinct_after_join(df: DataFrame) -> DataFrame:
+    """The distinct rows of a join's result, leaving the join free to be split.
+
+    A plain distinct makes use of the join's partitioning, and adaptive execution does not split
+    a join whose partitioning is used. Grouping by the row as one value does not ask for it; a
+    hot key still shrinks to one row per task before the shuffle.
+    """
+    return df.select(F.struct(*df.columns).alias("row")).distinct().select("row.*")
+
+
 def same_keys(pairs: Sequence[tuple[str, str]], null_safe: bool) -> Column:
     tests = [
         F.col(a).eqNullSafe(F.col(b)) if null_safe else F.col(a) == F.col(b) for a, b in pairs

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sprintmart.operators.joins import left_lookup
+from sprintmart.operators.joins import left_fan_out, left_lookup
 from sprintmart.sources.pages import bridge, existing_only, page_records
 from sprintmart.sources.workspace import TreeRules, select_lists, tasks_of_lists
 
@@ -21,7 +21,7 @@ def squads_extract(
     teams = teams_extract(team_pages)
     members = page_records(member_pages)
     links = existing_only(bridge(member_team_pages, "squad_id", "team_id"), teams, "team_id", "team_id")
-    linked = left_lookup(members, links.withColumn("_member", F.col("squad_id")), "id", "_member")
+    linked = left_fan_out(members, links.withColumn("_member", F.col("squad_id")), "id", "_member")
     return left_lookup(linked, teams, "team_id", "team_id", spread_by="id"), teams
 
 
@@ -43,11 +43,13 @@ def customers_extract(
         "createdAt", "updatedAt", "archived", "hs_object_id"
     ).withColumnRenamed("id", "purchase_id")
     purchase_teams = bridge(purchase_team_pages, "_purchase", "team_id")
-    with_team = left_lookup(purchases, purchase_teams, "purchase_id", "_purchase")
+    with_team = left_fan_out(purchases, purchase_teams, "purchase_id", "_purchase")
     with_name = left_lookup(with_team, teams, "team_id", "team_id", spread_by="purchase_id").drop("team_id")
     links = bridge(customer_purchase_pages, "_customer", "associated_object_1_id")
-    linked = left_lookup(customers, links, "id", "_customer")
-    return left_lookup(linked, with_name, "associated_object_1_id", "purchase_id", spread_by="id")
+    linked = left_fan_out(customers, links, "id", "_customer")
+    return left_fan_out(
+        linked, with_name, "associated_object_1_id", "purchase_id", left_unique=False
+    )
 
 
 def tasks_extract(workspace: DataFrame, task_pages: DataFrame, rules: TreeRules) -> DataFrame:

@@ -18,7 +18,7 @@ from sprintmart.queries.registry import Data
 from sprintmart.sources.pages import parse_pages
 
 PAGE = 100
-SPRINT_OPTIONS = 26
+SPRINT_OPTIONS = 12
 RUN_TS = datetime(2025, 1, 15, 22, 32, tzinfo=timezone.utc)
 FIRST_DAY = date(1995, 1, 1)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sprintmart.functions.numbers import round_half_even
 from sprintmart.operators import consolidate as con
 from sprintmart.operators.dedup import duplicate_rows, unique_rows
-from sprintmart.operators.joins import absent_from, left_lookup, look_up, not_in
+from sprintmart.operators.joins import absent_from, left_fan_out, left_lookup, look_up, not_in
 from sprintmart.operators.skew import hot_keys, key_counts, salted_join
 from sprintmart.operators.sprints import (
     Calendar,
@@ -40,8 +40,8 @@ def left_fanout(d: Data) -> DataFrame:
     customers = d.customer.select("c_custkey")
     orders = d.orders.select("o_custkey", "o_orderkey")
     lines = d.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    bought = left_lookup(customers, orders, "c_custkey", "o_custkey")
-    return left_lookup(bought, lines, "o_orderkey", "l_orderkey")
+    bought = left_fan_out(customers, orders, "c_custkey", "o_custkey")
+    return left_fan_out(bought, lines, "o_orderkey", "l_orderkey")
 
 
 @query(

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from sprintmart.operators.consolidate import CUSTOMER_CONSOLIDATION, consolidate
 from sprintmart.operators.dedup import duplicate_rows, unique_rows
-from sprintmart.operators.joins import absent_from, left_lookup, look_up, not_in
-from sprintmart.operators.skew import hot_keys, key_counts, salted_join
+from sprintmart.operators.joins import absent_from, left_fan_out, left_lookup, look_up, not_in
+from sprintmart.operators.skew import distinct_after_join, hot_keys, key_counts, salted_join
 
 
 def frame(spark, values, name):
@@ -51,6 +51,61 @@ def test_left_lookup_keeps_fan_out_and_missing_keys(spark, spread):
     assert tuples(got) == sorted([(1, "a", 1), (1, "a", 2), (2, None, None), (3, "b", 3), (4, "z", None)], key=repr)
 
 
+@pytest.mark.parametrize("left_unique", [True, False])
+def test_left_fan_out_equals_the_left_join(spark, left_unique):
+    left = spark.createDataFrame([(1, "a"), (2, None), (3, "b"), (4, "z"), (5, "a")], "i int, k string")
+    right = spark.createDataFrame([("a", 1)] * 3 + [("b", 3), (None, 4)], "rk string, v int")
+    got = left_fan_out(left, right, "k", "rk", left_unique)
+    want = left.join(right, left.k == right.rk, "left").drop("rk")
+    assert got.columns == want.columns and tuples(got) == tuples(want)
+
+
+@pytest.mark.parametrize("left_skew", [True, False])
+def test_absent_from_with_skew(spark, left_skew):
+    left = skewed(spark, 600)
+    right = spark.createDataFrame([(k,) for k in [7, 7, 8, None, *range(100, 300)]], "rk int")
+    got = absent_from(left, right, {"k": "rk"}, left_skew)
+    assert tuples(got) == tuples(left.join(right, left.k == right.rk, "left_anti"))
+
+
+def forced_skew(spark, make, size="20KB"):
+    """The final plan of a query under thresholds a small skew exceeds."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = make()
+        df = df.agg(F.bit_xor(F.xxhash64(*df.columns)))
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return plan.split("== Initial Plan")[0]
+
+
+def test_hot_keys_are_split_on_either_side(spark):
+    many = spark.range(0, 60000, 1, 12).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("int").alias("k"),
+        F.sha2(F.col("id").cast("string"), 256).alias("v"),
+    )
+    few = spark.range(0, 60000, 1, 12).select(F.col("id").cast("int").alias("rk"), F.md5(F.col("id").cast("string")).alias("w"))
+    assert "skew=true" in forced_skew(spark, lambda: left_lookup(many, few, "k", "rk"))
+    assert "skew=true" in forced_skew(spark, lambda: left_fan_out(few, many, "rk", "k"))
+    assert "skew=true" in forced_skew(spark, lambda: absent_from(many, few.filter("rk > 50000"), {"k": "rk"}, True))
+    plain = many.select("k").join(few.select("rk"), F.col("k") == F.col("rk"), "left_semi")
+    assert "skew=true" in forced_skew(spark, lambda: distinct_after_join(plain), "1KB")
+    assert "skew=true" not in forced_skew(spark, plain.distinct, "1KB")
+    assert distinct_after_join(plain).count() == 40000
+
+
 def test_left_lookup_null_safe(spark):
     left = spark.createDataFrame([(1, "a"), (2, None)], "i int, k string")
     right = spark.createDataFrame([("a", 1), (None, 4)], "k string, v int")
