@@ -25,7 +25,7 @@ def left_lookup(
 ) -> DataFrame:
     """Left equi-join that keeps the 1:N fan-out; the right key column is dropped.
 
-    Meant for a right side with few rows per key; :func:`left_fan_out` is for the other case.
+    Meant for a right side with few rows per key; ``skew.left_fan_out`` is for the other case.
     With ``null_safe`` a NULL key matches a NULL key. Without it NULL keys match nothing; where
     many rows may lack the key, ``spread_by`` names a column that varies, and they are spread by
     it rather than sent to the one task NULL hashes to.
@@ -44,22 +44,6 @@ def left_lookup(
     return keyed.join(lookup, test, "left").drop("_lkey", "_rkey")
 
 
-def left_fan_out(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_unique: bool = True
-) -> DataFrame:
-    """Left equi-join for a right side that may hold very many rows of one key.
-
-    Adaptive execution never splits the right side of a left join, but either side of an inner
-    one. So the matches come from an inner join and the left rows without a match, which need the
-    distinct right keys only, from an anti-join. ``left_unique`` says that a key occurs few times
-    on the left; both joins then share one shuffle of it.
-    """
-    lookup = right.withColumn("_rkey", F.col(right_key)).drop(right_key)
-    matched = left.join(lookup, F.col(left_key) == F.col("_rkey"), "inner").drop("_rkey")
-    unmatched = absent_from(left, right, {left_key: right_key}, left_skew=not left_unique)
-    return matched.unionByName(unmatched, allowMissingColumns=True)
-
-
 def absent_from(
     left: DataFrame, right: DataFrame, pairs: Mapping[str, str], left_skew: bool = False
 ) -> DataFrame:

@@ -1,7 +1,7 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-Adaptive execution splits a skewed partition only when the shuffle feeds the join directly. It
-cannot when an aggregate sits between them, so that case is salted here: hot keys are found by a
+Adaptive execution splits a skewed partition only when the shuffle feeds the join directly, and in
+a left join only on the left. The other cases are salted here: hot keys are found by a
 pre-aggregated count, their rows are spread over ``salts`` sub-keys by the partition they come
 from, and the few matching rows of the other side are repeated once per sub-key.
 """
@@ -92,3 +92,44 @@ def salted_join(
         F.col("_salt") == F.col("_right_salt")
     )
     return left_salted.join(right_salted, test, how).drop("_salt", "_right_salt", *right_keys)
+
+
+def left_fan_out(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    hot_rows: int = HOT_ROWS,
+    salts: int = SALTS,
+) -> DataFrame:
+    """Left equi-join for a right side that may hold very many rows of one key.
+
+    The hot keys of the right side are salted and the left rows that have them repeated. A hot key
+    has matches, so a repeated left row without one in its sub-key is surplus and dropped; every
+    other left row without a match stays. Repeating costs less than the result: a hot key yields
+    at least ``hot_rows`` rows per left row, against ``salts`` copies. Left rows without a key
+    match nothing and are spread. The right key column is dropped.
+    """
+    if hot_rows < salts:
+        raise ValueError("hot_rows must not be below salts")
+    hot = hot_keys(key_counts(right, [right_key]), [right_key], hot_rows)
+    flagged = F.broadcast(hot.select(F.col(right_key).alias("_hot_key"), F.lit(True).alias("_hot")))
+    spread = F.pmod(F.spark_partition_id(), F.lit(salts))
+
+    def tag(df: DataFrame, key: str) -> DataFrame:
+        return df.join(flagged, F.col(key) == F.col("_hot_key"), "left").drop("_hot_key")
+
+    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+    left_salts = (
+        F.when(F.col("_hot"), every_salt)
+        .when(F.col(left_key).isNull(), F.array(-F.lit(1) - spread))
+        .otherwise(F.array(F.lit(0)))
+    )
+    left_salted = tag(left, left_key).withColumn("_salt", F.explode(left_salts))
+    lookup = right.withColumn("_rkey", F.col(right_key)).drop(right_key)
+    right_salt = F.when(F.col("_hot"), spread).otherwise(F.lit(0))
+    right_salted = tag(lookup, "_rkey").withColumn("_right_salt", right_salt).drop("_hot")
+    test = (F.col(left_key) == F.col("_rkey")) & (F.col("_salt") == F.col("_right_salt"))
+    joined = left_salted.join(right_salted, test, "left")
+    needed = F.col("_hot").isNull() | F.col("_rkey").isNotNull()
+    return joined.filter(needed).drop("_hot", "_salt", "_right_salt", "_rkey")

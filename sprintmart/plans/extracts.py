@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sprintmart.operators.joins import left_fan_out, left_lookup
+from sprintmart.operators.joins import left_lookup
+from sprintmart.operators.skew import left_fan_out
 from sprintmart.sources.pages import bridge, existing_only, page_records
 from sprintmart.sources.workspace import TreeRules, select_lists, tasks_of_lists
 
@@ -34,22 +35,27 @@ def customers_extract(
 ) -> DataFrame:
     """Customers with their purchases and each purchase's teams, one row per combination.
 
-    The purchase side is completed first, so the purchases are read and shuffled once.
+    The associations may be many per record, so they are joined by ``left_fan_out``; records are
+    looked up by their own id.
     """
     customers = page_records(customer_pages).drop(
         "archived", "customer_status", "hs_createdate", "hs_lastmodifieddate"
     )
-    purchases = page_records(purchase_pages).drop(
-        "createdAt", "updatedAt", "archived", "hs_object_id"
-    ).withColumnRenamed("id", "purchase_id")
-    purchase_teams = bridge(purchase_team_pages, "_purchase", "team_id")
-    with_team = left_fan_out(purchases, purchase_teams, "purchase_id", "_purchase")
-    with_name = left_lookup(with_team, teams, "team_id", "team_id", spread_by="purchase_id").drop("team_id")
-    links = bridge(customer_purchase_pages, "_customer", "associated_object_1_id")
+    purchases = (
+        page_records(purchase_pages)
+        .drop("createdAt", "updatedAt", "archived", "hs_object_id")
+        .withColumnRenamed("id", "purchase_id")
+    )
+    link = "associated_object_1_id"
+    links = bridge(customer_purchase_pages, "_customer", link)
     linked = left_fan_out(customers, links, "id", "_customer")
-    return left_fan_out(
-        linked, with_name, "associated_object_1_id", "purchase_id", left_unique=False
+    bought = left_lookup(
+        linked, purchases.withColumn("_found", F.col("purchase_id")), link, "purchase_id", spread_by="id"
     )
+    # Only a delivered purchase has teams.
+    purchase_teams = bridge(purchase_team_pages, "_purchase", "team_id")
+    staffed = left_fan_out(bought, purchase_teams, "_found", "_purchase")
+    return left_lookup(staffed, teams, "team_id", "team_id", spread_by="id").drop("team_id", "_found")
 
 
 def tasks_extract(workspace: DataFrame, task_pages: DataFrame, rules: TreeRules) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from sprintmart.operators.fact import fact_new_rows
 from sprintmart.operators.history import TeamField, history_payload
@@ -22,8 +22,20 @@ from sprintmart.operators.sprints import Calendar, current_sprint_rows
 from sprintmart.plans.extracts import customers_extract, squads_extract, tasks_extract
 from sprintmart.plans.staging import stg_customer, stg_squad, stg_task
 from sprintmart.plans.tables import Tables
-from sprintmart.schemas import DIM_CUSTOMER, DIM_SQUAD, DIM_TASK, FACT_SPRINT
-from sprintmart.sources.pages import write_jsonl
+from sprintmart.schemas import (
+    ASSOCIATION_PAGE,
+    CUSTOMER_PAGE,
+    DIM_CUSTOMER,
+    DIM_SQUAD,
+    DIM_TASK,
+    FACT_SPRINT,
+    MEMBER_PAGE,
+    PURCHASE_PAGE,
+    TASK_PAGE,
+    TEAM_PAGE,
+    WORKSPACE,
+)
+from sprintmart.sources.pages import read_pages, write_jsonl
 from sprintmart.sources.workspace import TreeRules
 
 DIMENSIONS = ("dim_customer", "dim_squad", "dim_task")
@@ -47,6 +59,22 @@ class Landing:
     task_pages: DataFrame
 
 
+def read_landing(spark: SparkSession, root: str) -> Landing:
+    """The pages landed as JSON lines below ``root``, one folder per kind."""
+    schemas_of = {
+        "members": MEMBER_PAGE,
+        "member_teams": ASSOCIATION_PAGE,
+        "teams": TEAM_PAGE,
+        "customers": CUSTOMER_PAGE,
+        "customer_purchases": ASSOCIATION_PAGE,
+        "purchases": PURCHASE_PAGE,
+        "purchase_teams": ASSOCIATION_PAGE,
+        "workspace": WORKSPACE,
+        "task_pages": TASK_PAGE,
+    }
+    return Landing(**{n: read_pages(spark, f"{root}/{n}", s) for n, s in schemas_of.items()})
+
+
 @dataclass(frozen=True)
 class Settings:
     """Everything that differs between installations and runs."""

@@ -1,7 +1,6 @@
 """Inputs derived from the test tables.
 
-The flat statements run in both engines; Spark then nests them into the landed JSON forms. Pages
-hold at most ``PAGE`` records because they are cut by a unique, dense id.
+The flat statements run in both engines; Spark then nests them into the landed JSON forms.
 """
 
 from __future__ import annotations
@@ -143,28 +142,38 @@ from {orders}
 CATEGORIES = ("Customer task", "bug-fix", "Data pipeline", "improvement")
 
 
-def page_text(flat: DataFrame, properties: Sequence[str], by: str = "id") -> DataFrame:
-    """Records nested as the landed search pages, one JSON text per page."""
+def page_number() -> Column:
+    """Numbers rows so that no page exceeds ``PAGE``, whatever values repeat in them."""
+    return F.floor(F.monotonically_increasing_id() / F.lit(PAGE))
+
+
+def page_text(flat: DataFrame, properties: Sequence[str], full: bool = False) -> DataFrame:
+    """Records nested as landed search pages, one JSON text per page.
+
+    A page holds one record, which takes no shuffle, or with ``full`` up to ``PAGE``.
+    """
     record = F.struct(
         "id", "createdAt", "updatedAt", "archived", F.struct(*properties).alias("properties")
     )
-    number = F.floor(F.col(by).cast("bigint") / F.lit(PAGE))
-    after = F.struct(F.struct((number + 1).cast("string").alias("after")).alias("next"))
-    pages = flat.select(number.alias("number"), record.alias("record"), after.alias("paging"))
-    nested = pages.groupBy("number").agg(
-        F.collect_list("record").alias("results"), F.any_value("paging").alias("paging")
-    )
-    return nested.select(F.to_json(F.struct("results", "paging")).alias("page"))
+    after = F.struct(F.struct(F.lit("next-page").alias("after")).alias("next")).alias("paging")
+    if full:
+        numbered = flat.select(page_number().alias("number"), record.alias("record"))
+        pages = numbered.groupBy("number").agg(F.collect_list("record").alias("results"))
+    else:
+        pages = flat.select(F.array(record).alias("results"))
+    return pages.select(F.to_json(F.struct("results", after)).alias("page"))
 
 
-def association_text(flat: DataFrame) -> DataFrame:
+def association_text(flat: DataFrame, full: bool = False) -> DataFrame:
     """(record, linked) pairs nested as association pages, one JSON text per page."""
-    number = F.floor(F.col("linked") / F.lit(PAGE))
-    linked = F.struct(F.col("linked").cast("string").alias("id"))
-    pages = flat.select("record", number.alias("number"), linked.alias("linked"))
-    nested = pages.groupBy("record", "number").agg(F.collect_list("linked").alias("results"))
     record = F.col("record").cast("string").alias("record_id")
-    return nested.select(F.to_json(F.struct(record, "results")).alias("page"))
+    linked = F.struct(F.col("linked").cast("string").alias("id"))
+    if full:
+        numbered = flat.select(record, page_number().alias("number"), linked.alias("linked"))
+        pages = numbered.groupBy("record_id", "number").agg(F.collect_list("linked").alias("results"))
+    else:
+        pages = flat.select(record, F.array(linked).alias("results"))
+    return pages.select(F.to_json(F.struct("record_id", "results")).alias("page"))
 
 
 def _pages(flat: DataFrame, schema) -> DataFrame:
@@ -172,8 +181,8 @@ def _pages(flat: DataFrame, schema) -> DataFrame:
     return parse_pages(page_text(flat, properties), "page", schema)
 
 
-def _associations(flat: DataFrame) -> DataFrame:
-    return parse_pages(association_text(flat), "page", schemas.ASSOCIATION_PAGE)
+def associations(flat: DataFrame, full: bool = False) -> DataFrame:
+    return parse_pages(association_text(flat, full), "page", schemas.ASSOCIATION_PAGE)
 
 
 def member_pages(d: Data) -> DataFrame:
@@ -193,15 +202,15 @@ def purchase_pages(d: Data) -> DataFrame:
 
 
 def member_team_pages(d: Data) -> DataFrame:
-    return _associations(d.sql(MEMBER_TEAMS))
+    return associations(d.sql(MEMBER_TEAMS))
 
 
 def customer_purchase_pages(d: Data) -> DataFrame:
-    return _associations(d.sql(CUSTOMER_PURCHASES))
+    return associations(d.sql(CUSTOMER_PURCHASES))
 
 
 def purchase_team_pages(d: Data) -> DataFrame:
-    return _associations(d.sql(PURCHASE_TEAMS))
+    return associations(d.sql(PURCHASE_TEAMS))
 
 
 def _options(names: Sequence[str]) -> Column:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from sprintmart.functions.numbers import round_half_even
 from sprintmart.operators import consolidate as con
 from sprintmart.operators.dedup import duplicate_rows, unique_rows
-from sprintmart.operators.joins import absent_from, left_fan_out, left_lookup, look_up, not_in
-from sprintmart.operators.skew import hot_keys, key_counts, salted_join
+from sprintmart.operators.joins import absent_from, left_lookup, look_up, not_in
+from sprintmart.operators.skew import hot_keys, key_counts, left_fan_out, salted_join
 from sprintmart.operators.sprints import (
     Calendar,
     Window,

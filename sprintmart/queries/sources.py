@@ -29,7 +29,7 @@ def page_explode(d: Data) -> DataFrame:
     """Pages landed as files, read with a fixed schema, one row per record."""
     properties = d.sql(fx.CUSTOMERS).columns[4:]
     path = scratch_dir(d.spark, "pages")
-    fx.page_text(d.sql(fx.CUSTOMERS), properties).write.text(path)
+    fx.page_text(d.sql(fx.CUSTOMERS), properties, full=True).write.text(path)
     return page_records(read_pages(d.spark, path, schemas.CUSTOMER_PAGE))
 
 
@@ -38,7 +38,8 @@ def page_explode(d: Data) -> DataFrame:
     "select cast(o_custkey as varchar) as customer_id, cast(o_orderkey as varchar) as purchase_id from orders",
 )
 def bridge_explode(d: Data) -> DataFrame:
-    return bridge(fx.customer_purchase_pages(d), "customer_id", "purchase_id")
+    pages = fx.associations(d.sql(fx.CUSTOMER_PURCHASES), full=True)
+    return bridge(pages, "customer_id", "purchase_id")
 
 
 @query(
@@ -71,7 +72,8 @@ def tree_filter(d: Data) -> DataFrame:
     """Spaces are regions, folders nations, lists customers; a document holds one page of lists."""
     item = F.struct(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"))
     lists = (
-        d.customer.groupBy("c_nationkey", F.floor(F.col("c_custkey") / F.lit(fx.PAGE)).alias("page"))
+        d.customer.withColumn("page", fx.page_number())
+        .groupBy("c_nationkey", "page")
         .agg(F.collect_list(item).alias("lists"))
         .join(d.nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(d.region, F.col("n_regionkey") == F.col("r_regionkey"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -30,14 +31,16 @@ def build_session(app: str = "sprintmart", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="sprintmart-")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path for one run's intermediate tables, in the folder the cluster shares.
 
     The shared folder is ``spark.checkpoint.dir``; only a session without that setting (a test
     on one machine) falls back to a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="sprintmart-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _local_root()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -8,8 +8,14 @@ from pyspark.sql import functions as F
 
 from sprintmart.operators.consolidate import CUSTOMER_CONSOLIDATION, consolidate
 from sprintmart.operators.dedup import duplicate_rows, unique_rows
-from sprintmart.operators.joins import absent_from, left_fan_out, left_lookup, look_up, not_in
-from sprintmart.operators.skew import distinct_after_join, hot_keys, key_counts, salted_join
+from sprintmart.operators.joins import absent_from, left_lookup, look_up, not_in
+from sprintmart.operators.skew import (
+    distinct_after_join,
+    hot_keys,
+    key_counts,
+    left_fan_out,
+    salted_join,
+)
 
 
 def frame(spark, values, name):
@@ -51,15 +57,33 @@ def test_left_lookup_keeps_fan_out_and_missing_keys(spark, spread):
     assert tuples(got) == sorted([(1, "a", 1), (1, "a", 2), (2, None, None), (3, "b", 3), (4, "z", None)], key=repr)
 
 
-@pytest.mark.parametrize("left_unique", [True, False])
-def test_left_fan_out_equals_the_left_join(spark, left_unique):
-    left = spark.createDataFrame([(1, "a"), (2, None), (3, "b"), (4, "z"), (5, "a")], "i int, k string")
-    right = spark.createDataFrame([("a", 1)] * 3 + [("b", 3), (None, 4)], "rk string, v int")
-    got = left_fan_out(left, right, "k", "rk", left_unique)
+@pytest.mark.parametrize("hot_rows", [3, 100, 10**6])
+def test_left_fan_out_equals_the_left_join(spark, hot_rows):
+    left = spark.createDataFrame(
+        [(1, 7), (2, None), (3, 8), (4, 999), (5, 7), (6, None), (7, 300)], "i int, k int"
+    )
+    right = skewed(spark, 600).select(F.col("k").alias("rk"), F.col("i").alias("v"))
+    got = left_fan_out(left, right, "k", "rk", hot_rows, salts=3)
     want = left.join(right, left.k == right.rk, "left").drop("rk")
     assert got.columns == want.columns and tuples(got) == tuples(want)
 
 
+def test_left_fan_out_splits_the_hot_key(spark):
+    left = spark.createDataFrame([(1, 7), (2, 9)], "i int, k int")
+    right = skewed(spark).select(F.col("k").alias("rk"), F.col("i").alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = left_fan_out(left, right, "k", "rk", 1000, salts=8)
+        parts = got.filter("k = 7").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(parts) > 2
+    with pytest.raises(ValueError):
+        left_fan_out(left, right, "k", "rk", 10, salts=20)
+
+
 @pytest.mark.parametrize("left_skew", [True, False])
 def test_absent_from_with_skew(spark, left_skew):
     left = skewed(spark, 600)
@@ -98,7 +122,6 @@ def test_hot_keys_are_split_on_either_side(spark):
     )
     few = spark.range(0, 60000, 1, 12).select(F.col("id").cast("int").alias("rk"), F.md5(F.col("id").cast("string")).alias("w"))
     assert "skew=true" in forced_skew(spark, lambda: left_lookup(many, few, "k", "rk"))
-    assert "skew=true" in forced_skew(spark, lambda: left_fan_out(few, many, "rk", "k"))
     assert "skew=true" in forced_skew(spark, lambda: absent_from(many, few.filter("rk > 50000"), {"k": "rk"}, True))
     plain = many.select("k").join(few.select("rk"), F.col("k") == F.col("rk"), "left_semi")
     assert "skew=true" in forced_skew(spark, lambda: distinct_after_join(plain), "1KB")

@@ -12,8 +12,17 @@ from sprintmart.operators.fact import fact_new_rows
 from sprintmart.operators.history import TeamField, history_payload
 from sprintmart.operators.sprints import CALENDAR_2025
 from sprintmart.plans import staging
-from sprintmart.plans.nightly import Landing, Settings, publish_night, run_night, Previous
+from sprintmart.plans.nightly import (
+    Landing,
+    Previous,
+    Settings,
+    publish_night,
+    read_landing,
+    run_night,
+    stage_all,
+)
 from sprintmart.plans.tables import RUN_FORMAT, Tables, full_refresh
+from sprintmart.session import scratch_dir
 from sprintmart.sources.pages import parse_pages
 from sprintmart.sources.workspace import TreeRules
 
@@ -245,6 +254,37 @@ def test_three_nights(spark, tmp_path):
     assert third.expired_stages(RUN_TS) == []
 
 
+def test_landed_files_are_read(spark, tmp_path):
+    fields = [
+        {"name": "Reviewer", "value": [{"username": "rita"}, {"username": "tom"}]},
+        {"name": "Customer", "value": 1, "type_config": {"options": [{"name": "x"}, {"name": "Svc"}]}},
+        {"name": "Quality Score", "value": "8"},
+    ]
+    docs = {
+        "members": {"results": [{"id": "m1", "properties": {"member_email": "a@x"}}]},
+        "member_teams": {"record_id": "m1", "results": []},
+        "teams": {"results": []},
+        "customers": {"results": []},
+        "customer_purchases": {"record_id": "c", "results": []},
+        "purchases": {"results": []},
+        "purchase_teams": {"record_id": "p", "results": []},
+        "workspace": {"spaces": [{"name": "Main", "folders": [{"name": "Sprints", "lists": [{"id": "l", "name": "Sprint 7 - 2025"}]}]}]},
+        "task_pages": {"list_id": "l", "tasks": [{"id": "1", "list": {"name": "Sprint 7 - 2025"}, "custom_fields": fields}]},
+    }
+    for name, doc in docs.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "page.json").write_text(json.dumps(doc))
+    staged = stage_all(read_landing(spark, str(tmp_path)), settings())
+    row = staged.tasks.first()
+    assert (row.reviewer, row.customer, row.quality_score, row.sprint) == ("rita", "Svc", "8", "Sprint 7")
+    assert staged.squads.count() == 1 and staged.customers.count() == 0
+
+
+def test_scratch_follows_the_session(spark):
+    assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir") + "/x-")
+    assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
+
+
 def test_an_unfinished_run_is_not_read(spark, tmp_path):
     old = tables(spark, tmp_path, RUN_TS)
     publish_night(landing(spark), old, settings())
@@ -269,8 +309,6 @@ def test_night_outside_every_sprint_is_empty(spark):
 
 def test_consolidated_staging_has_one_row_per_customer(spark):
     cfg = settings()
-    from sprintmart.plans.nightly import stage_all
-
     pages = landing(spark)
     plain = stage_all(pages, cfg).customers
     assert tuples(plain.select("task_id", "service_name", "team")) == [("c1", "Svc", "Red")]
