@@ -10,11 +10,11 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sprintmart import schemas
 from sprintmart.operators.sprints import sprint_index
 from sprintmart.queries.registry import Data
-from sprintmart.sources.pages import parse_pages
 
 PAGE = 100
 SPRINT_OPTIONS = 12
@@ -147,42 +147,43 @@ def page_number() -> Column:
     return F.floor(F.monotonically_increasing_id() / F.lit(PAGE))
 
 
-def page_text(flat: DataFrame, properties: Sequence[str], full: bool = False) -> DataFrame:
-    """Records nested as landed search pages, one JSON text per page.
-
-    A page holds one record, which takes no shuffle, or with ``full`` up to ``PAGE``.
-    """
-    record = F.struct(
+def _record(properties: Sequence[str]) -> Column:
+    return F.struct(
         "id", "createdAt", "updatedAt", "archived", F.struct(*properties).alias("properties")
     )
+
+
+_LINKED = "linked"
+
+
+def page_text(flat: DataFrame, properties: Sequence[str]) -> DataFrame:
+    """Records nested as landed search pages, one JSON text per page of up to ``PAGE``."""
     after = F.struct(F.struct(F.lit("next-page").alias("after")).alias("next")).alias("paging")
-    if full:
-        numbered = flat.select(page_number().alias("number"), record.alias("record"))
-        pages = numbered.groupBy("number").agg(F.collect_list("record").alias("results"))
-    else:
-        pages = flat.select(F.array(record).alias("results"))
+    numbered = flat.select(page_number().alias("number"), _record(properties).alias("record"))
+    pages = numbered.groupBy("number").agg(F.collect_list("record").alias("results"))
     return pages.select(F.to_json(F.struct("results", after)).alias("page"))
 
 
-def association_text(flat: DataFrame, full: bool = False) -> DataFrame:
+def association_text(flat: DataFrame) -> DataFrame:
     """(record, linked) pairs nested as association pages, one JSON text per page."""
     record = F.col("record").cast("string").alias("record_id")
-    linked = F.struct(F.col("linked").cast("string").alias("id"))
-    if full:
-        numbered = flat.select(record, page_number().alias("number"), linked.alias("linked"))
-        pages = numbered.groupBy("record_id", "number").agg(F.collect_list("linked").alias("results"))
-    else:
-        pages = flat.select(record, F.array(linked).alias("results"))
+    linked = F.struct(F.col(_LINKED).cast("string").alias("id"))
+    numbered = flat.select(record, page_number().alias("number"), linked.alias("linked"))
+    pages = numbered.groupBy("record_id", "number").agg(F.collect_list("linked").alias("results"))
     return pages.select(F.to_json(F.struct("record_id", "results")).alias("page"))
 
 
-def _pages(flat: DataFrame, schema) -> DataFrame:
-    properties = schema["results"].dataType.elementType["properties"].dataType.fieldNames()
-    return parse_pages(page_text(flat, properties), "page", schema)
+def _pages(flat: DataFrame, schema: T.StructType) -> DataFrame:
+    """Search pages as the reader delivers them, one record each, which takes no shuffle."""
+    results = schema["results"].dataType
+    properties = results.elementType["properties"].dataType.fieldNames()
+    return flat.select(F.array(_record(properties)).cast(results).alias("results"))
 
 
-def associations(flat: DataFrame, full: bool = False) -> DataFrame:
-    return parse_pages(association_text(flat, full), "page", schemas.ASSOCIATION_PAGE)
+def associations(flat: DataFrame) -> DataFrame:
+    """Association pages as the reader delivers them, one link each."""
+    linked = F.array(F.struct(F.col(_LINKED).cast("string").alias("id")))
+    return flat.select(F.col("record").cast("string").alias("record_id"), linked.alias("results"))
 
 
 def member_pages(d: Data) -> DataFrame:

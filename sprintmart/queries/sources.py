@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sprintmart import schemas
-from sprintmart.plans.extracts import customers_extract, squads_extract
+from sprintmart.plans.extracts import customers_extract, squads_extract, teams_extract
 from sprintmart.plans.tables import full_refresh
 from sprintmart.queries import fixtures as fx
 from sprintmart.queries.registry import Data, plain, query
@@ -29,7 +29,7 @@ def page_explode(d: Data) -> DataFrame:
     """Pages landed as files, read with a fixed schema, one row per record."""
     properties = d.sql(fx.CUSTOMERS).columns[4:]
     path = scratch_dir(d.spark, "pages")
-    fx.page_text(d.sql(fx.CUSTOMERS), properties, full=True).write.text(path)
+    fx.page_text(d.sql(fx.CUSTOMERS), properties).write.text(path)
     return page_records(read_pages(d.spark, path, schemas.CUSTOMER_PAGE))
 
 
@@ -38,7 +38,8 @@ def page_explode(d: Data) -> DataFrame:
     "select cast(o_custkey as varchar) as customer_id, cast(o_orderkey as varchar) as purchase_id from orders",
 )
 def bridge_explode(d: Data) -> DataFrame:
-    pages = fx.associations(d.sql(fx.CUSTOMER_PURCHASES), full=True)
+    text = fx.association_text(d.sql(fx.CUSTOMER_PURCHASES))
+    pages = parse_pages(text, "page", schemas.ASSOCIATION_PAGE)
     return bridge(pages, "customer_id", "purchase_id")
 
 
@@ -177,9 +178,7 @@ left join nation n on n.n_nationkey = t.linked
 
 
 def customers(d: Data) -> DataFrame:
-    teams = fx.team_pages(d).select(F.explode("results").alias("r")).select(
-        F.col("r.id").alias("team_id"), F.col("r.properties.squad_name").alias("squad_name")
-    )
+    teams = teams_extract(fx.team_pages(d))
     return customers_extract(
         fx.customer_pages(d),
         fx.customer_purchase_pages(d),
