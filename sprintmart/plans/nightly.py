@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -91,6 +91,14 @@ class Settings:
     consolidate: bool = False
     year: int | None = None
 
+    @property
+    def tree_rules(self) -> TreeRules:
+        """The rules with the current sprint's list, unless they name one themselves."""
+        window = self.calendar.current(self.today)
+        if self.rules.sprint_list is not None or window is None:
+            return self.rules
+        return replace(self.rules, sprint_list=window.list_name)
+
     @property
     def sprint_year(self) -> int:
         """The year in the sprint dimension's keys; by default that of the run."""
@@ -138,7 +146,7 @@ def stage_all(landing: Landing, cfg: Settings, keep: Stage = _as_is) -> Staged:
     bought = customers_extract(
         landing.customers, landing.customer_purchases, landing.purchases, landing.purchase_teams, teams
     )
-    found = tasks_extract(landing.workspace, landing.task_pages, cfg.rules)
+    found = tasks_extract(landing.workspace, landing.task_pages, cfg.tree_rules)
     current = keep(current_sprint_rows(found, cfg.calendar, cfg.today), "raw_task")
     squads = keep(stg_squad(members, cfg.run_ts), "stg_squad")
     customers = stg_customer(bought, cfg.run_ts, cfg.excluded_service, cfg.consolidate)

@@ -22,6 +22,7 @@ from sprintmart.plans.nightly import (
     stage_all,
 )
 from sprintmart.plans.tables import RUN_FORMAT, Tables, full_refresh
+from sprintmart.run import calendar_of, run, settings_of
 from sprintmart.session import scratch_dir
 from sprintmart.sources.pages import parse_pages
 from sprintmart.sources.workspace import TreeRules
@@ -254,6 +255,24 @@ def test_three_nights(spark, tmp_path):
     assert third.expired_stages(RUN_TS) == []
 
 
+SPEC = {
+    "calendar": {"first_day": "2025-01-07", "sprints": 25},
+    "sprint_space": "Main",
+    "sprint_folder": "Sprints",
+    "team_field": {"id": "f", "name": "Team", "options": {"Red": 0}},
+    "tz": "America/Sao_Paulo",
+}
+
+
+def test_settings_file():
+    cfg = settings_of(SPEC, RUN_TS)
+    assert cfg.calendar == CALENDAR_2025 and cfg.sprint_year == 2025
+    assert cfg.tree_rules.sprint_list == "Sprint 7 - 2025"
+    assert settings_of(SPEC, datetime(2026, 6, 1, tzinfo=timezone.utc)).tree_rules.sprint_list is None
+    odd = {"windows": [[1, "2025-01-07", "2025-01-09", 2025], [2, "2025-02-01", "2025-02-03", 2025]]}
+    assert calendar_of(odd).current(date(2025, 2, 2)).label == "Sprint 2"
+
+
 def test_landed_files_are_read(spark, tmp_path):
     fields = [
         {"name": "Reviewer", "value": [{"username": "rita"}, {"username": "tom"}]},
@@ -269,7 +288,7 @@ def test_landed_files_are_read(spark, tmp_path):
         "purchases": {"results": []},
         "purchase_teams": {"record_id": "p", "results": []},
         "workspace": {"spaces": [{"name": "Main", "folders": [{"name": "Sprints", "lists": [{"id": "l", "name": "Sprint 7 - 2025"}]}]}]},
-        "task_pages": {"list_id": "l", "tasks": [{"id": "1", "list": {"name": "Sprint 7 - 2025"}, "custom_fields": fields}]},
+        "task_pages": {"list_id": "l", "tasks": [{"id": "1", "name": "T", "list": {"name": "Sprint 7 - 2025"}, "custom_fields": fields}]},
     }
     for name, doc in docs.items():
         (tmp_path / name).mkdir()
@@ -278,6 +297,9 @@ def test_landed_files_are_read(spark, tmp_path):
     row = staged.tasks.first()
     assert (row.reviewer, row.customer, row.quality_score, row.sprint) == ("rita", "Svc", "8", "Sprint 7")
     assert staged.squads.count() == 1 and staged.customers.count() == 0
+    written = run(spark, str(tmp_path), str(tmp_path / "mart"), SPEC, RUN_TS)
+    dim = written.read_dimension("dim_task", schemas.DIM_TASK, including=True)
+    assert [(r.task_id, r.reviewer, r.quality_score) for r in dim.collect()] == [("1", "rita", 8)]
 
 
 def test_scratch_follows_the_session(spark):
