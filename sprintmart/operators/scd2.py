@@ -194,7 +194,13 @@ def latest_per_key(stg: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return best.unionByName(stg.filter(F.col(key).isNull()))
 
 
-def flag_changed(dim: DataFrame, stg: DataFrame, spec: Scd2Spec, change: str = "import_date", duplicates: str = "error") -> DataFrame:
+def flag_changed(
+    dim: DataFrame,
+    stg: DataFrame,
+    spec: Scd2Spec,
+    change: str = "import_date",
+    duplicates: str = "error",
+) -> DataFrame:
     """The active dimension rows with ``_changed``: staged under the same key by another import.
 
     A missing import date on either side is no change. ``change='attributes'`` compares the

@@ -2,8 +2,9 @@
 
 Adaptive execution splits a skewed partition only when the shuffle feeds the join directly, and in
 a left join only on the left. The other cases are salted here: hot keys are found by a
-pre-aggregated count, their rows are spread over ``salts`` sub-keys by the partition they come
-from, and the few matching rows of the other side are repeated once per sub-key.
+pre-aggregated count, each gets as many sub-keys as it has times ``HOT_ROWS`` rows, its rows are
+spread over them by the partition they come from, and the few matching rows of the other side are
+repeated once per sub-key. A recomputed task gives its rows the same sub-keys again.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ from pyspark.sql import functions as F
 # A key counts as hot from this many rows on. The hot keys of N rows number at most
 # N / HOT_ROWS, which is what bounds the broadcast below: 100,000 keys for 10^11 rows.
 HOT_ROWS = 1_000_000
-SALTS = 256
 
 
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -26,10 +26,19 @@ def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The keys with at least ``hot_rows`` rows: at most one per ``hot_rows`` input rows."""
+    """(keys, salts) of the keys with at least ``hot_rows`` rows: one per ``hot_rows`` at most."""
     if hot_rows < 2:
         raise ValueError("hot_rows must be at least 2")
-    return counts.filter(F.col("n") >= hot_rows).select(*keys)
+    salts = F.ceil(F.col("n") / F.lit(hot_rows)).cast("int").alias("salts")
+    return counts.filter(F.col("n") >= hot_rows).select(*keys, salts)
+
+
+def _spread(salts: Column) -> Column:
+    return F.pmod(F.spark_partition_id(), salts)
+
+
+def _every(salts: Column) -> Column:
+    return F.sequence(F.lit(0), salts - F.lit(1))
 
 
 def distinct_after_join(df: DataFrame) -> DataFrame:
@@ -56,37 +65,34 @@ def salted_join(
     how: str,
     hot: DataFrame,
     null_safe: bool = False,
-    salts: int = SALTS,
 ) -> DataFrame:
     """``left`` joined with ``right`` on ``pairs`` of (left, right) columns, hot keys salted.
 
-    ``hot`` holds the hot keys under the left names. ``how`` is any type that keeps or drops
-    left rows: inner, left, left_semi or left_anti. The right key columns are dropped; the other
-    right columns must not clash with left ones.
+    ``hot`` is a result of :func:`hot_keys` over the left columns. ``how`` is any type that keeps
+    or drops left rows: inner, left, left_semi or left_anti. The right key columns are dropped;
+    the other right columns must not clash with left ones.
     """
     if how not in {"inner", "left", "left_semi", "left_anti"}:
         raise ValueError(f"unsupported join type {how!r}")
     names = [a for a, _ in pairs]
     marks = [f"_hot_{i}" for i in range(len(names))]
-    flagged = F.broadcast(
-        hot.select(*[F.col(n).alias(m) for n, m in zip(names, marks)], F.lit(True).alias("_hot"))
-    )
+    renamed = [F.col(n).alias(m) for n, m in zip(names, marks)]
+    flagged = F.broadcast(hot.select(*renamed, F.col("salts").alias("_salts")))
 
     def tag(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         test = same_keys(list(zip(columns, marks)), null_safe)
         return df.join(flagged, test, "left").drop(*marks)
 
-    spread = F.pmod(F.spark_partition_id(), F.lit(salts))
-    left_salt = F.when(F.col("_hot"), spread).otherwise(F.lit(-1))
-    left_salted = tag(left, names).withColumn("_salt", left_salt).drop("_hot")
+    salts = F.col("_salts")
+    left_salt = F.when(salts.isNotNull(), _spread(salts)).otherwise(F.lit(-1))
+    left_salted = tag(left, names).withColumn("_salt", left_salt).drop("_salts")
 
     right_keys = [f"_right_{i}" for i in range(len(names))]
     others = [c for c in right.columns if c not in {b for _, b in pairs}]
     right_named = right.select(*[F.col(b).alias(k) for (_, b), k in zip(pairs, right_keys)], *others)
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    right_salts = F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(-1)))
+    right_salts = F.when(salts.isNotNull(), _every(salts)).otherwise(F.array(F.lit(-1)))
     right_salted = (
-        tag(right_named, right_keys).withColumn("_right_salt", F.explode(right_salts)).drop("_hot")
+        tag(right_named, right_keys).withColumn("_right_salt", F.explode(right_salts)).drop("_salts")
     )
     test = same_keys(list(zip(names, right_keys)), null_safe) & (
         F.col("_salt") == F.col("_right_salt")
@@ -95,41 +101,33 @@ def salted_join(
 
 
 def left_fan_out(
-    left: DataFrame,
-    right: DataFrame,
-    left_key: str,
-    right_key: str,
-    hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Left equi-join for a right side that may hold very many rows of one key.
 
     The hot keys of the right side are salted and the left rows that have them repeated. A hot key
     has matches, so a repeated left row without one in its sub-key is surplus and dropped; every
-    other left row without a match stays. Repeating costs less than the result: a hot key yields
-    at least ``hot_rows`` rows per left row, against ``salts`` copies. Left rows without a key
-    match nothing and are spread. The right key column is dropped.
+    other left row without a match stays. Repeating costs little beside the result: one copy per
+    ``hot_rows`` rows it yields. Left rows without a key match nothing and are spread. The right
+    key column is dropped.
     """
-    if hot_rows < salts:
-        raise ValueError("hot_rows must not be below salts")
     hot = hot_keys(key_counts(right, [right_key]), [right_key], hot_rows)
-    flagged = F.broadcast(hot.select(F.col(right_key).alias("_hot_key"), F.lit(True).alias("_hot")))
-    spread = F.pmod(F.spark_partition_id(), F.lit(salts))
+    flagged = F.broadcast(hot.select(F.col(right_key).alias("_hot_key"), F.col("salts").alias("_salts")))
 
     def tag(df: DataFrame, key: str) -> DataFrame:
         return df.join(flagged, F.col(key) == F.col("_hot_key"), "left").drop("_hot_key")
 
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+    salts = F.col("_salts")
     left_salts = (
-        F.when(F.col("_hot"), every_salt)
-        .when(F.col(left_key).isNull(), F.array(-F.lit(1) - spread))
+        F.when(salts.isNotNull(), _every(salts))
+        .when(F.col(left_key).isNull(), F.array(-F.lit(1) - F.spark_partition_id()))
         .otherwise(F.array(F.lit(0)))
     )
     left_salted = tag(left, left_key).withColumn("_salt", F.explode(left_salts))
     lookup = right.withColumn("_rkey", F.col(right_key)).drop(right_key)
-    right_salt = F.when(F.col("_hot"), spread).otherwise(F.lit(0))
-    right_salted = tag(lookup, "_rkey").withColumn("_right_salt", right_salt).drop("_hot")
+    right_salt = F.when(salts.isNotNull(), _spread(salts)).otherwise(F.lit(0))
+    right_salted = tag(lookup, "_rkey").withColumn("_right_salt", right_salt).drop("_salts")
     test = (F.col(left_key) == F.col("_rkey")) & (F.col("_salt") == F.col("_right_salt"))
     joined = left_salted.join(right_salted, test, "left")
-    needed = F.col("_hot").isNull() | F.col("_rkey").isNotNull()
-    return joined.filter(needed).drop("_hot", "_salt", "_right_salt", "_rkey")
+    needed = F.col("_salts").isNull() | F.col("_rkey").isNotNull()
+    return joined.filter(needed).drop("_salts", "_salt", "_right_salt", "_rkey")

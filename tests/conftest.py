@@ -15,7 +15,8 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[4]",
-        spark__ui__showConsoleProgress="false", spark__sql__shuffle__partitions="4",
+        spark__ui__showConsoleProgress="false",
+        spark__sql__shuffle__partitions="4",
         spark__driver__memory="4g",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )

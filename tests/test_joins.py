@@ -63,7 +63,7 @@ def test_left_fan_out_equals_the_left_join(spark, hot_rows):
         [(1, 7), (2, None), (3, 8), (4, 999), (5, 7), (6, None), (7, 300)], "i int, k int"
     )
     right = skewed(spark, 600).select(F.col("k").alias("rk"), F.col("i").alias("v"))
-    got = left_fan_out(left, right, "k", "rk", hot_rows, salts=3)
+    got = left_fan_out(left, right, "k", "rk", hot_rows)
     want = left.join(right, left.k == right.rk, "left").drop("rk")
     assert got.columns == want.columns and tuples(got) == tuples(want)
 
@@ -74,14 +74,14 @@ def test_left_fan_out_splits_the_hot_key(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        got = left_fan_out(left, right, "k", "rk", 1000, salts=8)
+        got = left_fan_out(left, right, "k", "rk", 250)
         parts = got.filter("k = 7").groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(parts) > 2
     with pytest.raises(ValueError):
-        left_fan_out(left, right, "k", "rk", 10, salts=20)
+        left_fan_out(left, right, "k", "rk", 1)
 
 
 @pytest.mark.parametrize("left_skew", [True, False])
@@ -160,9 +160,9 @@ def skewed(spark, n=6000):
 def test_salted_join_equals_the_plain_one(spark, how):
     left = skewed(spark)
     right = spark.createDataFrame([(7, "x"), (7, "y"), (8, "z"), (None, "n")], "rk int, v string")
-    hot = hot_keys(key_counts(left, ["k"]), ["k"], 1000)
-    assert tuples(hot) == [(7,)]
-    got = salted_join(left, right, [("k", "rk")], how, hot, salts=5)
+    hot = hot_keys(key_counts(left, ["k"]), ["k"], 450)
+    assert [(r.k, r.salts) for r in hot.collect()] == [(7, 5)]
+    got = salted_join(left, right, [("k", "rk")], how, hot)
     want = left.join(right, left.k == right.rk, how).drop("rk")
     assert got.columns == want.columns and tuples(got) == tuples(want)
 
@@ -170,8 +170,8 @@ def test_salted_join_equals_the_plain_one(spark, how):
 def test_salted_join_splits_the_hot_key(spark):
     left = skewed(spark)
     right = spark.createDataFrame([(7, "x")], "rk int, v string")
-    hot = hot_keys(key_counts(left, ["k"]), ["k"], 1000)
-    got = salted_join(left, right, [("k", "rk")], "inner", hot, salts=8)
+    hot = hot_keys(key_counts(left, ["k"]), ["k"], 250)
+    got = salted_join(left, right, [("k", "rk")], "inner", hot)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

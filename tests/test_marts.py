@@ -253,6 +253,7 @@ def test_three_nights(spark, tmp_path):
     assert third.committed("dim_task") == [first.run, second.run]
     assert len(third.expired_stages(later + timedelta(days=1, seconds=-1))) > 0
     assert third.expired_stages(RUN_TS) == []
+    assert third.superseded("dim_task") == [f"{first.path('dim_task', first.run)}/is_active_register=true"]
 
 
 SPEC = {
