@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import plan_of, tuples
+from conftest import forced_skew, plan_of, tuples
 from pyspark.sql import functions as F
 
 from sprintmart.operators.consolidate import CUSTOMER_CONSOLIDATION, consolidate
@@ -92,29 +92,6 @@ def test_absent_from_with_skew(spark, left_skew):
     assert tuples(got) == tuples(left.join(right, left.k == right.rk, "left_anti"))
 
 
-def forced_skew(spark, make, size="20KB"):
-    """The final plan of a query under thresholds a small skew exceeds."""
-    conf = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": size,
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
-        "spark.sql.shuffle.partitions": "8",
-    }
-    before = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-    try:
-        df = make()
-        df = df.agg(F.bit_xor(F.xxhash64(*df.columns)))
-        df.collect()
-        plan = df._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    return plan.split("== Initial Plan")[0]
-
-
 def test_hot_keys_are_split_on_either_side(spark):
     many = spark.range(0, 60000, 1, 12).select(
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("int").alias("k"),

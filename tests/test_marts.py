@@ -4,7 +4,7 @@ import json
 from datetime import date, datetime, timedelta, timezone
 
 import pytest
-from conftest import plan_of, tuples
+from conftest import forced_skew, plan_of, tuples
 from pyspark.sql import functions as F
 
 from sprintmart import schemas
@@ -92,6 +92,35 @@ def test_year_is_a_parameter(spark):
     assert fact_new_rows(*star(spark, [task("a")]), 2024).count() == 0
 
 
+def test_a_hot_customer_and_member_are_split(spark):
+    """A third of the tasks belongs to one service and half of them to one member."""
+    key = F.col("id")
+    text = lambda c: F.sha2(c.cast("string"), 256)
+    tasks = spark.range(0, 40000, 1, 8).select(
+        text(key).alias("uuid"),
+        F.lit("Sprint 7").alias("sprint"),
+        F.when(key % 3 == 0, "hot").otherwise(text(key % 5000)).alias("customer"),
+        F.when(key % 2 == 0, "hot@x").otherwise(text(key % 3000)).alias("assignee_email"),
+        F.lit("Done").alias("status"),
+        F.lit(1).cast("bigint").alias("points_estimate"),
+        F.lit(1).cast("bigint").alias("points_estimated_rolled_up"),
+        F.lit(True).alias("is_active_register"),
+    )
+
+    def dim(n, name, hot):
+        i = F.col("id")
+        named = F.when(i == n, hot).otherwise(text(i)).alias(name)
+        return spark.range(0, n + 1, 1, 8).select(text(i).alias("uuid"), named, F.lit(True).alias("is_active_register"))
+
+    customers, squads = dim(5000, "service_name", "hot"), dim(3000, "email", "hot@x")
+    loaded = spark.createDataFrame([], "task_uuid string")
+    load = lambda: fact_new_rows(
+        tasks, CALENDAR_2025.dimension(spark), customers, squads, loaded, 2025
+    )
+    assert forced_skew(spark, load).count("skew=true") >= 2
+    assert load().count() == 40000
+
+
 # --- payload -------------------------------------------------------------------------------
 
 TEAM = TeamField("f-team", "Team", {"Red": 0, "Blue": 1})

@@ -6,7 +6,7 @@ import random
 from datetime import date, datetime
 
 import pytest
-from conftest import plan_of, tuples
+from conftest import forced_skew, plan_of, tuples
 from pyspark.sql import functions as F
 
 from sprintmart import schemas
@@ -284,3 +284,21 @@ def test_hot_staged_key_is_reduced_before_the_shuffle(spark):
     assert got.count() == 201
     assert "Window" not in plan_of(got) and "partial_max_by" in plan_of(got)
     assert got.filter(F.col("service_name") == "hot").count() == 1
+
+
+def test_a_hot_dimension_key_is_split(spark):
+    """A third of the active rows carries one service name, another part none."""
+    i = F.col("id")
+    name = F.when(i % 3 == 0, "hot").when(i % 5 != 0, F.sha2((i % 4000).cast("string"), 256))
+    given = {"uuid": F.md5(i.cast("string")), "service_name": name, "is_active_register": F.lit(True)}
+    given |= {"external_id": F.sha2(i.cast("string"), 256), "import_date": F.lit(OLD)}
+    columns = [given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.DIM_CUSTOMER.fields]
+    dim = spark.range(0, 40000, 1, 8).select(*columns)
+    given = {"task_id": F.lit("x"), "service_name": F.when(i == 0, "hot").otherwise(F.sha2(i.cast("string"), 256))}
+    given |= {"customer": F.lit("c"), "import_date": F.lit(NEW), "import_date_time": F.lit(STAMP)}
+    columns = [given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.STG_CUSTOMER.fields]
+    stg = spark.range(0, 4000, 1, 8).select(*columns)
+    flagged = lambda: scd2.flag_changed(dim, stg, scd2.customer_spec())
+    assert "skew=true" in forced_skew(spark, flagged)
+    assert flagged().filter("_changed and service_name = 'hot'").count() == 13334
+    assert flagged().count() == 40000
