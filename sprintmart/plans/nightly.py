@@ -35,6 +35,7 @@ from sprintmart.schemas import (
     TEAM_PAGE,
     WORKSPACE,
 )
+from sprintmart.session import require_utc
 from sprintmart.sources.pages import read_pages, write_jsonl
 from sprintmart.sources.workspace import TreeRules
 
@@ -164,6 +165,7 @@ def run_night(landing: Landing, previous: Previous, cfg: Settings, keep: Stage =
     Without ``keep`` the result is a set of lazy plans. ``keep`` may store each named table and
     return it read back; every step then starts from stored rows and nothing is computed twice.
     """
+    require_utc(landing.members.sparkSession)
     staged = stage_all(landing, cfg, keep)
 
     def merge(dim: DataFrame, stg: DataFrame, spec: Scd2Spec) -> tuple[Scd2Result, DataFrame]:

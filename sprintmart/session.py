@@ -31,6 +31,13 @@ def build_session(app: str = "sprintmart", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Fail early where zone-less source timestamps would be read in another zone."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in {"UTC", "Etc/UTC", "GMT", "Z", "+00:00"}:
+        raise ValueError(f"the session time zone is {zone}, it must be UTC")
+
+
 @functools.cache
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="sprintmart-")

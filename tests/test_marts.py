@@ -349,6 +349,15 @@ def test_an_unfinished_run_is_not_read(spark, tmp_path):
     assert [r.is_active_register for r in got] == [True]
 
 
+def test_the_session_must_run_in_utc(spark, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            publish_night(landing(spark), tables(spark, tmp_path, RUN_TS), settings())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_night_outside_every_sprint_is_empty(spark):
     cfg = settings(datetime(2026, 6, 1, tzinfo=timezone.utc))
     empty = lambda s: spark.createDataFrame([], s)
