@@ -12,6 +12,7 @@ from sprintmart.functions.text import null_tokens_to_null
 DAY_FIRST = "dd/MM/yyyy"
 # Milliseconds of 9999-12-31T23:59:59.999Z: later instants have no calendar date here.
 _MAX_EPOCH_MS = 253402300799999
+_DAY_MS = 86_400_000
 
 
 def parse_day_first(column: Column, strict: bool = False) -> Column:
@@ -35,14 +36,13 @@ def iso_date(column: Column) -> Column:
 def epoch_ms_date(column: Column, tz: str = "UTC") -> Column:
     """The calendar day in zone ``tz`` of epoch milliseconds given as digits; NULL otherwise.
 
-    Works on zone-less timestamps throughout, so the session time zone plays no part.
+    Days are counted from shifted milliseconds, so the session time zone plays no part.
     """
     text = column.cast("string")
     ms = F.when(text.rlike("^[0-9]+$"), text.try_cast("bigint"))
     ms = F.when(ms <= _MAX_EPOCH_MS, ms)
-    origin = F.lit("1970-01-01").cast("timestamp_ntz")
-    local = F.convert_timezone(F.lit("UTC"), F.lit(tz), F.timestamp_add("MILLISECOND", ms, origin))
-    return F.to_date(local)
+    local = ms if tz == "UTC" else F.unix_millis(F.from_utc_timestamp(F.timestamp_millis(ms), tz))
+    return F.date_from_unix_date(F.floor(local / F.lit(_DAY_MS)).cast("int"))
 
 
 def latest(*columns: Column) -> Column:
