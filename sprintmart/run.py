@@ -21,6 +21,7 @@ import json
 from collections.abc import Mapping
 from datetime import date, datetime, timezone
 from typing import Any
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import SparkSession
 
@@ -43,10 +44,13 @@ def calendar_of(spec: Mapping[str, Any]) -> Calendar:
 
 
 def settings_of(spec: Mapping[str, Any], run_ts: datetime) -> Settings:
-    """The run's settings; the sprint list read is that of the current sprint."""
+    """The run's settings; the sprint list read is that of the current sprint.
+
+    The current day is that of the configured zone, the one task days are counted in.
+    """
     return Settings(
         run_ts=run_ts,
-        today=run_ts.date(),
+        today=run_ts.astimezone(ZoneInfo(spec.get("tz", "UTC"))).date(),
         calendar=calendar_of(spec["calendar"]),
         rules=TreeRules(
             tuple(spec.get("skipped_spaces", ())), spec.get("sprint_space"), spec.get("sprint_folder")

@@ -299,6 +299,8 @@ def test_settings_file():
     assert cfg.calendar == CALENDAR_2025 and cfg.sprint_year == 2025
     assert cfg.tree_rules.sprint_list == "Sprint 7 - 2025"
     assert settings_of(SPEC, datetime(2026, 6, 1, tzinfo=timezone.utc)).tree_rules.sprint_list is None
+    late = datetime(2025, 4, 1, 2, 0, tzinfo=timezone.utc)
+    assert settings_of(SPEC, late).today == date(2025, 3, 31)
     odd = {"windows": [[1, "2025-01-07", "2025-01-09", 2025], [2, "2025-02-01", "2025-02-03", 2025]]}
     assert calendar_of(odd).current(date(2025, 2, 2)).label == "Sprint 2"
 
