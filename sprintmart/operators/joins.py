@@ -45,17 +45,24 @@ def left_lookup(
 
 
 def absent_from(
-    left: DataFrame, right: DataFrame, pairs: Mapping[str, str], left_skew: bool = False
+    left: DataFrame,
+    right: DataFrame,
+    pairs: Mapping[str, str],
+    left_skew: bool = False,
+    right_distinct: bool = False,
 ) -> DataFrame:
     """The left rows whose key has no partner; a NULL key has none.
 
     Only distinct keys of the right side are shuffled, so many versions of one key cost one row.
     With ``left_skew`` the distinct keys are shuffled once more, right below the join: only then
     can adaptive execution split a key, or the missing keys, that many left rows share.
+    ``right_distinct`` says the right side holds each key once already.
     """
     names = [f"_k{i}" for i in range(len(pairs))]
     keys = right.select(*[F.col(b).alias(n) for b, n in zip(pairs.values(), names)])
-    keys = keys.dropna(subset=names).distinct()
+    keys = keys.dropna(subset=names)
+    if not right_distinct:
+        keys = keys.distinct()
     test: Column = F.lit(True)
     for a, n in zip(pairs, names):
         # Null-safe equality changes the hashed expression, hence the second shuffle. The keys

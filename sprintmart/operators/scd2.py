@@ -275,7 +275,7 @@ def unknown_rows(stg: DataFrame, seen: DataFrame, spec: Scd2Spec) -> DataFrame:
     wanted = stg.filter(F.col(spec.new_required).isNotNull())
     staged = wanted.select(F.col(staged_key).alias("_staged"))
     have = distinct_after_join(seen.join(staged, F.col("_have") == F.col("_staged"), "left_semi"))
-    return absent_from(wanted, have, {staged_key: "_have"}, left_skew=True)
+    return absent_from(wanted, have, {staged_key: "_have"}, left_skew=True, right_distinct=True)
 
 
 @dataclass(frozen=True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import date, datetime
 
 import pytest
@@ -302,3 +303,23 @@ def test_a_hot_dimension_key_is_split(spark):
     assert "skew=true" in forced_skew(spark, flagged)
     assert flagged().filter("_changed and service_name = 'hot'").count() == 13334
     assert flagged().count() == 40000
+
+
+@pytest.mark.parametrize("hot_side", ["seen", "staged"])
+def test_the_search_for_new_rows_is_split(spark, hot_side):
+    """A third of the dimension, or of the stage, carries one key."""
+    i = F.col("id")
+    text = lambda c: F.sha2(c.cast("string"), 256)
+
+    def key(side, others):
+        return F.when((i % 3 == 0) & F.lit(hot_side == side), text(F.lit(-1))).otherwise(text(i % others))
+
+    seen = spark.range(0, 60000, 1, 8).select(key("seen", 64).alias("_have"))
+    given = {"task_id": key("staged", 9000), "service_name": text(i)}
+    columns = [given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.STG_CUSTOMER.fields]
+    stg = spark.range(0, 30000, 1, 8).select(*columns).filter("task_id is not null")
+    search = lambda: scd2.unknown_rows(stg, seen, scd2.customer_spec())
+    kind = {"seen": "LeftSemi", "staged": "LeftAnti"}[hot_side]
+    assert re.search(rf"SortMergeJoin\(skew=true\).*{kind}", forced_skew(spark, search, "1KB"))
+    want = stg.join(seen.distinct(), F.col("task_id") == F.col("_have"), "left_anti").count()
+    assert search().count() == want
