@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sprintmart.llm import bpe, decontaminate, token_counts
+from sprintmart.llm import bpe, decontaminate, repetition, sharding, token_counts, warc
+from sprintmart.llm.workers import let_workers_import
+from sprintmart.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,7 +23,11 @@ def query(name: str, oracle: str | None = None):
     """Register a function of (spark, sf_dir)."""
 
     def register(make: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = make
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            let_workers_import(spark)
+            return make(spark, sf_dir)
+
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
         return make
@@ -70,3 +76,72 @@ def decontaminate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", F.array_sort("hits.items")), 256).alias("items_sha256"),
         decontaminate.is_contaminated().alias("contaminated"),
     )
+
+
+@query("op8_repetition")
+def repetition_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = docs.select("doc_id", repetition.repetition(F.col("text")).alias("counts"))
+    return counted.select(
+        "doc_id",
+        *(f"counts.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
+        repetition.base_failed("counts").alias("base_failed"),
+        (~repetition.base_failed("counts") & ~repetition.repetitive("counts")).alias("kept"),
+        F.col("counts.dup_line_chars").alias("dup_line_chars"),
+        *(F.col("counts.dup_ngram_chars")[k].alias(f"dup_{n}gram_chars") for k, n in enumerate(repetition.COVERAGE)),
+    )
+
+
+SHARDS = 16
+
+
+@query("op7_virtual_slots")
+def virtual_slot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = table(spark, sf_dir, "documents").select(
+        "doc_id", sharding.text_size("text").alias("size"), sharding.text_crc32("text").alias("text_crc32")
+    )
+    key = ["doc_id", "size", "text_crc32"]
+    records = records.withColumn("vslot", sharding.virtual_slot(key))
+    totals = sharding.slot_totals(records)
+    path = scratch_dir(spark, "slot-map")
+    owner = sharding.first_map(sharding.SLOTS, SHARDS)
+    sharding.store_map(spark, path, sharding.map_rows(1, owner, totals))
+    owner = sharding.rebalance(owner, totals, SHARDS)
+    sharding.store_map(spark, path, sharding.map_rows(2, owner, totals))
+    placed = sharding.place(records, sharding.latest_map(spark, path), key)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        F.col("vslot").alias("virtual_slot"),
+    )
+
+
+@query("op6_warc")
+def warc_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planned = warc.plan_records(table(spark, sf_dir, "pages"))
+    path = scratch_dir(spark, "archives")
+    # The archives are compressed already.
+    warc.write_archives(planned, "2024-01-01T00:00:00Z").write.option("compression", "none").parquet(path)
+    records = warc.read_archives(spark.read.parquet(path))
+    return records.select(
+        "page_id",
+        "payload_bytes",
+        F.coalesce(F.sha2("payload", 256), "payload_digest").alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
+ORACLES["op6_warc"] = """
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
+FROM (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest,
+             min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+      FROM pages)
+"""
