@@ -10,13 +10,13 @@ Many short pre-tokens go through one queue together, which opens few buckets for
 
 The pattern splits a text into pre-tokens; one that is itself in the vocabulary is one token, as in
 the tiktoken library. A null text is an empty one and has no tokens. Workers keep the tokens of
-``KEEP`` pre-tokens at most, of ``KEEP_CHARS`` characters each at most; beyond that the store is
-emptied and filled again, which changes no result.
+``KEEP`` pre-tokens at most, of ``KEEP_CHARS`` characters each at most, which changes no result.
 """
 
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -26,11 +26,13 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sprintmart.llm.kept import Kept
+
 KEEP = 700_000
 KEEP_CHARS = 64
 
 #: Bytes of new pre-tokens that are merged together, and characters of texts that are split together.
-GROUP_BYTES = 256 << 10
+GROUP_BYTES = 8 << 10
 CHUNK_CHARS = 2 << 20
 
 #: The widest word of a bitmap.
@@ -88,15 +90,16 @@ class Encoder:
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
         self.pairs = {token: rank for token, rank in ranks.items() if len(token) > 1}
+        self.byte_ids = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
         self.byte_pairs = np.full(1 << 16, -1, np.int32)
         for token, rank in ranks.items():
             if len(token) == 2:
                 self.byte_pairs[token[0] << 8 | token[1]] = rank
         self.queue = RankQueue(max(ranks.values(), default=0) + 1)
-        self.kept: dict[str, bytes] = {}
+        self.kept = Kept(KEEP)
 
-    def _file_bytes(self, text: bytes, bounds: np.ndarray) -> None:
-        """File all pairs of neighbouring bytes of one pre-token."""
+    def _file_bytes(self, text: bytes, bounds: np.ndarray) -> list[int]:
+        """File all pairs of neighbouring bytes of one pre-token; the rank at each position."""
         data = np.frombuffer(text, np.uint8).astype(np.int64)
         rank = self.byte_pairs[data[:-1] << 8 | data[1:]]
         rank[bounds[1:-1] - 1] = -1
@@ -107,9 +110,10 @@ class Encoder:
             cuts = np.flatnonzero(np.diff(filed)) + 1
             for at, positions in zip([0, *cuts.tolist()], np.split(order, cuts), strict=True):
                 self.queue.open(int(filed[at]), positions.tolist())
+        return [*rank.tolist(), -1]
 
-    def merge(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of pre-tokens that are not empty. All share the queue, which is empty before and after.
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of pre-tokens that are not empty. All share the queue, which is empty before and after.
 
         Pre-tokens don't touch each other, so taking the lowest rank of all of them takes the lowest
         of each. A pair opened below the rank at hand goes first; the rest of the bucket waits.
@@ -120,26 +124,27 @@ class Encoder:
         edge = bytearray(n + 1)  # 1 where a pre-token starts, and behind the last
         for at in bounds.tolist():
             edge[at] = 1
-        end = list(range(1, n + 1))  # of the symbol that starts here; 0 once it is merged away
+        end = list(range(1, n + 1))  # of the symbol that starts here
         back = list(range(-1, n))  # start of the symbol before
+        ids = self.byte_ids[np.frombuffer(text, np.uint8)].tolist()  # of the symbol that starts here
         get, queue = self.pairs.get, self.queue
         buckets, file = queue.buckets, queue.open
-        self._file_bytes(text, bounds)
+        pair = self._file_bytes(text, bounds)  # rank of the pair that starts here; -1: none
         while (entry := queue.pop()) is not None:
             rank, bucket = entry
             for k, i in enumerate(bucket):
+                if pair[i] != rank:
+                    continue  # stale: one of the two symbols has grown or gone
                 middle = end[i]
-                if not middle or edge[middle]:
-                    continue
-                stop = end[middle]
-                if get(text[i:stop]) != rank:
-                    continue  # stale: one of the two symbols has grown
-                end[i], end[middle] = stop, 0
+                end[i] = stop = end[middle]
+                ids[i] = rank
+                pair[i] = pair[middle] = -1
                 below = False
                 if not edge[stop]:
                     back[stop] = i
                     found = get(text[i : end[stop]])
                     if found is not None:
+                        pair[i] = found
                         if found in buckets:
                             buckets[found].append(i)
                         else:
@@ -147,8 +152,9 @@ class Encoder:
                         below = found < rank
                 if not edge[i]:
                     before = back[i]
-                    found = get(text[before:stop])
-                    if found is not None:
+                    found = get(text[before:stop], -1)
+                    pair[before] = found
+                    if found >= 0:
                         if found in buckets:
                             buckets[found].append(before)
                         else:
@@ -159,16 +165,15 @@ class Encoder:
                     break
         out = []
         ranks = self.ranks
-        for start, stop in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            whole = ranks.get(text[start:stop])
-            if whole is not None:
-                out.append([whole])
+        for word, start, stop in zip(words, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            if word in ranks:
+                out.append(array("i", (ranks[word],)).tobytes())
                 continue
-            ids = []
+            own = []
             while start < stop:
-                ids.append(ranks[text[start : end[start]]])
+                own.append(ids[start])
                 start = end[start]
-            out.append(ids)
+            out.append(array("i", own).tobytes())
         return out
 
     def _merged(self, words: list[str]) -> dict[str, bytes]:
@@ -179,9 +184,7 @@ class Encoder:
         size = 0
         for word in [*words, None]:
             if names and (word is None or size >= GROUP_BYTES):
-                out.update(
-                    (name, np.array(ids, "<i4").tobytes()) for name, ids in zip(names, self.merge(group), strict=True)
-                )
+                out.update(zip(names, self.merge(group), strict=True))
                 group, names, size = [], [], 0
             if word is not None:
                 names.append(word)
@@ -193,11 +196,7 @@ class Encoder:
         """Ids of each text as little-endian 32-bit numbers."""
         split = [self.split(text) for text in texts]
         kept = self.kept
-        fresh = sorted(set(chain.from_iterable(split)).difference(kept))
-        if len(kept) + len(fresh) > KEEP:
-            kept.clear()
-            fresh = sorted(set(chain.from_iterable(split)))
-        found = self._merged(fresh)
+        found = self._merged(kept.missing(set(chain.from_iterable(split))))
         long = {word: ids for word, ids in found.items() if len(word) > KEEP_CHARS}
         kept.update((word, ids) for word, ids in found.items() if len(word) <= KEEP_CHARS)
         for words in split:
@@ -270,7 +269,8 @@ def encode(text: Column, path: str, pattern: str) -> Column:
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = encoder(path, pattern)
         for texts in batches:
-            yield _lists([ids for chunk in _chunks(texts) for ids in own.packed(chunk)])
+            for chunk in _chunks(texts):
+                yield _lists(list(own.packed(chunk)))
 
     return ids(text)
 
@@ -281,11 +281,28 @@ def decode(ids: Column, path: str) -> Column:
     @F.arrow_udf("binary")
     def data(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for lists in batches:
-            yield pa.array([decode_ids(_numbers(lists, k), path) for k in range(len(lists))], pa.binary())
+            for first in range(0, len(lists), 256):
+                part = lists[first : first + 256]
+                yield pa.array([decode_ids(_numbers(part, k), path) for k in range(len(part))], pa.binary())
 
     return data(ids)
 
 
+def round_trip(text: Column, path: str, pattern: str) -> Column:
+    """A struct of :func:`encode`'s ids and the bytes that :func:`decode` makes of them, in one pass."""
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:binary>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = encoder(path, pattern)
+        for texts in batches:
+            for chunk in _chunks(texts):
+                packed = list(own.packed(chunk))
+                decoded = [decode_ids(np.frombuffer(ids, "<i4"), path) for ids in packed]
+                yield pa.StructArray.from_arrays([_lists(packed), pa.array(decoded, pa.binary())], ["ids", "decoded"])
+
+    return both(text)
+
+
 def _numbers(lists: pa.ListArray, k: int) -> np.ndarray:
     item = lists[k]
     return item.values.to_numpy(zero_copy_only=False) if item.is_valid else np.zeros(0, np.int32)

@@ -54,8 +54,9 @@ def token_count_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_byte_bpe")
 def byte_bpe_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = docs.select("doc_id", bpe.encode(F.col("text"), RANKS, public_tokenizers.PATTERN).alias("ids"))
-    decoded = encoded.withColumn("decoded", bpe.decode(F.col("ids"), RANKS))
+    decoded = docs.select(
+        "doc_id", bpe.round_trip(F.col("text"), RANKS, public_tokenizers.PATTERN).alias("tokens")
+    ).select("doc_id", "tokens.*")
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
