@@ -27,10 +27,15 @@ import sentencepiece
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sprintmart.llm.kept import Kept
+
 MARK = "▁"
 KEEP = 800_000
 KEEP_CHARS = 64
 LONG = 512
+
+#: Pre-tokens that are merged together; their arrays fit into a processor's cache.
+GROUP = 4_000
 _NONE = np.iinfo(np.int64).max
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*")
 
@@ -65,7 +70,7 @@ class Counter:
         for part in (self.keys // self.size, self.keys % self.size):
             below = rank[part] >= self.ranks
             self.careful[rank[part][below]] = True
-        self.kept: dict[str, int] = {}
+        self.kept = Kept(KEEP)
 
     @staticmethod
     def _check(model, pieces: dict[str, float]) -> None:
@@ -164,12 +169,12 @@ class Counter:
 
     def learn(self, words: set[str]) -> dict[str, int]:
         """Counts of new pre-tokens; short ones are kept for later batches."""
-        fresh = sorted(words.difference(self.kept))
-        if len(self.kept) + len(fresh) > KEEP:
-            self.kept.clear()
-            fresh = sorted(words)
+        fresh = self.kept.missing(words)
         short = [w for w in fresh if len(w) <= LONG]
-        found = dict(zip(short, self.counts(short).tolist(), strict=True)) if short else {}
+        found: dict[str, int] = {}
+        for first in range(0, len(short), GROUP):
+            group = short[first : first + GROUP]
+            found.update(zip(group, self.counts(group).tolist(), strict=True))
         found |= {w: self.count_long(w) for w in fresh if len(w) > LONG}
         self.kept.update((w, c) for w, c in found.items() if len(w) <= KEEP_CHARS)
         return found
