@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sprintmart.llm import bpe, decontaminate, repetition, sharding, token_counts, warc
+from sprintmart.llm import bpe, decontaminate, repetition, sharding, token_counts, toxicity, warc
 from sprintmart.llm.workers import let_workers_import
 from sprintmart.session import scratch_dir
 
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+TOXIC_FROM = 0.7
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -39,6 +40,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remainder(doc_id: str, n: int):
+    """The fold of a document: crc32 of its id as text, modulo n. A null id is in fold 0."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")), F.lit(0)) % n
+
+
+@query("op1_toxicity")
+def toxicity_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(remainder("doc_id", 3) != 1)
+    model = toxicity.train(*toxicity.training_sample(docs, labels))
+    return docs.select(
+        "doc_id",
+        (remainder("doc_id", 3) == 1).alias("held_out"),
+        toxicity.toxicity(F.col("text"), model).alias("score"),
+    ).withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
+
+
 @query("op2_token_counts")
 def token_count_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
