@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sprintmart.llm import bpe, decontaminate, repetition, sharding, token_counts, toxicity, warc
+from sprintmart.llm import bpe, decontaminate, ngram_join, repetition, sharding, token_counts, toxicity, warc
 from sprintmart.llm.workers import let_workers_import
 from sprintmart.session import scratch_dir
 
@@ -164,3 +164,9 @@ FROM (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coales
              min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
       FROM pages)
 """
+
+
+@query("op5_ngram_join")
+def ngram_join_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = ngram_join.near_duplicate_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "n_shingles", "component_id")
