@@ -103,3 +103,8 @@ LOWER[65:91] += 32
 def code_points(data: np.ndarray) -> np.ndarray:
     """True at the first byte of each character."""
     return (data & 0xC0) != 0x80
+
+
+def joined(table: pa.Table, column: str, kind: str) -> np.ndarray:
+    """The numbers packed into a column of binary values, one after the other."""
+    return np.frombuffer(b"".join(v.as_py() for v in table.column(column)), kind)

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sprintmart.llm.components import components
-from sprintmart.llm.flat import LOWER, SPACE, Rolling, flat_texts, pieces, runs
+from sprintmart.llm.flat import LOWER, SPACE, Rolling, flat_texts, joined, pieces, runs
 from sprintmart.llm.stored import stored
 
 WORDS = 5
@@ -155,21 +155,17 @@ _SHARED = "part int, keys binary, sizes binary, grams binary, freqs binary"
 _SHARED_FIELDS = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in ("keys", "sizes", "grams", "freqs"))])
 
 
-def _joined(table: pa.Table, column: str, kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(v.as_py() for v in table.column(column)), kind)
-
-
 def _shared_of_bucket(parts: int):
     """Finds the shingles of a bucket that several contents have, and deals them out by content."""
 
     def find(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        raw = _joined(table, "grams", np.uint8).reshape(-1, 6)
+        raw = joined(table, "grams", np.uint8).reshape(-1, 6)
         gram = np.zeros((len(raw), 8), np.uint8)
         gram[:, :6] = raw
         gram = gram.view("<u8").ravel() | np.uint64(key[0].as_py() % 65536 << 48)
-        counts = _joined(table, "counts", "<u4")
-        owner = np.repeat(_joined(table, "keys", "<i8"), counts)
-        size = np.repeat(_joined(table, "sizes", "<u4"), counts)
+        counts = joined(table, "counts", "<u4")
+        owner = np.repeat(joined(table, "keys", "<i8"), counts)
+        size = np.repeat(joined(table, "sizes", "<u4"), counts)
         order = np.lexsort((owner, gram))
         gram, owner, size = gram[order], owner[order], size[order]
         new = np.ones(len(gram), bool)
@@ -205,8 +201,8 @@ _RECORD_FIELDS = pa.schema(
 
 def _records_of_part(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """Contents whose prefix holds shared shingles, with all their shared shingles, rare ones first."""
-    owner, size = _joined(table, "keys", "<i8"), _joined(table, "sizes", "<u4").astype(np.int64)
-    gram, freq = _joined(table, "grams", "<u8"), _joined(table, "freqs", "<u4")
+    owner, size = joined(table, "keys", "<i8"), joined(table, "sizes", "<u4").astype(np.int64)
+    gram, freq = joined(table, "grams", "<u8"), joined(table, "freqs", "<u4")
     order = np.lexsort((gram, freq, owner))
     owner, size, gram = owner[order], size[order], gram[order]
     first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sprintmart.llm import bpe, decontaminate, ngram_join, repetition, sharding, token_counts, toxicity, warc
+from sprintmart.llm import bpe, decontaminate, line_dedup, ngram_join, repetition, sharding, token_counts, toxicity, warc
 from sprintmart.llm.workers import let_workers_import
 from sprintmart.session import scratch_dir
 
@@ -170,3 +170,15 @@ FROM (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coales
 def ngram_join_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = ngram_join.near_duplicate_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", "n_shingles", "component_id")
+
+
+@query("op9_line_dedup")
+def line_dedup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cleaned = line_dedup.without_repeats(docs)
+    return cleaned.select(
+        "doc_id",
+        "repeats.removed_words",
+        F.size("repeats.spans").cast("long").alias("n_passages"),
+        F.sha2(F.coalesce("repeats.text", F.lit("")), 256).alias("text_sha256"),
+    )
