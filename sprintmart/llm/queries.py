@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sprintmart.llm import bpe, decontaminate, line_dedup, ngram_join, repetition, sharding, token_counts, toxicity, warc
+from sprintmart.llm import (
+    bpe,
+    decontaminate,
+    line_dedup,
+    lm_scores,
+    ngram_join,
+    repetition,
+    sharding,
+    token_counts,
+    toxicity,
+    warc,
+)
 from sprintmart.llm.workers import let_workers_import
 from sprintmart.session import scratch_dir
 
@@ -182,3 +193,20 @@ def line_dedup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("repeats.spans").cast("long").alias("n_passages"),
         F.sha2(F.coalesce("repeats.text", F.lit("")), 256).alias("text_sha256"),
     )
+
+
+@query("op3_recurrent_lm")
+def recurrent_lm_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", (remainder("doc_id", 5) != 1).alias("train")
+    )
+    scores, vocabulary = lm_scores.lm_scores(docs)
+    return scores.select(
+        "doc_id",
+        (~F.col("train")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(vocabulary.total).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
