@@ -40,6 +40,6 @@ def components(edges: DataFrame) -> DataFrame:
     )
     while (new := _state(now)) != state:
         state = new
-        now = stored(_small_star(_large_star(now).distinct()).distinct(), "edges")
+        now = stored(_small_star(_large_star(now)).distinct(), "edges")
     members = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return members.unionByName(members.select(F.col("component").alias("node"), "component").distinct())

@@ -11,18 +11,18 @@ The steps, all over whole texts:
    The prefix is what remains when three quarters are taken off; two linked contents share a prefix
    shingle. Contents whose prefix holds none but their own shingles are done.
 4. Contents that share a prefix shingle are candidates. Since components are asked for, most pairs are
-   spared: star rounds verify, for each prefix shingle, every content against one of them; pairs
-   that stay in different components are then joined in full, under the length and the
-   positional filter, and none is lost. Every pair is verified once at most.
-5. Verification applies the suffix filter (counts per range of the hash bound the overlap) and then
-   intersects the shared shingles.
+   spared: first each content is verified against one content of each of its prefix shingles; then
+   the pairs whose contents are in different components still are joined in full, under the length, the
+   positional and the suffix filter (a bitmap that bounds the difference of two sets), and none is lost.
+5. Every pair left is verified once, by intersecting the shared shingles.
 
 A text of fewer than five words has one shingle, its whole sequence; a text without words (or a null)
 has none and links with nothing. Repeated rows and ids are separate rows of one content. Shingles are
 told apart by at least 54 bits of a 64-bit hash and contents by 64 bits; all counts are exact apart from that.
 
 A hot shingle is one entry a content and a bucket, so it lies spread over as many rows as there
-are map tasks; a group of copies is one content; a group of near copies costs a few stars.
+are map tasks; a group of copies is one content; a group of near copies costs a star
+and the pairs of its outliers.
 """
 
 from __future__ import annotations
@@ -31,11 +31,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sprintmart.llm.components import components
-from sprintmart.llm.flat import LOWER, SPACE, Rolling, flat_texts, joined, pieces, runs
+from sprintmart.llm.flat import LOWER, SPACE, Rolling, flat_texts, joined, mix, pieces, runs
 from sprintmart.llm.stored import stored
 
 WORDS = 5
@@ -193,11 +193,22 @@ def _shared_of_bucket(parts: int):
     return find
 
 
-_RECORD = "key bigint, n bigint, own bigint, n_prefix bigint, grams binary"
+_RECORD = "key bigint, n bigint, own bigint, n_prefix bigint, grams binary, bits array<bigint>"
 _RECORD_FIELDS = pa.schema(
-    [("key", pa.int64()), ("n", pa.int64()), ("own", pa.int64()), ("n_prefix", pa.int64()), ("grams", pa.binary())]
+    [("key", pa.int64()), ("n", pa.int64()), ("own", pa.int64()), ("n_prefix", pa.int64()), ("grams", pa.binary()),
+     ("bits", pa.list_(pa.int64()))]
 )
 
+#: Length of the parity bitmap of a content's shared shingles, in bits.
+BITMAP = 512
+
+
+def parity_bits(grams: np.ndarray) -> np.ndarray:
+    """One bit a range of the hash: whether an odd number of shingles falls there. Two bitmaps differ in no more
+    places than their sets do."""
+    odd = np.bincount((mix(grams) % np.uint64(BITMAP)).astype(np.int64), minlength=BITMAP) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
 
 def _records_of_part(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """Contents whose prefix holds shared shingles, with all their shared shingles, rare ones first."""
@@ -211,18 +222,19 @@ def _records_of_part(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     # Without the prefix, fewer than the overlap that a link needs would be left.
     n_prefix = n - -(-NUM * n // DEN) + 1 - (n - m)
     rows = [
-        (int(owner[a]), int(s), int(s - c), int(min(p, c)), gram[a : a + c].astype("<u8").tobytes())
+        (int(owner[a]), int(s), int(s - c), int(min(p, c)), gram[a : a + c].astype("<u8").tobytes(),
+         parity_bits(gram[a : a + c]))
         for a, s, c, p in zip(first, n, m, n_prefix, strict=True)
         if p > 0
     ]
-    columns = list(zip(*rows, strict=True)) or [()] * 5
+    columns = list(zip(*rows, strict=True)) or [()] * len(_RECORD_FIELDS)
     return pa.table(
         [pa.array(c, f.type) for c, f in zip(columns, _RECORD_FIELDS, strict=True)], schema=_RECORD_FIELDS
     )
 
 
 def prefix_entries(records: DataFrame) -> DataFrame:
-    """(gram, key, n, pos) of the shared shingles in each prefix; ``pos`` counts the content's own too."""
+    """(gram, key, n, own, pos) of the shared shingles in each prefix; ``pos`` counts the content's own too."""
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -230,16 +242,12 @@ def prefix_entries(records: DataFrame) -> DataFrame:
             columns = (batch.column(c) for c in ("key", "n", "own", "n_prefix", "grams"))
             for key, n, own, p, grams in zip(*(c.to_pylist() for c in columns), strict=True):
                 gram = np.frombuffer(grams, "<i8", count=p)
-                parts.append((gram, np.full(p, key), np.full(p, n), own + np.arange(p)))
+                parts.append((gram, np.full(p, key), np.full(p, n), np.full(p, own), own + np.arange(p)))
             if parts:
                 arrays = [pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*parts, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, ["gram", "key", "n", "pos"])
-
-    return records.mapInArrow(entries, "gram bigint, key bigint, n bigint, pos bigint")
-
+                yield pa.RecordBatch.from_arrays(arrays, ["gram", "key", "n", "own", "pos"])
 
-#: Ranges of the hash whose counts the suffix filter compares.
-_SUFFIX_BINS = 16
+    return records.drop("bits").mapInArrow(entries, "gram bigint, key bigint, n bigint, own bigint, pos bigint")
 
 
 def verified(a_grams: Column, b_grams: Column, a_n: Column, b_n: Column) -> Column:
@@ -258,17 +266,6 @@ def verified(a_grams: Column, b_grams: Column, a_n: Column, b_n: Column) -> Colu
 
 def link(x: np.ndarray, y: np.ndarray, n: int, k: int) -> bool:
     """Exact test on two sets of shared shingles; ``n`` and ``k`` are the sizes of the whole sets."""
-    need = -(-NUM * (n + k) // (NUM + DEN))
-    if min(len(x), len(y)) < need:
-        return False
-    # Suffix filter: within a range of the hash no more can be common than the smaller count.
-    shift = np.uint64(48 - 4)
-    bins = np.minimum(
-        np.bincount(((x >> shift) & np.uint64(15)).astype(np.int64), minlength=_SUFFIX_BINS),
-        np.bincount(((y >> shift) & np.uint64(15)).astype(np.int64), minlength=_SUFFIX_BINS),
-    )
-    if bins.sum() < need:
-        return False
     common = len(np.intersect1d(x, y, assume_unique=True))
     return DEN * common >= NUM * (n + k - common)
 
@@ -282,74 +279,74 @@ def verify(pairs: DataFrame, records: DataFrame) -> DataFrame:
     return both.select("a", "b", test.alias("links")).where("links").select("a", "b")
 
 
-#: Star rounds at most before the remaining pairs are joined in full, and how many such pairs an entry
-#: makes it worth to stop earlier. Neither changes a result.
-MAX_STARS = 4
-FULL_FROM = 2
-
-
-def _length_fits(a: str, b: str) -> Column:
-    return (F.col(a) * DEN >= F.col(b) * NUM) & (F.col(b) * DEN >= F.col(a) * NUM)
-
+def _may_link(x: str, y: str) -> Column:
+    """Length filter, and enough shared shingles on both sides, for contents with sizes n and own parts."""
+    n, k = F.col(f"{x}.n"), F.col(f"{y}.n")
+    shared = F.least(n - F.col(f"{x}.own"), k - F.col(f"{y}.own"))
+    return (n * DEN >= k * NUM) & (k * DEN >= n * NUM) & (shared * (NUM + DEN) >= (n + k) * NUM)
 
-def _labelled(entries: DataFrame, edges: DataFrame | None) -> DataFrame:
-    if edges is None:
-        return entries.withColumn("label", F.col("key"))
-    members = components(edges.toDF("u", "v")).toDF("key", "component")
-    return entries.join(members, "key", "left").withColumn("label", F.coalesce("component", "key")).drop("component")
 
+def _before(x: str, y: str) -> Column:
+    """The smaller content of a pair, by size and key."""
+    n, k = F.col(f"{x}.n"), F.col(f"{y}.n")
+    return (n < k) | ((n == k) & (F.col(f"{x}.key") < F.col(f"{y}.key")))
 
-def _open_entries(entries: DataFrame) -> DataFrame:
-    """Entries of the shingles that contents of several components have."""
-    mixed = entries.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-    return entries.join(mixed.select("gram"), "gram")
 
+def _indexed(x: str) -> Column:
+    """Whether a prefix shingle is in the shorter prefix that a content needs towards larger ones: it overlaps
+    with them by 6/7 of its own size at least (2t/(1+t) of the threshold t)."""
+    n = F.col(f"{x}.n")
+    return F.col(f"{x}.pos") <= n - F.ceil(n * (2 * NUM) / (NUM + DEN))
 
-def _star_pairs(entries: DataFrame, turn: int) -> DataFrame:
-    """Each content of a shingle with one content of it, another one in each turn."""
-    rank = F.xxhash64("key", F.lit(turn))
-    centre = entries.groupBy("gram").agg(F.min_by(F.struct("key", "n", "label"), rank).alias("c"))
-    met = entries.join(centre, "gram").where((F.col("label") != F.col("c.label")) & _length_fits("n", "c.n"))
-    return met.select(F.least("key", "c.key").alias("a"), F.greatest("key", "c.key").alias("b")).distinct()
 
+def _position_fits(x: str, y: str) -> Column:
+    """Positional filter: what can be common up to this shingle (own ones aside) and behind it suffices."""
+    side = lambda s: (F.col(f"{s}.pos") - F.col(f"{s}.own"), F.col(f"{s}.n") - F.col(f"{s}.pos") - 1)
+    (a, c), (b, d) = side(x), side(y)
+    most = F.least(a, b) + 1 + F.least(c, d)
+    return most * (NUM + DEN) >= (F.col(f"{x}.n") + F.col(f"{y}.n")) * NUM
 
-def _label_sizes(entries: DataFrame) -> DataFrame:
-    return entries.groupBy("gram", "label").agg(F.count("*").alias("c"))
 
-
-def _full_pairs(entries: DataFrame) -> DataFrame:
-    """All pairs of contents of a shingle that lie in different components and pass the length and the
-    positional filter. Of each shingle, the largest component meets only the rest."""
-    sizes = _label_sizes(entries)
-    major = sizes.groupBy("gram").agg(F.max_by("label", F.struct("c", "label")).alias("major"))
-    tagged = entries.join(major, "gram")
-    few = tagged.where("label <> major").select(
-        "gram", F.col("key").alias("k2"), F.col("n").alias("n2"), F.col("pos").alias("p2"), F.col("label").alias("l2")
-    )
-    # A pair of two small components is met from both sides: it counts once, from the smaller key.
-    once = (F.col("label") == F.col("major")) | (F.col("key") < F.col("k2"))
-    met = few.join(tagged, "gram").where((F.col("label") != F.col("l2")) & once & _length_fits("n", "n2"))
-    smaller = F.col("key") < F.col("k2")
-    pick = lambda x, y: F.when(smaller, F.col(x)).otherwise(F.col(y))
-    rows = met.select(
-        pick("key", "k2").alias("a"), pick("k2", "key").alias("b"), pick("n", "n2").alias("an"),
-        pick("n2", "n").alias("bn"), pick("pos", "p2").alias("ap"), pick("p2", "pos").alias("bp"),
-    )
-    pairs = rows.groupBy("a", "b", "an", "bn").agg(
-        F.count("*").alias("c"), F.max("ap").alias("ap"), F.max("bp").alias("bp")
-    )
-    # Positional filter: what is common up to the last prefix match, and what can still follow.
-    bound = F.col("c") + F.least(F.col("an") - F.col("ap") - 1, F.col("bn") - F.col("bp") - 1)
-    return pairs.where(bound * (NUM + DEN) >= (F.col("an") + F.col("bn")) * NUM).select("a", "b")
-
-
-def _open_pairs(entries: DataFrame) -> tuple[int, int]:
-    """Entries, and pairs that a full join would make of them."""
-    total = _label_sizes(entries).groupBy("gram").agg(
-        F.sum("c").alias("k"), F.sum(F.col("c") * F.col("c")).alias("s")
+def _suffix_fits(x: str, y: str) -> Column:
+    """Suffix filter: own shingles and the places where the bitmaps differ are differences; a link has few."""
+    differ = F.aggregate(
+        F.zip_with(f"{x}.bits", f"{y}.bits", lambda a, b: F.bit_count(a.bitwiseXOR(b)).cast("int")),
+        F.lit(0), lambda s, v: s + v,
     )
-    row = total.agg(F.sum("k"), F.sum((F.col("k") * F.col("k") - F.col("s")).cast("double") / 2)).first()
-    return int(row[0] or 0), int(row[1] or 0)
+    total = F.col(f"{x}.n") + F.col(f"{y}.n")
+    # With an overlap of 3/7 of both sizes together, 1/7 of them differs at most.
+    return (F.col(f"{x}.own") + F.col(f"{y}.own") + differ) * (NUM + DEN) <= total * (DEN - NUM)
+
+
+def _pair(x: str, y: str) -> list[Column]:
+    return [F.least(f"{x}.key", f"{y}.key").alias("a"), F.greatest(f"{x}.key", f"{y}.key").alias("b")]
+
+
+def star_pairs(entries: DataFrame) -> DataFrame:
+    """Each content of a shingle with that one of it which has the smallest part of its own; in a group of near
+    copies that is close to the original, and most others link with it."""
+    clean = F.struct((F.col("own") / F.col("n")).alias("part"), "key")
+    centre = entries.groupBy("gram").agg(F.min_by(F.struct("key", "n", "own"), clean).alias("c"))
+    met = entries.alias("x").join(centre.select("gram", "c.*").alias("c"), "gram")
+    return met.where((F.col("x.key") != F.col("c.key")) & _may_link("x", "c")).select(*_pair("x", "c")).distinct()
+
+
+def remaining_pairs(entries: DataFrame, records: DataFrame, members: DataFrame) -> DataFrame:
+    """All pairs of contents that share a shingle of their prefixes, lie in different components so far, and pass
+    the filters. Of each shingle, the largest component meets only the rest."""
+    labelled = entries.join(members, "key", "left").withColumn("label", F.coalesce("component", "key"))
+    sizes = labelled.groupBy("gram", "label").agg(F.count("*").alias("c"))
+    mixed = sizes.groupBy("gram").agg(F.max_by("label", F.struct("c", "label")).alias("major"), F.count("*").alias("k"))
+    tagged = labelled.join(mixed.where("k > 1").drop("k"), "gram").drop("component")
+    tagged = stored(tagged.join(records.select("key", "bits"), "key"), "open")
+    x, y = tagged.where("label <> major").alias("x"), tagged.alias("y")
+    first = _before("x", "y")
+    # A pair of two smaller components is met from both sides and counts once.
+    once = (F.col("y.label") == F.col("y.major")) | first
+    index = F.when(first, _indexed("x")).otherwise(_indexed("y"))
+    fits = _may_link("x", "y") & once & index & _position_fits("x", "y") & _suffix_fits("x", "y")
+    met = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.label") != F.col("y.label")) & fits)
+    return met.select(*_pair("x", "y")).distinct()
 
 
 def linked_contents(texts: DataFrame, n_shingles: int) -> DataFrame:
@@ -359,33 +356,44 @@ def linked_contents(texts: DataFrame, n_shingles: int) -> DataFrame:
     shared = pack_shingles(texts, buckets).groupBy("bucket").applyInArrow(_shared_of_bucket(buckets), _SHARED)
     records = stored(shared.groupBy("part").applyInArrow(_records_of_part, _RECORD), "records")
     entries = stored(prefix_entries(records), "entries")
-    edges = None
-    for turn in range(MAX_STARS + 1):
-        still = stored(_open_entries(_labelled(entries, edges)), "open")
-        n_entries, n_pairs = _open_pairs(still)
-        full = turn == MAX_STARS or n_pairs <= FULL_FROM * n_entries
-        new = verify(_full_pairs(still) if full else _star_pairs(still, turn), records)
-        edges = stored(new if edges is None else edges.unionByName(new), "links")
-        if full:
-            break
-    return components(edges.toDF("u", "v")).toDF("key", "component")
+    stars = stored(verify(star_pairs(entries), records), "links")
+    members = components(stars.toDF("u", "v")).toDF("key", "component")
+    rest = stored(verify(remaining_pairs(entries, records, members), records), "links")
+    return components(stars.unionByName(rest).toDF("u", "v")).toDF("key", "component")
 
 
 def near_duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row a document: id, ``n_shingles``, its content ``key``, and ``component_id``, the smallest id
+    """One row a document: ``doc_id``, ``n_shingles``, its content ``key`` (null without words), ``row_key`` (a hash of
+    id and text), the content that names its ``group`` (null without words), and ``component_id``, the smallest id
     reachable by links (its own for a text without words; null if no id of a component is known)."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), profile(F.col(text)).alias("p"))
-    rows = stored(rows.select("doc_id", "p.key", "p.n_shingles"), "profiles")
+    rows = docs.select(
+        F.col(doc_id).alias("doc_id"), profile(F.col(text)).alias("p"), F.xxhash64(doc_id, text).alias("row_key")
+    )
+    rows = stored(rows.select("doc_id", "p.key", "p.n_shingles", "row_key"), "profiles")
     n_shingles = rows.agg(F.sum("n_shingles")).first()[0] or 0
     linked = stored(linked_contents(docs.select(text), n_shingles), "linked")
     contents = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))
     grouped = contents.join(linked, "key", "left")
     least = grouped.where("component IS NOT NULL").groupBy("component").agg(F.min("least").alias("far"))
-    named = grouped.join(least, "component", "left").select("key", F.coalesce("far", "least").alias("component_id"))
+    named = grouped.join(least, "component", "left").select(
+        "key", F.coalesce("component", "key").alias("group"), F.coalesce("far", "least").alias("component_id")
+    )
     found = rows.join(named, "key", "left")
-    return found.select(
-        "doc_id",
-        "n_shingles",
-        "key",
-        F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+    own = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return found.select("doc_id", "n_shingles", "key", "row_key", "group", own.alias("component_id"))
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one document of each group: that with the smallest id, nulls last. Texts without words are in
+    no group and all stay. Of rows equal in id and text one stays."""
+    groups = near_duplicate_groups(docs, doc_id, text)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    chosen = (
+        groups.where("group IS NOT NULL").groupBy("group").agg(F.min_by("row_key", order).alias("_row"))
+        .select("_row", F.lit(True).alias("_grouped"))
     )
+    apart = groups.where("group IS NULL").select(F.col("row_key").alias("_row"), F.lit(False).alias("_grouped"))
+    kept = stored(chosen.unionByName(apart).distinct(), "kept")
+    held = docs.select(F.struct(*docs.columns).alias("_doc"), F.xxhash64(doc_id, text).alias("_row")).join(kept, "_row")
+    turn = F.row_number().over(Window.partitionBy("_row").orderBy("_row"))
+    return held.withColumn("_turn", turn).where("_turn = 1 OR NOT _grouped").select("_doc.*")
