@@ -39,7 +39,7 @@ SEED_TOKENS = 400_000
 TRAIN_SHARE = 8
 
 #: A block ends with the text that brings it to so many bytes.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
 
 #: The token at the end of each text; no word has white space.
 END = "\n"
@@ -47,11 +47,11 @@ END = "\n"
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 _BLOCK = (
-    "block string, doc_ids array<bigint>, train array<boolean>, lengths array<bigint>, tokens binary,"
+    "block bigint, doc_ids array<bigint>, train array<boolean>, lengths array<bigint>, tokens binary,"
     " words array<string>, counts array<bigint>"
 )
 _BLOCK_FIELDS = pa.schema(
-    [("block", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())),
+    [("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())),
      ("lengths", pa.list_(pa.int64())), ("tokens", pa.binary()), ("words", pa.list_(pa.string())),
      ("counts", pa.list_(pa.int64()))]
 )
@@ -72,7 +72,7 @@ def blocks(docs: DataFrame) -> DataFrame:
             tokens = np.concatenate(texts)
             lengths = np.array([len(t) for t in texts])
             counts = np.bincount(tokens[np.repeat(np.array(train), lengths)], minlength=len(number))
-            row = (f"{part}-{count}", docs_[:], train[:], lengths, tokens.astype("<u4").tobytes(),
+            row = (part << 32 | count, docs_[:], train[:], lengths, tokens.astype("<u4").tobytes(),
                    [w.decode() for w in number], counts)
             for kept in (docs_, train, texts):
                 kept.clear()
@@ -90,7 +90,7 @@ def blocks(docs: DataFrame) -> DataFrame:
                 for word in set(words).difference(number):
                     number[word] = len(number)
                 words.append(END.encode())
-                texts.append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
+                texts.append(np.fromiter(map(number.__getitem__, words), np.uint32, len(words)))
                 docs_.append(doc.as_py())
                 train.append(bool(learn.as_py()))
                 size += len(raw) + 1
@@ -150,11 +150,11 @@ class Vocabulary:
 
 
 _ENCODED = (
-    "block string, doc_ids array<bigint>, train array<boolean>, lengths array<bigint>, ids binary,"
+    "block bigint, doc_ids array<bigint>, train array<boolean>, lengths array<bigint>, ids binary,"
     " known array<bigint>, base array<double>, rest array<double>"
 )
 _ENCODED_FIELDS = pa.schema(
-    [("block", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())),
+    [("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())),
      ("lengths", pa.list_(pa.int64())), ("ids", pa.binary()), ("known", pa.list_(pa.int64())),
      ("base", pa.list_(pa.float64())), ("rest", pa.list_(pa.float64()))]
 )

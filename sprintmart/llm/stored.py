@@ -10,5 +10,5 @@ from sprintmart.session import scratch_dir
 def stored(rows: DataFrame, label: str) -> DataFrame:
     """The rows, written once and read back."""
     path = scratch_dir(rows.sparkSession, label)
-    rows.write.parquet(path)
+    rows.write.option("compression", "zstd").parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
