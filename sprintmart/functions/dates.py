@@ -34,11 +34,14 @@ def iso_date(column: Column) -> Column:
 
 
 def epoch_ms_date(column: Column, tz: str = "UTC") -> Column:
-    """The calendar day in zone ``tz`` of epoch milliseconds given as digits; NULL otherwise.
+    """The calendar day in zone ``tz`` of epoch milliseconds, as digits or as a number of any type.
 
-    Days are counted from shifted milliseconds, so the session time zone plays no part.
+    Anything else gives NULL. Days are counted from shifted milliseconds, so the session time zone
+    plays no part.
     """
-    text = column.cast("string")
+    # As text, a large double has an exponent.
+    floating = F.typeof(column).isin("double", "float")
+    text = F.when(floating, column.try_cast("bigint").cast("string")).otherwise(column.cast("string"))
     ms = F.when(text.rlike("^[0-9]+$"), text.try_cast("bigint"))
     ms = F.when(ms <= _MAX_EPOCH_MS, ms)
     local = ms if tz == "UTC" else F.unix_millis(F.from_utc_timestamp(F.timestamp_millis(ms), tz))

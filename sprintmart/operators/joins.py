@@ -11,8 +11,19 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Sub-keys over which rows without a key are spread.
-_NULL_BUCKETS = 1024
+_WHOLE = {"tinyint", "smallint", "int", "bigint"}
+_NUMBERS = _WHOLE | {"float", "double"}
+
+
+def _common_type(a: str, b: str) -> str:
+    """The type two keys are compared in; keys that no comparison fits are an error."""
+    if a == b:
+        return a
+    if {a, b} <= _WHOLE:
+        return "bigint"
+    if {a, b} <= _NUMBERS or all(t in _NUMBERS or t.startswith("decimal") for t in (a, b)):
+        return "double"
+    raise TypeError(f"keys of type {a} and {b} are not alike")
 
 
 def left_lookup(
@@ -35,10 +46,11 @@ def left_lookup(
         return left.join(lookup, F.col(left_key).eqNullSafe(F.col("_rkey")), "left").drop("_rkey")
     if spread_by is None:
         return left.join(lookup, F.col(left_key) == F.col("_rkey"), "left").drop("_rkey")
-    bucket = F.pmod(F.xxhash64(F.col(spread_by)), F.lit(_NULL_BUCKETS)).cast("string")
-    stand_in = F.concat(F.lit("\0"), bucket)
-    keyed = left.withColumn("_lkey", F.coalesce(F.col(left_key).cast("string"), stand_in))
-    lookup = lookup.withColumn("_rkey", F.col("_rkey").cast("string"))
+    common = _common_type(left.select(left_key).dtypes[0][1], lookup.select("_rkey").dtypes[0][1])
+    # Each value of the other column is a stand-in of its own, however many rows lack the key.
+    stand_in = F.concat(F.lit("\0"), F.xxhash64(F.col(spread_by)).cast("string"))
+    keyed = left.withColumn("_lkey", F.coalesce(F.col(left_key).cast(common).cast("string"), stand_in))
+    lookup = lookup.withColumn("_rkey", F.col("_rkey").cast(common).cast("string"))
     # The stand-in only steers the shuffle: a row without a key matches nothing.
     test = (F.col("_lkey") == F.col("_rkey")) & F.col(left_key).isNotNull()
     return keyed.join(lookup, test, "left").drop("_lkey", "_rkey")

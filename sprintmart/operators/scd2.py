@@ -13,6 +13,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sprintmart import schemas
 from sprintmart.functions.dates import parse_day_first
 from sprintmart.functions.keys import stable_id
 from sprintmart.functions.numbers import safe_int
@@ -45,6 +46,7 @@ class Scd2Spec:
     dim_required: str | None = None
     reinsert_changed_only: bool = False
     tracked: Sequence[str] = ()
+    with_team: bool = False
 
 
 def _same(*names: str) -> dict[str, Column]:
@@ -67,11 +69,7 @@ def _specs() -> tuple[Scd2Spec, Scd2Spec, Scd2Spec]:
             "status": initcap_delims(F.col("status")),
             **_same("service_name", "monthly_revenue", "import_date", "import_date_time"),
         },
-        columns=(
-            "uuid external_id customer plan_points start_date due_date has_growth_formula"
-            " slack_channel team date_created date_updated is_active_register status"
-            " service_name monthly_revenue import_date import_date_time"
-        ).split(),
+        columns=tuple(schemas.DIM_CUSTOMER.fieldNames()),
         identity=("task_id", "service_name", "team"),
         tracked=("customer", "plan_points", "status", "monthly_revenue", "due_date", "team"),
     )
@@ -92,11 +90,7 @@ def _specs() -> tuple[Scd2Spec, Scd2Spec, Scd2Spec]:
             "due_date": parse_day_first(F.col("due_date"), strict=True),
             **_same("date_created", "date_updated", "import_date", "import_date_time"),
         },
-        columns=(
-            "uuid external_id member_name email position team capacity_points monthly_cost"
-            " slack_channel status list start_date due_date date_created date_updated"
-            " is_active_register import_date import_date_time"
-        ).split(),
+        columns=tuple(schemas.DIM_SQUAD.fieldNames()),
         identity=("task_id", "email", "team"),
         tracked=("member_name", "position", "team", "capacity_points", "status", "due_date"),
     )
@@ -126,12 +120,7 @@ def _specs() -> tuple[Scd2Spec, Scd2Spec, Scd2Spec]:
             "assignee_email": F.col("email"),
             **_same("import_date", "import_date_time"),
         },
-        columns=(
-            "uuid task_id task_name sprint customer team assignee reviewer priority category"
-            " status list points_estimate points_estimated_rolled_up start_date due_date"
-            " date_closed date_done date_created date_updated is_active_register quality_score"
-            " assignee_email import_date import_date_time"
-        ).split(),
+        columns=tuple(schemas.DIM_TASK.fieldNames()),
         identity=("task_id", "team"),
         tracked=("task_name", "status", "points_estimate", "assignee_email", "sprint", "customer"),
     )
@@ -159,6 +148,55 @@ def matching_new_key(spec: Scd2Spec) -> Scd2Spec:
     return replace(spec, new_key=spec.match_key)
 
 
+def consolidated_customer_spec() -> Scd2Spec:
+    """The customer dimension for consolidated rows, which have no service name: the customer's id
+    is the key of both searches."""
+    key = ("task_id", "external_id")
+    return replace(
+        customer_spec(), match_key=key, new_key=key, new_probe="external_id", new_required="task_id",
+        identity=("task_id",),
+    )
+
+
+def by_team(spec: Scd2Spec) -> Scd2Spec:
+    """The same dimension with a chain of versions per key and team.
+
+    The source hands out one row per team of a service or member, so several rows of a key are
+    normal input; with the team in both keys each of them is a record of its own. A missing team
+    is a team like any other.
+    """
+    return replace(spec, with_team=True)
+
+
+_KEYS = ("_match", "_new")
+
+
+def _with_keys(spec: Scd2Spec, rows: DataFrame, side: int) -> DataFrame:
+    """Rows with the two keys as single columns; a missing key stays missing whatever the team."""
+    for name, pair in zip(_KEYS, (spec.match_key, spec.new_key)):
+        key = F.col(pair[side])
+        both = F.to_json(F.struct(key.alias("k"), F.coalesce(F.to_json(F.array("team")), F.lit("")).alias("t")))
+        rows = rows.withColumn(name, F.when(key.isNotNull(), both))
+    return rows
+
+
+def repeated_keys(stg: DataFrame, spec: Scd2Spec) -> DataFrame:
+    """(key, n) of the keys that several rows of a stage have, required rows only."""
+    if spec.with_team:
+        stg = _with_keys(spec, stg, 0)
+    key = _KEYS[0] if spec.with_team else spec.match_key[0]
+    rows = stg.filter(F.col(spec.stg_required).isNotNull() & F.col(key).isNotNull())
+    return rows.groupBy(F.col(key).cast("string").alias("key")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+
+
+def require_unique(stg: DataFrame, spec: Scd2Spec) -> None:
+    """Raise if any key of a stage occurs twice, before anything is written."""
+    found = repeated_keys(stg, spec).limit(5).collect()
+    if found:
+        shown = ", ".join(f"{r['key']} ({r['n']} rows)" for r in found)
+        raise ValueError(f"{spec.table}: several staged rows for one key: {shown}")
+
+
 def _stable_row(spec: Scd2Spec, replaced: Column) -> Column:
     parts = [F.col(c) for c in spec.identity]
     return stable_id(spec.table, *parts, F.unix_micros("import_date_time"), replaced)
@@ -314,11 +352,17 @@ def scd2_parts(
     the ones read twice: the rows to re-insert and the rows unknown to the active part.
     """
     keep = stage or (lambda df, _: df)
+    dim = dim.select(*spec.columns)
+    if spec.with_team:
+        dim, stg = _with_keys(spec, dim, 1), _with_keys(spec, stg, 0)
+        spec = replace(spec, match_key=(_KEYS[0],) * 2, new_key=(_KEYS[1],) * 2, columns=(*spec.columns, *_KEYS),
+                       values={**spec.values, **_same(*_KEYS)}, with_team=False)
+        parts = scd2_parts(dim, stg, spec, change, duplicates, stage)
+        return Scd2Result(*[getattr(parts, f).drop(*_KEYS) for f in ("current", "fresh", "new", "history")])
     if duplicates == "latest":
         stg = latest_per_key(stg, spec.match_key[0], [spec.latest_by])
     elif duplicates != "error":
         raise ValueError(f"unknown duplicate policy {duplicates!r}")
-    dim = dim.select(*spec.columns)
     flagged = flag_changed(dim, stg, spec, change, duplicates)
     fresh = keep(
         reinsert(stg, changed_rows(flagged, spec), spec, change), f"{spec.table}_need_updates"

@@ -3,8 +3,10 @@
 Adaptive execution splits a skewed partition only when the shuffle feeds the join directly, and in
 a left join only on the left. The other cases are salted here: hot keys are found by a
 pre-aggregated count, each gets as many sub-keys as it has times ``HOT_ROWS`` rows, its rows are
-spread over them by the partition they come from, and the few matching rows of the other side are
-repeated once per sub-key. A recomputed task gives its rows the same sub-keys again.
+spread over them by a hash of all their columns, and the few matching rows of the other side are
+repeated once per sub-key. The sub-key depends on the row alone, so it spreads rows that one
+partition holds already, and a recomputed task gives its rows the same one again. Rows equal in
+every column share a sub-key.
 """
 
 from __future__ import annotations
@@ -15,10 +17,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key counts as hot from this many rows on. The hot keys of N rows number at most
-# N / HOT_ROWS, which is what bounds the broadcast below: 100,000 keys for 10^11 rows.
+# A key counts as hot from this many rows on, so the hot keys of N rows number at most
+# N / HOT_ROWS. Whether that list is broadcast is left to its measured size.
 HOT_ROWS = 1_000_000
 
+# Rows without a key match nothing; as many sub-keys as an integer has spread any number of them.
+_NULL_SALTS = 2**31 - 1
+
 
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, n): partial counts are combined before the shuffle, so a hot key costs nothing."""
@@ -33,8 +38,10 @@ def hot_keys(counts: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -
     return counts.filter(F.col("n") >= hot_rows).select(*keys, salts)
 
 
-def _spread(salts: Column) -> Column:
-    return F.pmod(F.spark_partition_id(), salts)
+def spread_over(df: DataFrame, salts: Column) -> Column:
+    """A sub-key from a hash of the whole row."""
+    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.pmod(F.xxhash64(*hashable), salts).cast("int")
 
 
 def _every(salts: Column) -> Column:
@@ -77,14 +84,14 @@ def salted_join(
     names = [a for a, _ in pairs]
     marks = [f"_hot_{i}" for i in range(len(names))]
     renamed = [F.col(n).alias(m) for n, m in zip(names, marks)]
-    flagged = F.broadcast(hot.select(*renamed, F.col("salts").alias("_salts")))
+    flagged = hot.select(*renamed, F.col("salts").alias("_salts"))
 
     def tag(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         test = same_keys(list(zip(columns, marks)), null_safe)
         return df.join(flagged, test, "left").drop(*marks)
 
     salts = F.col("_salts")
-    left_salt = F.when(salts.isNotNull(), _spread(salts)).otherwise(F.lit(-1))
+    left_salt = F.when(salts.isNotNull(), spread_over(left, salts)).otherwise(F.lit(-1))
     left_salted = tag(left, names).withColumn("_salt", left_salt).drop("_salts")
 
     right_keys = [f"_right_{i}" for i in range(len(names))]
@@ -112,7 +119,7 @@ def left_fan_out(
     key column is dropped.
     """
     hot = hot_keys(key_counts(right, [right_key]), [right_key], hot_rows)
-    flagged = F.broadcast(hot.select(F.col(right_key).alias("_hot_key"), F.col("salts").alias("_salts")))
+    flagged = hot.select(F.col(right_key).alias("_hot_key"), F.col("salts").alias("_salts"))
 
     def tag(df: DataFrame, key: str) -> DataFrame:
         return df.join(flagged, F.col(key) == F.col("_hot_key"), "left").drop("_hot_key")
@@ -120,12 +127,12 @@ def left_fan_out(
     salts = F.col("_salts")
     left_salts = (
         F.when(salts.isNotNull(), _every(salts))
-        .when(F.col(left_key).isNull(), F.array(-F.lit(1) - F.spark_partition_id()))
+        .when(F.col(left_key).isNull(), F.array(F.lit(-1) - spread_over(left, F.lit(_NULL_SALTS))))
         .otherwise(F.array(F.lit(0)))
     )
     left_salted = tag(left, left_key).withColumn("_salt", F.explode(left_salts))
     lookup = right.withColumn("_rkey", F.col(right_key)).drop(right_key)
-    right_salt = F.when(salts.isNotNull(), _spread(salts)).otherwise(F.lit(0))
+    right_salt = F.when(salts.isNotNull(), spread_over(lookup, salts)).otherwise(F.lit(0))
     right_salted = tag(lookup, "_rkey").withColumn("_right_salt", right_salt).drop("_salts")
     test = (F.col(left_key) == F.col("_rkey")) & (F.col("_salt") == F.col("_right_salt"))
     joined = left_salted.join(right_salted, test, "left")

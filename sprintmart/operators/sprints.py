@@ -58,10 +58,9 @@ class Calendar:
 
     windows: Sequence[Window]
 
-    def __post_init__(self) -> None:
-        days = sum((w.end - w.start).days + 1 for w in self.windows)
-        if days > MAX_CALENDAR_DAYS:
-            raise ValueError(f"calendar spans {days} days, more than {MAX_CALENDAR_DAYS}")
+    @property
+    def n_days(self) -> int:
+        return sum((w.end - w.start).days + 1 for w in self.windows)
 
     @staticmethod
     def regular(
@@ -122,6 +121,8 @@ def assign_sprint(df: DataFrame, instant: str, calendar: Calendar, columns: Sequ
     join on the day with a table of at most ``MAX_CALENDAR_DAYS`` rows, not a range comparison
     of every row with every window.
     """
+    if calendar.n_days > MAX_CALENDAR_DAYS:
+        raise ValueError(f"calendar spans {calendar.n_days} days, more than {MAX_CALENDAR_DAYS} to broadcast")
     days = F.broadcast(calendar.days(df.sparkSession).select("_day", *columns))
     return (
         df.withColumn("_on", F.to_date(F.col(instant)))

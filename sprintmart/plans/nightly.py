@@ -6,6 +6,7 @@ from dataclasses import dataclass, replace
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sprintmart.operators.fact import fact_new_rows
 from sprintmart.operators.history import TeamField, history_payload
@@ -13,14 +14,18 @@ from sprintmart.operators.scd2 import (
     Scd2Result,
     Scd2Spec,
     Stage,
+    by_team,
+    consolidated_customer_spec,
     customer_spec,
+    matching_new_key,
+    require_unique,
     scd2_parts,
     squad_spec,
     task_spec,
 )
-from sprintmart.operators.sprints import Calendar, current_sprint_rows
+from sprintmart.operators.sprints import Calendar, assign_sprint, current_sprint_rows
 from sprintmart.plans.extracts import customers_extract, squads_extract, tasks_extract
-from sprintmart.plans.staging import stg_customer, stg_squad, stg_task
+from sprintmart.plans.staging import stg_customer, stg_service, stg_squad, stg_task
 from sprintmart.plans.tables import Tables
 from sprintmart.schemas import (
     ASSOCIATION_PAGE,
@@ -40,7 +45,7 @@ from sprintmart.sources.pages import read_pages, write_jsonl
 from sprintmart.sources.workspace import TreeRules
 
 DIMENSIONS = ("dim_customer", "dim_squad", "dim_task")
-STAGES = ("stg_customer", "stg_squad", "stg_task")
+STAGES = ("stg_customer", "stg_service", "stg_squad", "stg_task", "dim_sprint")
 FACT_TABLE = "fat_sprint_detail"
 PAYLOAD = "history_payload"
 
@@ -73,7 +78,10 @@ def read_landing(spark: SparkSession, root: str) -> Landing:
         "workspace": WORKSPACE,
         "task_pages": TASK_PAGE,
     }
-    return Landing(**{n: read_pages(spark, f"{root}/{n}", s) for n, s in schemas_of.items()})
+    required = {"workspace": "spaces", "task_pages": "tasks"}
+    return Landing(
+        **{n: read_pages(spark, f"{root}/{n}", s, required.get(n, "results")) for n, s in schemas_of.items()}
+    )
 
 
 @dataclass(frozen=True)
@@ -89,7 +97,11 @@ class Settings:
     tz: str = "UTC"
     sprint_field: str = "Custom Sprints"
     duplicates: str = "error"
+    change: str = "import_date"
+    team_key: bool = True
+    matching_key: bool = False
     consolidate: bool = False
+    services: bool = False
     year: int | None = None
 
     @property
@@ -102,8 +114,22 @@ class Settings:
 
     @property
     def sprint_year(self) -> int:
-        """The year in the sprint dimension's keys; by default that of the run."""
-        return self.year if self.year is not None else self.run_ts.year
+        """The year in the sprint dimension's keys for a task imported outside all sprints."""
+        if self.year is not None:
+            return self.year
+        window = self.calendar.current(self.today)
+        return window.year if window is not None else self.run_ts.year
+
+    def specs(self) -> tuple[Scd2Spec, Scd2Spec, Scd2Spec]:
+        """How the customer, squad and task dimensions are kept."""
+        if self.consolidate:
+            # One row per customer holds all its teams.
+            customer = consolidated_customer_spec()
+        else:
+            customer = matching_new_key(customer_spec()) if self.matching_key else customer_spec()
+            customer = by_team(customer) if self.team_key else customer
+        both = (squad_spec(), task_spec())
+        return (customer, *(by_team(s) if self.team_key else s for s in both))
 
 
 @dataclass(frozen=True)
@@ -143,18 +169,21 @@ def _as_is(df: DataFrame, _: str) -> DataFrame:
 
 def stage_all(landing: Landing, cfg: Settings, keep: Stage = _as_is) -> Staged:
     """Extract and clean the three sources."""
-    members, teams = squads_extract(landing.members, landing.member_teams, landing.teams)
+    members, teams = squads_extract(landing.members, landing.member_teams, landing.teams, keep)
     bought = customers_extract(
-        landing.customers, landing.customer_purchases, landing.purchases, landing.purchase_teams, teams
+        landing.customers, landing.customer_purchases, landing.purchases, landing.purchase_teams, teams, keep
     )
     found = tasks_extract(landing.workspace, landing.task_pages, cfg.tree_rules)
     current = keep(current_sprint_rows(found, cfg.calendar, cfg.today), "raw_task")
     squads = keep(stg_squad(members, cfg.run_ts), "stg_squad")
     customers = stg_customer(bought, cfg.run_ts, cfg.excluded_service, cfg.consolidate)
+    if cfg.services:
+        keep(stg_service(bought), "stg_service")
     return Staged(
         customers=keep(customers, "stg_customer"),
         squads=squads,
-        tasks=keep(stg_task(current, squads, cfg.run_ts, cfg.tz), "stg_task"),
+        # A member of two teams gives a task of the customer's team two equal rows, which are one record.
+        tasks=keep(stg_task(current, squads, cfg.run_ts, cfg.tz).distinct(), "stg_task"),
         raw_tasks=current,
     )
 
@@ -167,17 +196,32 @@ def run_night(landing: Landing, previous: Previous, cfg: Settings, keep: Stage =
     """
     require_utc(landing.members.sparkSession)
     staged = stage_all(landing, cfg, keep)
+    specs = cfg.specs()
+    if cfg.duplicates == "error":
+        for stg, spec in zip((staged.customers, staged.squads, staged.tasks), specs):
+            require_unique(stg, spec)
 
     def merge(dim: DataFrame, stg: DataFrame, spec: Scd2Spec) -> tuple[Scd2Result, DataFrame]:
-        merged = scd2_parts(dim, stg, spec, duplicates=cfg.duplicates, stage=keep)
+        merged = scd2_parts(dim, stg, spec, change=cfg.change, duplicates=cfg.duplicates, stage=keep)
         return merged, keep(merged.written, spec.table)
 
-    customer, customers = merge(previous.dim_customer, staged.customers, customer_spec())
-    squad, squads = merge(previous.dim_squad, staged.squads, squad_spec())
-    task, tasks = merge(previous.dim_task, staged.tasks, task_spec())
-    sprints = cfg.calendar.dimension(landing.members.sparkSession)
+    customer, customers = merge(previous.dim_customer, staged.customers, specs[0])
+    squad, squads = merge(previous.dim_squad, staged.squads, specs[1])
+    task, tasks = merge(previous.dim_task, staged.tasks, specs[2])
+    sprints = keep(cfg.calendar.dimension(landing.members.sparkSession), "dim_sprint")
+    # A task belongs to the sprint of the day it was staged, in that sprint's own year. The rows
+    # of this run carry the run's day, which near midnight is not the zone's.
+    window = cfg.calendar.current(cfg.today)
+    dated = assign_sprint(tasks, "import_date", cfg.calendar, ("label", "dim_name"))
+    here = F.col("import_date_time") == F.lit(cfg.run_ts)
+    own = F.when(F.col("label") == F.col("sprint"), F.col("dim_name"))
+    if window is not None:
+        own = F.when(here & (F.col("sprint") == window.label), F.lit(window.dim_name)).otherwise(own)
+    named = dated.withColumn("_sprint_name", own)
     # Only active rows join the fact, so the untouched histories stay out of its plan.
-    rows = fact_new_rows(tasks, sprints, customers, squads, previous.fact, cfg.sprint_year)
+    rows = fact_new_rows(
+        named, sprints, customers, squads, previous.fact, cfg.sprint_year, sprint_name="_sprint_name"
+    )
     payload = history_payload(staged.raw_tasks, staged.squads, cfg.team_field, sprint_field=cfg.sprint_field)
     return Night(
         staged, customer, squad, task, sprints, keep(rows, FACT_TABLE), keep(payload, PAYLOAD)

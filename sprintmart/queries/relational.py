@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sprintmart.functions.numbers import round_half_even
 from sprintmart.operators import consolidate as con
-from sprintmart.operators.dedup import duplicate_rows, unique_rows
+from sprintmart.operators.dedup import duplicate_rows, split_by_repetition, unique_rows
 from sprintmart.operators.joins import absent_from, left_lookup, look_up, not_in
 from sprintmart.operators.skew import hot_keys, key_counts, left_fan_out, salted_join
 from sprintmart.operators.sprints import (
@@ -25,6 +25,10 @@ from sprintmart.queries import fixtures as fx
 from sprintmart.queries.registry import Data, plain, query
 from sprintmart.queries.scalars import SPRINT_OF_ORDER
 
+# Rows from which a key counts as hot here, so that the test tables have hot keys at every scale.
+FEW = 4
+BUSY = 20
+
 # --- joins ---------------------------------------------------------------------------------
 
 
@@ -40,8 +44,8 @@ def left_fanout(d: Data) -> DataFrame:
     customers = d.customer.select("c_custkey")
     orders = d.orders.select("o_custkey", "o_orderkey")
     lines = d.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    bought = left_fan_out(customers, orders, "c_custkey", "o_custkey")
-    return left_fan_out(bought, lines, "o_orderkey", "l_orderkey")
+    bought = left_fan_out(customers, orders, "c_custkey", "o_custkey", hot_rows=FEW)
+    return left_fan_out(bought, lines, "o_orderkey", "l_orderkey", hot_rows=FEW)
 
 
 @query(
@@ -71,7 +75,9 @@ left join (select case when c_custkey <> 3 then c_custkey end as k, c_name from
 )
 def left_missing_key(d: Data) -> DataFrame:
     """A third of the orders has no key; they match nothing and are spread over the tasks."""
-    orders = d.orders.select("o_orderkey", F.when(F.col("o_custkey") % 3 != 0, F.col("o_custkey")).alias("k"))
+    present = F.when(F.col("o_custkey") % 3 != 0, F.col("o_custkey"))
+    # Whole numbers on one side, doubles on the other: equal numbers are equal keys.
+    orders = d.orders.select("o_orderkey", present.cast("double").alias("k"))
     customers = d.customer.select(F.when(F.col("c_custkey") != 3, F.col("c_custkey")).alias("ck"), "c_name")
     return left_lookup(orders, customers, "k", "ck", spread_by="o_orderkey").drop("k")
 
@@ -84,10 +90,10 @@ from events e left join customer on c_custkey = user_id
 """,
 )
 def left_hot_key(d: Data) -> DataFrame:
-    """A lookup with its hot keys salted, whichever users they are."""
+    """A lookup with its hot keys salted: here those of the busier users."""
     events = d.events.select("event_id", "event_type", "user_id")
     customers = d.customer.select("c_custkey", "c_name", "c_mktsegment")
-    hot = hot_keys(key_counts(events, ["user_id"]), ["user_id"])
+    hot = hot_keys(key_counts(events, ["user_id"]), ["user_id"], BUSY)
     return salted_join(events, customers, [("user_id", "c_custkey")], "left", hot)
 
 
@@ -323,7 +329,7 @@ REPEATED = f"from (select *, count(*) over (partition by l_orderkey, l_linenumbe
 
 @query("dup_rows", f"select * exclude (n) {REPEATED} where n > 1")
 def dup_rows(d: Data) -> DataFrame:
-    return duplicate_rows(d.sql(LINES), LINE_KEY)
+    return duplicate_rows(d.sql(LINES), LINE_KEY, hot_rows=3)
 
 
 @query("unique_rows", f"select * exclude (n) {REPEATED} where n = 1")
@@ -334,8 +340,9 @@ def unique_rows_query(d: Data) -> DataFrame:
 @query("union_all", plain(LINES))
 def union_all(d: Data) -> DataFrame:
     """Unique and repeated rows put together again, by column name."""
-    once = unique_rows(d.sql(LINES), LINE_KEY)
-    return once.unionByName(duplicate_rows(d.sql(LINES), LINE_KEY).select(*reversed(once.columns)))
+    rows = split_by_repetition(d.sql(LINES), LINE_KEY)
+    once, again = (rows.filter(test).drop("repeated") for test in ("not repeated", "repeated"))
+    return once.unionByName(again.select(*reversed(once.columns)))
 
 
 @query("sorted_output", plain(LINES) + " order by l_orderkey, l_linenumber, l_partkey")

@@ -424,7 +424,8 @@ EPOCH_SQL = "epoch_ms(case when regexp_full_match(raw, '[0-9]{1,15}') then cast(
     "epoch_ms_date",
     f"""
 select event_id, cast({EPOCH_SQL} as date) as utc_day,
-       cast({EPOCH_SQL} - interval 3 hour as date) as west_day
+       cast({EPOCH_SQL} - interval 3 hour as date) as west_day,
+       cast(timestamp '1970-01-01' + to_milliseconds(event_id * 1000000007) as date) as number_day
 from ({plain(EPOCH_TEXT)})
 """,
 )
@@ -434,6 +435,7 @@ def epoch_ms_date(d: Data) -> DataFrame:
         "event_id",
         dates.epoch_ms_date(F.col("raw")).alias("utc_day"),
         dates.epoch_ms_date(F.col("raw"), "Etc/GMT+3").alias("west_day"),
+        dates.epoch_ms_date((F.col("event_id") * F.lit(1000000007)).cast("double")).alias("number_day"),
     )
 
 

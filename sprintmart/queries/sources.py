@@ -62,7 +62,7 @@ TREE = TreeRules(("AFRICA", "EUROPE"), "ASIA", "NATION_7", "Customer#000000107")
 @query(
     "tree_filter",
     """
-select r_name as space, n_name as folder, cast(c_custkey as varchar) as list_id,
+select nullif(r_name, 'AMERICA') as space, n_name as folder, cast(c_custkey as varchar) as list_id,
        c_name as list_name
 from customer join nation on n_nationkey = c_nationkey join region on r_regionkey = n_regionkey
 where r_name not in ('AFRICA', 'EUROPE')
@@ -70,7 +70,8 @@ where r_name not in ('AFRICA', 'EUROPE')
 """,
 )
 def tree_filter(d: Data) -> DataFrame:
-    """Spaces are regions, folders nations, lists customers; a document holds one page of lists."""
+    """Spaces are regions, folders nations, lists customers; a document holds one page of lists. One
+    space has no name."""
     item = F.struct(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"))
     lists = (
         d.customer.withColumn("page", fx.page_number())
@@ -84,7 +85,7 @@ def tree_filter(d: Data) -> DataFrame:
     )
     space = F.struct(
         F.col("r_regionkey").cast("string").alias("id"),
-        F.col("r_name").alias("name"),
+        F.nullif(F.col("r_name"), F.lit("AMERICA")).alias("name"),
         F.array(folder).alias("folders"),
     )
     text = lists.select(F.to_json(F.struct(F.array(space).alias("spaces"))).alias("tree"))

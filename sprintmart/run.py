@@ -11,6 +11,11 @@ The settings file holds what differs between installations::
       "excluded_service": "...", "tz": "America/Sao_Paulo", "duplicates": "error"
     }
 
+Further settings, with their defaults: ``change`` ("import_date"; or "attributes"), ``team_key`` (true: one chain
+of versions per key and team), ``matching_key`` (false), ``consolidate`` (false), ``services`` (false: also store
+the purchased services), ``year``. With ``--list-obsolete`` the run ends by printing folders that a cleaner may
+drop: intermediate tables of a day ago, and active rows that a later run replaced.
+
 An irregular calendar lists its windows instead: ``{"windows": [[1, "2025-01-07", "2025-01-20", 2025]]}``.
 """
 
@@ -27,12 +32,15 @@ from pyspark.sql import SparkSession
 
 from sprintmart.operators.history import TeamField
 from sprintmart.operators.sprints import SPRINT_DAYS, Calendar, Window
-from sprintmart.plans.nightly import Settings, publish_night, read_landing
+from sprintmart.plans.nightly import DIMENSIONS, Settings, publish_night, read_landing
 from sprintmart.plans.tables import RUN_FORMAT, Tables
 from sprintmart.session import build_session
 from sprintmart.sources.workspace import TreeRules
 
-OPTIONAL = ("excluded_service", "tz", "sprint_field", "duplicates", "consolidate", "year")
+OPTIONAL = (
+    "excluded_service", "tz", "sprint_field", "duplicates", "change", "team_key", "matching_key", "consolidate",
+    "services", "year",
+)
 
 
 def calendar_of(spec: Mapping[str, Any]) -> Calendar:
@@ -71,6 +79,7 @@ def main(argv: list[str] | None = None) -> None:
     for name in ("landing", "mart", "settings"):
         parser.add_argument(f"--{name}", required=True)
     parser.add_argument("--run-ts", help="ISO instant of the run, by default now; repeat it to redo a run")
+    parser.add_argument("--list-obsolete", action="store_true", help="print folders that may be dropped")
     args = parser.parse_args(argv)
     run_ts = datetime.fromisoformat(args.run_ts) if args.run_ts else datetime.now(timezone.utc)
     if run_ts.tzinfo is None:
@@ -79,7 +88,11 @@ def main(argv: list[str] | None = None) -> None:
         spec = json.load(file)
     spark = build_session("sprintmart-nightly")
     try:
-        run(spark, args.landing, args.mart, spec, run_ts.astimezone(timezone.utc).replace(microsecond=0))
+        run_ts = run_ts.astimezone(timezone.utc).replace(microsecond=0)
+        tables = run(spark, args.landing, args.mart, spec, run_ts)
+        if args.list_obsolete:
+            for path in [*tables.expired_stages(run_ts), *(p for t in DIMENSIONS for p in tables.superseded(t))]:
+                print(path)
     finally:
         spark.stop()
 

@@ -1,4 +1,7 @@
-"""Schemas of the landed JSON, the staging tables, the dimensions and the fact."""
+"""Schemas of the landed JSON, the staging tables, the dimensions and the fact.
+
+Fixed values: all field and column names below are those of the sources and of the published tables.
+"""
 
 from __future__ import annotations
 

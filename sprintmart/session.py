@@ -46,8 +46,14 @@ def _local_root() -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path for one run's intermediate tables, in the folder the cluster shares.
 
-    The shared folder is ``spark.checkpoint.dir``; only a session without that setting (a test
-    on one machine) falls back to a temporary folder.
+    The shared folder is ``spark.checkpoint.dir``; only a session without that setting on one
+    machine (a test) falls back to a temporary folder. On a cluster that folder would be another
+    one on each executor, so there the setting is required.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _local_root()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = _local_root()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

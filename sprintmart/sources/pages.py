@@ -7,13 +7,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_pages(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+_CORRUPT = "_corrupt_record"
+
+
+def read_pages(spark: SparkSession, path: str, schema: T.StructType, required: str = "results") -> DataFrame:
     """Every landed page under ``path``, one row each, with a fixed schema.
 
     No schema inference, so the files are read once, and an empty folder gives an empty frame of
-    the right shape.
+    the right shape. A line that is no JSON, or a page without its ``required`` field (an error
+    body, say), stops the job with the name of its file; an empty list is a page like any other.
     """
-    return spark.read.schema(schema).json(path)
+    landed = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    rows = spark.read.schema(landed).option("columnNameOfCorruptRecord", _CORRUPT).json(path)
+    message = F.concat(F.lit(f"no page with {required} in "), F.input_file_name())
+    unreadable = F.col(_CORRUPT).isNotNull() | F.col(required).isNull()
+    # The test stands in the one column that every reader of the page uses.
+    checked = F.when(unreadable, F.raise_error(message).cast(schema[required].dataType)).otherwise(F.col(required))
+    return rows.select(*[checked.alias(c) if c == required else F.col(c) for c in schema.fieldNames()])
 
 
 def parse_pages(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:

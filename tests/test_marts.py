@@ -339,13 +339,14 @@ def test_scratch_follows_the_session(spark):
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
 
 
-def test_an_unfinished_run_is_not_read(spark, tmp_path):
+def test_an_unfinished_run_is_not_read(spark, tmp_path, monkeypatch):
     old = tables(spark, tmp_path, RUN_TS)
     publish_night(landing(spark), old, settings())
     broken = tables(spark, tmp_path, RUN_TS + timedelta(hours=1))
     rows = old.read_dimension("dim_squad", schemas.DIM_SQUAD, including=True)
-    broken.write_dimension(rows.withColumn("is_active_register", F.lit(False)), "dim_squad")
-    (tmp_path / "dim_squad" / f"run={broken.run}" / "_SUCCESS").unlink()
+    with monkeypatch.context() as stopped:
+        stopped.setattr(Tables, "_commit", lambda *_: None)
+        broken.write_dimension(rows.withColumn("is_active_register", F.lit(False)), "dim_squad")
     after = tables(spark, tmp_path, RUN_TS + timedelta(days=1))
     got = after.read_dimension("dim_squad", schemas.DIM_SQUAD).collect()
     assert [r.is_active_register for r in got] == [True]

@@ -38,9 +38,11 @@ def test_current_window_and_gaps():
     assert CALENDAR_2025.current(date(2025, 12, 23)) is None
 
 
-def test_calendar_size_is_checked():
+def test_calendar_size_is_checked_where_it_is_expanded(spark):
+    long = Calendar([Window(1, date(1500, 1, 1), date(2500, 1, 1), 1500)])
+    assert long.current(date(2000, 1, 1)).number == 1
     with pytest.raises(ValueError, match="days"):
-        Calendar([Window(1, date(1500, 1, 1), date(2500, 1, 1), 1500)])
+        assign_sprint(spark.sql("select date '2000-01-01' as d"), "d", long)
 
 
 def test_assignment_at_window_edges(spark):
