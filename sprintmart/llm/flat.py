@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +37,12 @@ def pieces(offsets: np.ndarray, limit: int = PIECE_BYTES) -> Iterator[tuple[int,
         first = last
 
 
+def release() -> None:
+    """Give back memory that a worker process holds between two large pieces of work."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every input bit."""
     x = values ^ (values >> np.uint64(30))

@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sprintmart.llm.flat import SPACE, Rolling, flat_texts, joined, mix, pieces, runs
+from sprintmart.llm.flat import SPACE, Rolling, flat_texts, joined, mix, pieces, release, runs
+from sprintmart.llm.membership import may_have
 from sprintmart.llm.stored import stored
 
 MIN_WORDS = 50
@@ -91,23 +92,32 @@ _PAIR = ["key", "at", "n", "to", "to_at"]
 _PAIR_KINDS = ["<i8", "<u4", "<u4", "<i8", "<u4"]
 
 
-def settle(hash_: np.ndarray, side: np.ndarray, key: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Occurrences and the first one each agrees with in chunk and side, as index pairs."""
+def settle(hash_: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of entries in the order of key and place: those that agree with an earlier one in chunk and side, the first
+    each agrees with, and all that are first. A side of 0 agrees with nothing."""
     use = np.flatnonzero(side != 0)
-    if not len(use):
-        return use, use
     group = mix(hash_[use] ^ mix(side[use]))
-    order = use[np.lexsort((at[use], key[use], group))]
-    group = mix(hash_[order] ^ mix(side[order]))
-    head = np.concatenate(([True], group[1:] != group[:-1]))
-    first = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))]
-    other = (key[order] != key[first]) | (at[order] != at[first])
-    return order[other], first[other]
-
-
-def _pairs(hash_, left, right, key, at, n) -> list[np.ndarray]:
-    x, y = (np.concatenate(c) for c in zip(settle(hash_, left, key, at), settle(hash_, right, key, at), strict=True))
-    return [key[x], at[x], n[x], key[y], at[y]]
+    order = np.argsort(group, kind="stable")
+    group, order = group[order], use[order]
+    head = np.ones(len(order), bool)
+    head[1:] = group[1:] != group[:-1]
+    first = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))] if len(order) else order
+    return order[~head], first[~head], order[head]
+
+
+def _settled(entries: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Pairs (key, at, n, to, to_at) of agreeing occurrences, and the entries that are first in chunk and side."""
+    order = np.lexsort((entries[4], entries[3]))
+    entries = [c[order] for c in entries]
+    # A place that came several times is one place.
+    hash_, left, right, key, at, n = entries
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (at[1:] != at[:-1])
+    hash_, left, right, key, at, n = entries = [c[new] for c in entries]
+    found = [settle(hash_, side) for side in (left, right)]
+    x, y = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+    heads = np.unique(np.concatenate([f[2] for f in found]))
+    return [key[x], at[x], n[x], key[y], at[y]], [c[heads] for c in entries]
 
 
 _PACKED = "bucket int, hashes binary, lefts binary, rights binary, keys binary, ats binary, ns binary, " + ", ".join(
@@ -158,22 +168,16 @@ def pack_chunks(texts: DataFrame, buckets: int, min_words: int) -> DataFrame:
                     held, size = [], 0
         if held:
             yield _close(held, buckets)
+            held.clear()
+        release()
 
     return texts.mapInArrow(packs, _PACKED)
 
 
 def _close(held: list[list[np.ndarray]], buckets: int) -> pa.RecordBatch:
-    hash_, left, right, key, at, n = (np.concatenate(c) for c in zip(*held, strict=True))
-    pairs = _pairs(hash_, left, right, key, at, n)
     # Only the first occurrence of each chunk and side goes on; a later one is settled already.
-    go = np.zeros(len(hash_), bool)
-    for side in (left, right):
-        use = np.flatnonzero(side != 0)
-        group = mix(hash_[use] ^ mix(side[use]))
-        order = use[np.lexsort((at[use], key[use], group))]
-        group = mix(hash_[order] ^ mix(side[order]))
-        go[order[np.concatenate(([True], group[1:] != group[:-1]))] if len(order) else order] = True
-    return _packed([c[go] for c in (hash_, left, right, key, at, n)], pairs, buckets)
+    pairs, first = _settled([np.concatenate(c) for c in zip(*held, strict=True)])
+    return _packed(first, pairs, buckets)
 
 
 _MATCH = "part int, " + ", ".join(f"p_{c} binary" for c in _PAIR)
@@ -184,9 +188,10 @@ def _matches_of_bucket(parts: int):
     """Pairs of occurrences of a bucket's chunks, dealt out by document."""
 
     def match(table: pa.Table) -> pa.Table:
+        release()
         names = ["hashes", "lefts", "rights", "keys", "ats", "ns"]
-        hash_, left, right, key, at, n = (joined(table, c, k) for c, k in zip(names, _ENTRY_KINDS, strict=True))
-        own = _pairs(hash_, left.astype(np.uint64), right.astype(np.uint64), key, at, n)
+        entries = [joined(table, c, k) for c, k in zip(names, _ENTRY_KINDS, strict=True)]
+        own, _ = _settled([c.astype(np.uint64) if i < 3 else c for i, c in enumerate(entries)])
         done = [joined(table, f"p_{c}", k) for c, k in zip(_PAIR, _PAIR_KINDS, strict=True)]
         pairs = [np.concatenate(c) for c in zip(own, done, strict=True)]
         part = (pairs[0].view(np.uint64) % np.uint64(parts)).astype(np.int64)
@@ -251,16 +256,34 @@ def cut_out(text: Column, stretches: Column) -> Column:
     return pick(text, stretches)
 
 
+def _equal_parts(
+    x: np.ndarray, xs: np.ndarray, xe: np.ndarray, y: np.ndarray, ys: np.ndarray, ye: np.ndarray
+) -> np.ndarray:
+    """Whether part i of x, from xs[i] to xe[i], has the bytes of part i of y."""
+    size = xe - xs
+    same = size == ye - ys
+    at = np.flatnonzero(same & (size > 0))
+    if len(at):
+        sizes = size[at]
+        first = np.cumsum(sizes) - sizes
+        inner = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
+        equal = x[np.repeat(xs[at], sizes) + inner] == y[np.repeat(ys[at], sizes) + inner]
+        same[at] = np.logical_and.reduceat(equal, first)
+    return same
+
+
 def equal_runs(x: bytes, y: bytes, min_words: int) -> list[tuple[int, int]]:
     """Runs of at least ``min_words`` words, numbered from 0, that both texts have at the same numbers, byte by
     byte with the white space between them."""
     (xs, xe), (ys, ye) = _word_spans(x), _word_spans(y)
     n = min(len(xs), len(ys))
-    same = np.array([x[xs[i] : xe[i]] == y[ys[i] : ye[i]] for i in range(n)], bool)
-    gap = np.array([x[xe[i] : xs[i + 1]] == y[ye[i] : ys[i + 1]] for i in range(n - 1)], bool)
-    breaks = np.flatnonzero(~gap) + 1
-    first, last = runs(same, np.concatenate(([0], breaks))) if n else (np.zeros(0, int), np.zeros(0, int))
-    return [(int(a), int(b)) for a, b in zip(first, last, strict=True) if b - a >= min_words]
+    if n < min_words:
+        return []
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    same = _equal_parts(a, xs[:n], xe[:n], b, ys[:n], ye[:n])
+    gap = _equal_parts(a, xe[: n - 1], xs[1:n], b, ye[: n - 1], ys[1:n])
+    first, last = runs(same, np.concatenate(([0], np.flatnonzero(~gap) + 1)))
+    return [(int(i), int(j)) for i, j in zip(first, last, strict=True) if j - i >= min_words]
 
 
 def compared(x: Column, y: Column, min_words: int) -> Column:
@@ -326,8 +349,11 @@ def repeated_spans(texts: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     wanted = regions.select("key", "first", "last").unionByName(
         regions.select(F.col("to").alias("key"), F.col("to_first").alias("first"), F.col("to_last").alias("last"))
     )
-    per_text = wanted.groupBy("key").agg(F.collect_set(F.struct("first", "last")).alias("stretches"))
-    cut = texts.join(per_text, "key").select("key", "stretches", cut_out(F.col("text"), F.col("stretches")).alias("c"))
+    per_text = stored(
+        wanted.groupBy("key").agg(F.collect_set(F.struct("first", "last")).alias("stretches")), "wanted"
+    )
+    affected = texts.where(may_have(per_text, "key")(F.col("key")))
+    cut = affected.join(per_text, "key").select("key", "stretches", cut_out(F.col("text"), F.col("stretches")).alias("c"))
     parts = stored(
         cut.select("key", F.explode(F.arrays_zip("stretches", "c")).alias("p"))
         .select("key", "p.stretches.first", "p.stretches.last", F.col("p.c").alias("bytes"))
@@ -349,12 +375,18 @@ def without_repeats(
     key = document_key(doc_id, text)
     spans = stored(repeated_spans(docs.select(key.alias("key"), F.col(text).alias("text")), min_words), "spans")
     kept = [c for c in docs.columns if c != into]
-    marked = docs.select(F.struct(*kept).alias("row"), key.alias("key")).join(spans, "key", "left")
+    rows = docs.select(F.struct(*kept).alias("row"), key.alias("key"))
+    here = may_have(spans, "key")(F.col("key"))
+    # Rows that no passage is removed from are not shuffled.
+    marked = rows.where(here).join(spans, "key", "left").unionByName(
+        rows.where(~here).withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
+    )
     row_text = F.col("row")[text]
     nothing = F.array().cast(spans.schema["spans"].dataType)
+    # Texts that keep everything need not pass through the function.
+    affected = F.col("spans").isNotNull()
     cleaned = marked.select(
-        "row",
-        F.when(F.col("spans").isNotNull(), struck(row_text, F.coalesce("spans", nothing))).alias("struck"),
+        "row", F.when(affected, struck(F.when(affected, row_text), F.coalesce("spans", nothing))).alias("struck")
     )
     return cleaned.select(
         "row.*",
