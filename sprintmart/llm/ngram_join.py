@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sprintmart.llm.components import components
-from sprintmart.llm.flat import LOWER, SPACE, Rolling, flat_texts, joined, mix, pieces, runs
+from sprintmart.llm.flat import LOWER, SPACE, Rolling, flat_texts, joined, mix, pieces, release, runs
 from sprintmart.llm.stored import stored
 
 WORDS = 5
@@ -45,7 +45,7 @@ NUM, DEN = 3, 4
 #: Shingles of a bucket, and bytes of text whose shingles are packed together.
 BUCKET_GRAMS = 1_000_000
 MIN_BUCKETS = 64
-PACK_BYTES = 16 << 20
+PACK_BYTES = 8 << 20
 
 _BYTES = Rolling(0x9D8F3C2A17B5E461)
 _WORDS = Rolling(0xC2B2AE3D27D4EB4F)
@@ -142,6 +142,8 @@ def pack_shingles(texts: DataFrame, buckets: int) -> DataFrame:
                     yield from _close(held, buckets)
                     held, size = [], 0
         yield from _close(held, buckets)
+        held.clear()
+        release()
 
     return texts.mapInArrow(packs, _PACKED)
 
@@ -159,6 +161,7 @@ def _shared_of_bucket(parts: int):
     """Finds the shingles of a bucket that several contents have, and deals them out by content."""
 
     def find(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        release()
         raw = joined(table, "grams", np.uint8).reshape(-1, 6)
         gram = np.zeros((len(raw), 8), np.uint8)
         gram[:, :6] = raw
@@ -212,6 +215,7 @@ def parity_bits(grams: np.ndarray) -> np.ndarray:
 
 def _records_of_part(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """Contents whose prefix holds shared shingles, with all their shared shingles, rare ones first."""
+    release()
     owner, size = joined(table, "keys", "<i8"), joined(table, "sizes", "<u4").astype(np.int64)
     gram, freq = joined(table, "grams", "<u8"), joined(table, "freqs", "<u4")
     order = np.lexsort((gram, freq, owner))

@@ -20,7 +20,7 @@ from sprintmart.llm import (
     toxicity,
     warc,
 )
-from sprintmart.llm.workers import let_workers_import
+from sprintmart.llm.workers import prepare
 from sprintmart.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,7 +36,7 @@ def query(name: str, oracle: str | None = None):
 
     def register(make: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            let_workers_import(spark)
+            prepare(spark)
             return make(spark, sf_dir)
 
         QUERIES[name] = run
