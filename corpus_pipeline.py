@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sprintmart.llm import bpe, decontaminate, line_dedup, ngram_join, toxicity
 from sprintmart.llm.stored import stored
-from sprintmart.llm.workers import let_workers_import
+from sprintmart.llm.workers import prepare
 
 #: Documents from this score on are rejected.
 TOXIC_FROM = 0.7
@@ -31,7 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression-distance model rejects go. It learns from the labels of two thirds of
     the documents, as the single query does. Texts without words stay."""
-    let_workers_import(spark)
+    prepare(spark)
     fold = F.crc32(F.col("doc_id").cast("string")) % 3
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(fold != 1)
     model = toxicity.train(*toxicity.training_sample(docs, labels))
@@ -43,7 +43,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that stand at an earlier place go; a document that consists of such passages alone goes with
     them. ``n_chars`` follows the text."""
-    let_workers_import(spark)
+    prepare(spark)
     cleaned = line_dedup.without_repeats(docs, into="_repeats")
     emptied = (F.col("_repeats.removed_words") > 0) & ~F.col("_repeats.text").rlike(r"[^\x20\x09-\x0D]")
     changed = F.col("_repeats.removed_words") > 0
@@ -60,20 +60,20 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, that with the smallest id."""
-    let_workers_import(spark)
+    prepare(spark)
     return ngram_join.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with passages of the benchmark go."""
-    let_workers_import(spark)
+    prepare(spark)
     marked = decontaminate.mark_hits(docs, table(spark, sf_dir, "benchmark"), into="_hits")
     return marked.where(~decontaminate.is_contaminated("_hits")).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the text that they decode to."""
-    let_workers_import(spark)
+    prepare(spark)
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     both = docs.select("doc_id", "lang", "source", bpe.round_trip(F.col("text"), path, public_tokenizers.PATTERN).alias("t"))
     return both.select(
