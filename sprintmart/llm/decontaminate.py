@@ -82,7 +82,7 @@ def scan(machine, text: str) -> tuple[int, np.ndarray, list[tuple[int, int]], li
     plain = text.encode().translate(_TABLE)
     words = plain.split()
     line = b" " + b" ".join(words) + b" "
-    matches = list(machine.iter(line.decode("latin-1"))) if words else []
+    matches = list(machine.iter(line.decode("latin-1"))) if words and len(machine) else []
     if not matches:
         return len(words), np.zeros(0, np.int64), [], []
     gaps = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)

@@ -16,6 +16,7 @@ missing), and a table without rows gives none.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -179,8 +180,7 @@ def train(texts: list[str | None], labels: list[int], folds: int = 3) -> Model:
         own = Dictionaries(b"", b"")
         return Model(own, np.concatenate(([0.0], np.zeros(len(prior) - 1))), np.ones(len(prior)), prior)
     # Equal texts share a fold, or a copy would be measured with its own content.
-    first: dict[str | None, int] = {}
-    fold = np.array([first.setdefault(t, len(first)) for t in texts]) % folds
+    fold = np.array([zlib.crc32((t or "").encode()) for t in texts]) % folds
     rows = np.zeros((len(texts), len(features(np.zeros(1)))))
     for f in range(folds):
         part = [(t, v) for t, v, g in zip(texts, labels, fold, strict=True) if g != f]
