@@ -241,6 +241,8 @@ def publish_night(landing: Landing, tables: Tables, cfg: Settings) -> Night:
         fact=tables.read_appended(FACT_TABLE, FACT_SPRINT),
     )
 
+    stored: list[str] = []
+
     def keep(df: DataFrame, name: str) -> DataFrame:
         if name in DIMENSIONS:
             return tables.write_dimension(df, name)
@@ -251,6 +253,9 @@ def publish_night(landing: Landing, tables: Tables, cfg: Settings) -> Night:
         if name == PAYLOAD:
             write_jsonl(df, tables.path(name, tables.run))
             return df
+        stored.append(name)
         return tables.stage(df, name)
 
-    return run_night(landing, previous, cfg, keep)
+    night = run_night(landing, previous, cfg, keep)
+    tables.list_stages(stored)
+    return night

@@ -345,7 +345,7 @@ def test_an_unfinished_run_is_not_read(spark, tmp_path, monkeypatch):
     broken = tables(spark, tmp_path, RUN_TS + timedelta(hours=1))
     rows = old.read_dimension("dim_squad", schemas.DIM_SQUAD, including=True)
     with monkeypatch.context() as stopped:
-        stopped.setattr(Tables, "_commit", lambda *_: None)
+        stopped.setattr(Tables, "_commit", lambda *_, **__: None)
         broken.write_dimension(rows.withColumn("is_active_register", F.lit(False)), "dim_squad")
     after = tables(spark, tmp_path, RUN_TS + timedelta(days=1))
     got = after.read_dimension("dim_squad", schemas.DIM_SQUAD).collect()

@@ -74,7 +74,7 @@ def test_two_staged_rows_of_one_key_stop_the_run_before_any_write(spark):
 def test_files_without_a_commit_are_not_an_empty_table(spark, tmp_path, monkeypatch):
     one = Tables(spark, str(tmp_path), "20250101T000000")
     with monkeypatch.context() as stopped:
-        stopped.setattr(Tables, "_commit", lambda *_: None)
+        stopped.setattr(Tables, "_commit", lambda *_, **__: None)
         one.write_appended(spark.range(3), "t")
     assert one.read_appended("t", spark.range(0).schema).count() == 0
     with pytest.raises(ValueError, match="none is committed"):
