@@ -287,6 +287,13 @@ def retire(flagged: DataFrame) -> DataFrame:
     return flagged.withColumn("is_active_register", ~F.col("_changed")).drop("_changed")
 
 
+def _retire_by_id(active: DataFrame, changed: DataFrame) -> DataFrame:
+    """The same from the stored ids of the changed rows."""
+    gone = changed.select(F.col("_replaced").alias("_gone")).distinct()
+    rows = active.join(gone, F.col("uuid") == F.col("_gone"), "left")
+    return rows.withColumn("is_active_register", F.col("_gone").isNull()).drop("_gone")
+
+
 def reinsert(stg: DataFrame, changed: DataFrame, spec: Scd2Spec, change: str = "import_date") -> DataFrame:
     """The fresh versions: staged rows joined with the rows they replace."""
     test = F.col(spec.match_key[0]) == F.col("_changed_key")
@@ -348,8 +355,9 @@ def scd2_parts(
 ) -> Scd2Result:
     """The merge of a staged table into a dimension.
 
-    ``stage`` may store a named intermediate table and return it read back. The two stored are
-    the ones read twice: the rows to re-insert and the rows unknown to the active part.
+    ``stage`` may store a named intermediate table and return it read back. Those stored are the
+    ones read twice: the ids that changed, the rows to re-insert and the rows unknown to the
+    active part.
     """
     keep = stage or (lambda df, _: df)
     dim = dim.select(*spec.columns)
@@ -364,16 +372,18 @@ def scd2_parts(
     elif duplicates != "error":
         raise ValueError(f"unknown duplicate policy {duplicates!r}")
     flagged = flag_changed(dim, stg, spec, change, duplicates)
-    fresh = keep(
-        reinsert(stg, changed_rows(flagged, spec), spec, change), f"{spec.table}_need_updates"
-    )
+    changed = keep(changed_rows(flagged, spec), f"{spec.table}_changed")
+    fresh = keep(reinsert(stg, changed, spec, change), f"{spec.table}_need_updates")
     active, history = _split(dim)
+    # With the changed ids at hand the active part is compared with the stage once only; on an
+    # ordinary night they are few, and this join is a broadcast.
+    current = retire(flagged) if stage is None else _retire_by_id(active, changed)
     # Few rows are unknown to the active part, so the history is compared with those only.
     near = _seen(spec, active).unionByName(_seen(spec, fresh))
     candidates = keep(unknown_rows(stg, near, spec), f"{spec.table}_candidates")
     new = _insertable(spec, unknown_rows(candidates, _seen(spec, history), spec), F.lit(""))
     return Scd2Result(
-        current=retire(flagged),
+        current=current,
         fresh=fresh,
         new=new,
         history=history,
