@@ -26,14 +26,14 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sprintmart.llm.kept import Kept
+from sprintmart.llm.kept import Kept, claim, keeper
 
-KEEP = 700_000
+KEEP = 600_000
 KEEP_CHARS = 64
 
 #: Bytes of new pre-tokens that are merged together, and characters of texts that are split together.
 GROUP_BYTES = 8 << 10
-CHUNK_CHARS = 2 << 20
+CHUNK_CHARS = 512 << 10
 
 #: The widest word of a bitmap.
 _BITS = 64
@@ -208,6 +208,7 @@ class Encoder:
 
 _encoders: dict[tuple[str, str], Encoder] = {}
 _decoders: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+keeper("bpe", lambda: (_encoders.clear(), _decoders.clear()))
 
 
 def encoder(path: str, pattern: str) -> Encoder:
@@ -267,6 +268,7 @@ def encode(text: Column, path: str, pattern: str) -> Column:
 
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        claim("bpe")
         own = encoder(path, pattern)
         for texts in batches:
             for chunk in _chunks(texts):
@@ -293,6 +295,7 @@ def round_trip(text: Column, path: str, pattern: str) -> Column:
 
     @F.arrow_udf("struct<ids:array<int>,decoded:binary>")
     def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        claim("bpe")
         own = encoder(path, pattern)
         for texts in batches:
             for chunk in _chunks(texts):

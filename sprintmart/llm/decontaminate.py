@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sprintmart.llm.flat import code_points
+from sprintmart.llm.kept import claim, keeper
 
 WINDOW = 13
 BLOCK_BYTES = 256 << 10
@@ -67,6 +68,7 @@ def automaton(patterns: tuple[tuple[bytes, tuple[str, ...]], ...]):
 
 
 _held: dict[bytes, object] = {}
+keeper("decontaminate", _held.clear)
 
 
 def _machine(key: bytes, patterns) -> object:
@@ -138,6 +140,7 @@ def _scanner(patterns, chained: bool):
 
     if chained:
         def more(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+            claim("decontaminate")
             machine = _machine(key, patterns)
             for texts, before in batches:
                 yield _merged(texts, before, machine)
@@ -145,6 +148,7 @@ def _scanner(patterns, chained: bool):
         return F.arrow_udf(more, _RESULT)
 
     def first(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        claim("decontaminate")
         machine = _machine(key, patterns)
         for texts in batches:
             yield _merged(texts, None, machine)

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-#: Bytes handled at once; a longer text is a piece of its own.
-PIECE_BYTES = 2 << 20
+#: Bytes handled at once, so that the arrays made of them stay small; a longer text is a piece of its own.
+PIECE_BYTES = 512 << 10
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
@@ -37,12 +36,6 @@ def pieces(offsets: np.ndarray, limit: int = PIECE_BYTES) -> Iterator[tuple[int,
         first = last
 
 
-def release() -> None:
-    """Give back memory that a worker process holds between two large pieces of work."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-
-
 def mix(values: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every input bit."""
     x = values ^ (values >> np.uint64(30))
@@ -71,6 +64,10 @@ class Rolling:
             size = max(n, 2 * len(self._up), 1 << 16)
             self._up, self._down = _powers(self._base, size), _powers(self._inverse, size)
 
+    def forget(self) -> None:
+        """Drop the tables of powers."""
+        self._up = self._down = np.zeros(0, np.uint64)
+
     def sums(self, values: np.ndarray) -> np.ndarray:
         """Prefix sums that :meth:`spans` needs."""
         self._reserve(len(values) + 1)

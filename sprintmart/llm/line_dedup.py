@@ -28,14 +28,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sprintmart.llm.flat import SPACE, Rolling, flat_texts, joined, mix, pieces, release, runs
+from sprintmart.llm.flat import SPACE, Rolling, flat_texts, joined, mix, pieces, runs
+from sprintmart.llm.kept import claim, keeper, release
 from sprintmart.llm.membership import may_have
 from sprintmart.llm.stored import stored
 
 MIN_WORDS = 50
 FOLD = 3
 SPLIT = 2
-AROUND = 64
+AROUND = 48
 
 MIN_BUCKETS = 64
 #: Bytes of text for each bucket, and bytes whose chunks are packed together.
@@ -44,6 +45,7 @@ PACK_BYTES = 16 << 20
 
 _BYTES = Rolling(0x8EBC6AF09C88C6E3)
 _WORDS = Rolling(0x589965CC75374CC3)
+keeper("line_dedup", lambda: (_BYTES.forget(), _WORDS.forget()))
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -152,6 +154,7 @@ def pack_chunks(texts: DataFrame, buckets: int, min_words: int) -> DataFrame:
     """All chunks of (key, text), a row for each bucket and ``PACK_BYTES`` of text."""
 
     def packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("line_dedup")
         held: list[list[np.ndarray]] = []
         size = 0
         for batch in batches:
@@ -252,6 +255,7 @@ def cut_out(text: Column, stretches: Column) -> Column:
                 start, end = _word_spans(raw)
                 out.append([raw[start[s["first"]] : end[min(s["last"], len(end)) - 1]] for s in w.as_py()])
             yield pa.array(out, pa.list_(pa.binary()))
+        release()
 
     return pick(text, stretches)
 
@@ -331,6 +335,7 @@ def struck(text: Column, spans: Column) -> Column:
                 kept, count = strike_words(raw, [(s["a"], s["b"]) for s in found])
                 out.append({"text": kept.decode(), "removed_words": count, "spans": found})
             yield pa.array(out, kind)
+        release()
 
     return strike(text, spans)
 

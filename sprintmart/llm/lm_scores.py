@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sprintmart.llm import recurrent
+from sprintmart.llm.kept import claim
 from sprintmart.llm.stored import stored
 
 WORDS = 1024
@@ -62,6 +63,7 @@ def blocks(docs: DataFrame) -> DataFrame:
     texts have each word."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("lm_scores")
         part = TaskContext.get().partitionId()
         number: dict[bytes, int] = {END.encode(): 0}
         docs_, train, texts = [], [], []

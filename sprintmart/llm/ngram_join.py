@@ -35,7 +35,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sprintmart.llm.components import components
-from sprintmart.llm.flat import LOWER, SPACE, Rolling, flat_texts, joined, mix, pieces, release, runs
+from sprintmart.llm.flat import LOWER, SPACE, Rolling, flat_texts, joined, mix, pieces, runs
+from sprintmart.llm.kept import claim, keeper, release
 from sprintmart.llm.stored import stored
 
 WORDS = 5
@@ -49,6 +50,7 @@ PACK_BYTES = 8 << 20
 
 _BYTES = Rolling(0x9D8F3C2A17B5E461)
 _WORDS = Rolling(0xC2B2AE3D27D4EB4F)
+keeper("ngram_join", lambda: (_BYTES.forget(), _WORDS.forget()))
 _LOW = np.uint64((1 << 48) - 1)
 
 
@@ -79,6 +81,7 @@ def profile(text: Column) -> Column:
 
     @F.arrow_udf("struct<key:bigint,n_shingles:bigint>")
     def profiles(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        claim("ngram_join")
         for column in batches:
             data, offsets = flat_texts(column)
             for a, b in pieces(offsets):
@@ -125,6 +128,7 @@ def pack_shingles(texts: DataFrame, buckets: int) -> DataFrame:
     """All shingles of a column of texts by bucket, a row for each bucket and ``PACK_BYTES`` of text."""
 
     def packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("ngram_join")
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         size = 0
         for batch in batches:

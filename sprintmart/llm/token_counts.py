@@ -27,7 +27,7 @@ import sentencepiece
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sprintmart.llm.kept import Kept
+from sprintmart.llm.kept import Kept, claim, keeper
 
 MARK = "▁"
 KEEP = 800_000
@@ -191,6 +191,7 @@ def split(text: str) -> list[str]:
 
 
 _counters: dict[str, Counter] = {}
+keeper("token_counts", _counters.clear)
 
 
 def counter(path: str) -> Counter:
@@ -201,7 +202,7 @@ def counter(path: str) -> Counter:
 
 
 #: Characters whose pre-tokens are merged together.
-_CHUNK_CHARS = 4 << 20
+_CHUNK_CHARS = 1 << 20
 
 
 def count_texts(own: Counter, texts: Iterator[str]) -> list[int]:
@@ -234,6 +235,7 @@ def count_tokens(text: Column, path: str) -> Column:
 
     @F.arrow_udf("bigint")
     def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        claim("token_counts")
         own = counter(path)
         for texts in batches:
             yield pa.array(count_texts(own, (t.as_py() or "" for t in texts)), pa.int64())

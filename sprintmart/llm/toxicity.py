@@ -27,6 +27,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sprintmart.llm.kept import claim
+
 WINDOW = 8
 GRAM = 6
 LEVEL = 3
@@ -231,6 +233,7 @@ def toxicity(text: Column, model: Model) -> Column:
 
     @F.arrow_udf("double")
     def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        claim("toxicity")
         for texts in batches:
             for first in range(0, len(texts), 1000):
                 yield pa.array([model.score(t.as_py()) for t in texts[first : first + 1000]], pa.float64())
