@@ -9,8 +9,8 @@ probability of every token after all that stands before it in the text.
 2. Words of all training texts are counted over all blocks; a block asks for the counts of its own
    vocabulary, so a word is shuffled once a block, however often it occurs, and a hot word is no hot key.
 3. Network weights start from ``SEED_TOKENS`` tokens of one block; then every block goes on from there with
-   one in ``TRAIN_SHARE`` of its training texts, and the weights are averaged, each block with its weight.
-   Back-propagation is cut after a few tokens, the state is not.
+   all of its training texts, and the weights are averaged, each block with its weight. Back-propagation is
+   cut after a few tokens, the state is not.
 4. Every text is scored from its first to its last token with the state carried through.
 
 Bounded, whatever the corpus: ``WORDS`` frequent words and the weights (some 70,000 numbers). All counts are
@@ -37,7 +37,6 @@ WORDS = 1024
 TAILS = 64
 TAIL_BYTES = 3
 SEED_TOKENS = 400_000
-TRAIN_SHARE = 8
 
 #: A block ends with the text that brings it to so many bytes.
 BLOCK_BYTES = 32 << 20
@@ -195,14 +194,12 @@ def encoded(packed: DataFrame, counts: DataFrame, vocabulary: Vocabulary) -> Dat
     return packed.groupBy("block").cogroup(answered.groupBy("asker")).applyInArrow(encode, _ENCODED)
 
 
-def _chosen(row: dict, share: int, most: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and offsets of the block's training texts that take part: one in ``share`` by a hash of the place, so many
-    tokens at most. A block that would have none takes its first."""
+def _training(row: dict, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and offsets of the block's training texts: all of them, or the first ones up to so many tokens (one at
+    least)."""
     lengths = np.array(row["lengths"])
     start = np.cumsum(lengths) - lengths
-    learn = np.flatnonzero(np.array(row["train"], bool))
-    part = learn[[zlib.crc32(f"{row['block']}/{i}".encode()) % share == 0 for i in learn]] if share > 1 else learn
-    part = part if len(part) else learn[:1]
+    part = np.flatnonzero(np.array(row["train"], bool))
     if most is not None:
         part = part[: max(1, int(np.searchsorted(np.cumsum(lengths[part]), most, "right")))]
     ids = np.frombuffer(row["ids"], "<u2").astype(np.int64)
@@ -239,7 +236,7 @@ def trained(texts: DataFrame, vocabulary: Vocabulary) -> recurrent.Network:
     def seed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             own = recurrent.Network(words, tails, {k: v.copy() for k, v in start.items()})
-            ids, offsets = _chosen(row, 1, SEED_TOKENS)
+            ids, offsets = _training(row, SEED_TOKENS)
             for rate in (0.01, 0.005):
                 recurrent.train(own, ids, offsets, rate)
             yield pa.RecordBatch.from_arrays([pa.array([_flat(own.p)], pa.list_(pa.float32()))], ["weights"])
@@ -254,7 +251,7 @@ def trained(texts: DataFrame, vocabulary: Vocabulary) -> recurrent.Network:
         total, weight = None, 0
         for row in _rows(batches):
             own = recurrent.Network(words, tails, {k: v.copy() for k, v in seeded.items()})
-            ids, offsets = _chosen(row, TRAIN_SHARE, None)
+            ids, offsets = _training(row)
             recurrent.train(own, ids, offsets, 0.004)
             part = _flat(own.p).astype(np.float64) * len(ids)
             total, weight = (part if total is None else total + part), weight + len(ids)

@@ -199,3 +199,21 @@ def test_language_model_of_few_texts(spark):
     assert [(r.n_tokens, r.n_known) for r in alone] == [(3, 0), (3, 0)]
 
 
+
+
+def test_every_training_text_reaches_the_network(spark, monkeypatch):
+    """With the seed cut to one text, the words of any other text in another order change the weights."""
+    monkeypatch.setattr(lm_scores, "SEED_TOKENS", 1)
+    vocabulary = lm_scores.Vocabulary([(f"w{i}", 40 - i) for i in range(40)], *np.zeros((2, lm_scores.TAILS), np.int64), 820, 40)
+    ids = np.random.default_rng(4).integers(0, 40, (12, 30))
+
+    def weights(changed: int | None) -> np.ndarray:
+        own = ids.copy()
+        if changed is not None:
+            own[changed] = own[changed][::-1]
+        row = (0, [True] * 11 + [False], [30] * 12, own.astype("<u2").tobytes())
+        texts = spark.createDataFrame([row], "block bigint, train array<boolean>, lengths array<bigint>, ids binary")
+        return lm_scores._flat(lm_scores.trained(texts, vocabulary).p)
+
+    base = weights(None)
+    assert [np.array_equal(weights(i), base) for i in range(1, 12)] == [False] * 10 + [True]
