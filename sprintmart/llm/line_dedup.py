@@ -1,11 +1,11 @@
-"""Line dedup by content-defined chunks of lines, compared byte by byte before anything goes.
+"""Line dedup by content-defined chunks, compared byte by byte before anything goes.
 
-Lines are folded at words that their own hash chooses (one in ``FOLD``), so a passage inside a long line
-has the same folds wherever it stands. A rolling hash over the last two folded lines says where a
-chunk ends (one in ``SPLIT``); that, too, depends on the content alone, so text inserted before a passage
-shifts its chunks but does not change them. Chunks of several lines are looked for in all documents:
+Two neighbouring words with the white space between them are a unit, so a passage of ``MIN_WORDS`` words is
+one of ``MIN_WORDS`` - 1 units. A chunk is ``CHUNK`` units in a row whose hash is the least of all in some passage of
+that length (all of them, if several are least). So each passage holds a chunk, and which ones depends on
+its own bytes alone. Chunks are looked for in all documents:
 
-1. Each such chunk goes, by bucket, with its place and with hashes of the words before and behind it,
+1. Each chunk goes, by bucket, with its place and with hashes of the units before and behind it,
    as many as a passage of ``MIN_WORDS`` around the chunk must share on one side.
 2. Occurrences that agree in the chunk and in one of these sides point to the first of them. "First" is
    the smallest document key (a hash of id and text), then position; each map task settles its own
@@ -34,8 +34,7 @@ from sprintmart.llm.membership import may_have
 from sprintmart.llm.stored import stored
 
 MIN_WORDS = 50
-FOLD = 3
-SPLIT = 2
+CHUNK = 8
 AROUND = 48
 
 MIN_BUCKETS = 64
@@ -46,48 +45,51 @@ PACK_BYTES = 16 << 20
 _BYTES = Rolling(0x8EBC6AF09C88C6E3)
 _WORDS = Rolling(0x589965CC75374CC3)
 keeper("line_dedup", lambda: (_BYTES.forget(), _WORDS.forget()))
-_STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
 def document_key(doc_id: str, text: str) -> Column:
     return F.xxhash64(doc_id, text)
 
 
+def _sliding(choose: np.ufunc, values: np.ndarray, size: int) -> np.ndarray:
+    """``choose`` (least or greatest) over each run of ``size`` values, at the run's start."""
+    width = 1
+    while 2 * width <= size:
+        values = choose(values[:-width], values[width:])
+        width *= 2
+    return choose(values[: len(values) - (size - width)], values[size - width :]) if size > width else values
+
+
 def chunks(data: np.ndarray, offsets: np.ndarray, min_words: int) -> tuple[np.ndarray, ...]:
-    """Chunks of several folded lines: text, hash, first word (counted in its text), number of words, and
-    hashes of the words before and behind that a passage of ``min_words`` needs (0: there are too few)."""
+    """Chunks of units: text, hash, first word (counted in its text), number of words, and hashes of the units
+    before and behind that a passage of ``min_words`` needs (0: there are too few)."""
     n = len(offsets) - 1
     start, end = runs(~SPACE[data], offsets)
-    if not len(start):
+    units = min_words - 1
+    size = min(CHUNK, max(1, units // 2))
+    window = units - size + 1
+    if len(start) < min_words:
         return tuple(np.zeros(0, kind) for kind in (np.int64, np.uint64, np.int64, np.int64, np.uint64, np.uint64))
     owner = np.searchsorted(offsets, start, "right") - 1
-    word = _BYTES.spans(_BYTES.sums(data), start, end)
-    sums = _WORDS.sums(word)
-    # Folded lines end at chosen words, at line breaks and with the text.
-    breaks = np.concatenate(([0], np.cumsum(data == 10)))
-    last = np.ones(len(start), bool)
-    last[:-1] = (owner[1:] != owner[:-1]) | (breaks[start[1:]] != breaks[end[:-1]])
-    text_end = np.ones(len(start), bool)
-    text_end[:-1] = owner[1:] != owner[:-1]
-    line_end = np.flatnonzero(last | ((word >> np.uint64(7)) % np.uint64(FOLD) == 0)) + 1
-    line_start = np.concatenate(([0], line_end[:-1]))
-    line = _WORDS.spans(sums, line_start, line_end)
-    before = np.concatenate((np.zeros(1, np.uint64), line[:-1]))
-    before[owner[line_start] != owner[np.maximum(line_start - 1, 0)]] = 0
-    rolled = mix(before * _STEP + line)
-    close = (rolled % np.uint64(SPLIT) == 0) | text_end[line_end - 1]
-    at = np.flatnonzero(close)
-    first_line = np.concatenate(([0], at[:-1] + 1))
-    several = at > first_line
-    a, b = line_start[first_line[several]], line_end[at[several]]
+    sums = _WORDS.sums(_BYTES.spans(_BYTES.sums(data), start[:-1], end[1:]))
+    first = np.arange(len(start) - size)
+    hash_ = _WORDS.spans(sums, first, first + size)
+    least = _sliding(np.minimum, hash_, window)
+    # Passages that reach into the next text choose nothing.
+    least[owner[: len(least)] != owner[units:]] = 0
+    nothing = np.zeros(window - 1, np.uint64)
+    chosen = _sliding(np.maximum, np.concatenate((nothing, least, nothing)), window)
+    a = np.flatnonzero((hash_ == chosen) & (chosen != 0))
+    b = a + size
     who = owner[a]
     text_first = np.searchsorted(owner, np.arange(n))
     text_last = np.searchsorted(owner, np.arange(n), "right")
-    side = np.maximum(1, -(-(min_words - (b - a)) // 2))
-    left_ok, right_ok = a - side >= text_first[who], b + side <= text_last[who]
-    left = np.where(left_ok, _WORDS.spans(sums, np.where(left_ok, a - side, a), a), np.uint64(0))
-    right = np.where(right_ok, _WORDS.spans(sums, b, np.where(right_ok, b + side, b)), np.uint64(0))
-    return who, _WORDS.spans(sums, a, b), a - text_first[who], b - a, left, right
+    side = -(-(units - size) // 2)
+    left_ok, right_ok = a - side >= text_first[who], b + side < text_last[who]
+    known = np.uint64(1)
+    left = np.where(left_ok, _WORDS.spans(sums, np.where(left_ok, a - side, a), a) | known, np.uint64(0))
+    right = np.where(right_ok, _WORDS.spans(sums, b, np.where(right_ok, b + side, b)) | known, np.uint64(0))
+    return who, hash_[a], a - text_first[who], np.full(len(a), size + 1), left, right
 
 
 _PAIR = ["key", "at", "n", "to", "to_at"]

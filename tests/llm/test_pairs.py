@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -179,3 +180,28 @@ def test_contents_do_not_depend_on_partitions(docs_of, crowd):
         for d in (docs, docs.repartition(9, F.rand(3)))
     )
     assert once == again
+
+
+def test_every_passage_of_51_words_holds_a_chunk_with_a_side():
+    """Between other words, in mid-line, of few distinct words and periodic: both copies share a chunk and a side."""
+    rng = random.Random(11)
+    missing = 0
+    for case in range(3_000):
+        pool = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([1, 2, 3, 60, 60, 60]))]
+        cycle = [rng.choice(pool) for _ in range(rng.choice([1, 2, 3, 7, 51]))]
+        passage = " ".join((cycle * 51)[:51])
+        other = lambda: " ".join(f"o{rng.randrange(10**6)}" for _ in range(rng.randrange(0, 40)))
+        both = [f"{other()} {passage} {other()}".strip().encode() for _ in range(2)]
+        found = []
+        for raw in both:
+            _, hash_, _, _, left, right = line_dedup.chunks(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), 50)
+            found.append({(int(h), k, int(v)) for h, *sides in zip(hash_, left, right) for k, v in enumerate(sides) if v})
+        missing += not (found[0] & found[1])
+    assert missing == 0
+
+
+def test_a_first_copy_with_other_white_space_hides_no_equal_copies(docs_of, prose):
+    passage = prose(77, 120).replace("\n", " ")
+    texts = [passage.replace(" ", "  "), *(f"start{i} {passage}" for i in range(6))]
+    rows = line_dedup.without_repeats(docs_of(texts)).select("repeats.removed_words").collect()
+    assert sum(r.removed_words >= 110 for r in rows) == 5
