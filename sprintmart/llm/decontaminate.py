@@ -7,7 +7,7 @@ Normalising never changes a text's length in bytes, so a word found in it has th
 original, and spans are given in characters of the original text.
 
 Nulls, empty texts and texts without words have no words and no hits. An item without words has no
-pattern. Repeated items are all named where they occur. Memory: an automaton holds at most
+pattern. Repeated items are all named where they occur; an item without an id hits, but is not named. Memory: an automaton holds at most
 ``BLOCK_BYTES`` of item text; a larger benchmark is dealt into several automata, and each document
 passes through all of them, one after the other, as a row.
 """
@@ -48,13 +48,13 @@ def normal_words(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_TABLE).split()
 
 
-def windows_of(items: list[tuple[str, str | None]], window: int) -> dict[bytes, tuple[str, ...]]:
+def windows_of(items: list[tuple[str | None, str | None]], window: int) -> dict[bytes, tuple[str, ...]]:
     """Patterns with the items they stem from."""
     found: dict[bytes, set[str]] = defaultdict(set)
     for item, text in items:
         words = normal_words(text)
         for i in range(max(1, len(words) - window + 1) if words else 0):
-            found[b" " + b" ".join(words[i : i + window]) + b" "].add(item)
+            found[b" " + b" ".join(words[i : i + window]) + b" "].update(() if item is None else (item,))
     return {key: tuple(sorted(value)) for key, value in sorted(found.items())}
 
 
@@ -156,9 +156,9 @@ def _scanner(patterns, chained: bool):
     return F.arrow_udf(first, _RESULT)
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> Iterator[list[tuple[str, str | None]]]:
+def _blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> Iterator[list[tuple[str | None, str | None]]]:
     """Items in blocks of bounded size, each collected on its own."""
-    rows = benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t")).dropna(subset=["i"])
+    rows = benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t"))
     total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
     for block in range(n):

@@ -217,3 +217,11 @@ def test_every_training_text_reaches_the_network(spark, monkeypatch):
 
     base = weights(None)
     assert [np.array_equal(weights(i), base) for i in range(1, 12)] == [False] * 10 + [True]
+
+
+def test_an_item_without_an_id_hits_unnamed(spark, docs_of):
+    items = spark.createDataFrame([(None, "one two three four"), ("b", "five six seven")], "item_id string, text string")
+    docs = docs_of(["so one two three four", "five six seven", "none"])
+    for size in (1 << 18, 1):
+        rows = decontaminate.mark_hits(docs, items, block_bytes=size).orderBy("doc_id").select("hits.*").collect()
+        assert [(r.n_hit, r["items"]) for r in rows] == [(4, []), (3, ["b"]), (0, [])]
