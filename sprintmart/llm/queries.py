@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterator
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sprintmart.llm import (
@@ -14,11 +16,14 @@ from sprintmart.llm import (
     line_dedup,
     lm_scores,
     ngram_join,
+    periodic_runs,
     repetition,
     sharding,
     token_counts,
     toxicity,
     warc,
+    whitening,
+    winnowing,
 )
 from sprintmart.llm.workers import prepare
 from sprintmart.session import scratch_dir
@@ -210,3 +215,65 @@ def recurrent_lm_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_score",
         "score",
     )
+
+
+def with_planted_period(doc_id: Column, text: Column) -> Column:
+    """The text; where h = crc32 of the id ends in 0 and there are n > 0 words, its words from g % n on (g = h div 10)
+    repeat with a period that the contract fixes. A null id plants nothing, a null text is an empty one."""
+
+    @F.arrow_udf("string")
+    def plant(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for ids, texts in batches:
+            out = texts.fill_null("").to_pylist()
+            for k, i in enumerate(ids.to_pylist()):
+                h = 1 if i is None else zlib.crc32(str(i).encode())
+                if h % 10 == 0 and (words := out[k].encode().split()):
+                    g, n = h // 10, len(words)
+                    a = g % n
+                    p = 1 + (n - a) // (3 + g % 8)
+                    period = words[a : a + p]
+                    tail = (period * (-(-(n - a) // p)))[: n - a]
+                    out[k] = b" ".join(words[:a] + tail).decode()
+            yield pa.array(out, pa.string())
+
+    return plant(doc_id, text)
+
+
+@query("op11_periodic_runs")
+def periodic_run_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    planted = with_planted_period(F.col("doc_id"), F.col("text"))
+    found = docs.select("doc_id", periodic_runs.periodic_runs(planted).alias("p"))
+    found = found.select("doc_id", "p.n_words", "p.runs", "p.collapsed", periodic_runs.best_run("p.runs").alias("best"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(periodic_runs.run_lines("runs"), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
+@query("op12_whitening")
+def whitening_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_winnowing")
+def winnowing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = winnowing.edited_pairs(table(spark, sf_dir, "documents"))
+    return pairs.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        winnowing.as_text("hashes").alias("fingerprint"),
+        winnowing.as_text("edited_hashes").alias("edited_fingerprint"),
+        winnowing.likeness("hashes", "edited_hashes").alias("near_edited"),
+        winnowing.likeness("hashes", "next_hashes").alias("near_next"),
+        "next_id",
+        F.expr("aggregate(gaps, 0, (a, g) -> a + g)").alias("last_position"),
+    )
