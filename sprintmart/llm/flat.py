@@ -15,9 +15,10 @@ _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX2 = np.uint64(0x94D049BB133111EB)
 
 
-def flat_texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a string column and the offsets of its texts; a null is an empty text."""
-    column = column.fill_null("").cast(pa.large_string())
+def flat_texts(column: pa.Array, nothing: str | bytes = "") -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a string column (or a binary one, with ``nothing`` b"") and the offsets of its texts; a null is
+    an empty text."""
+    column = column.fill_null(nothing).cast(pa.large_string() if nothing == "" else pa.large_binary())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     data = column.buffers()[2]
     if data is None or len(column) == 0:
@@ -44,40 +45,81 @@ def mix(values: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n + 1, base, np.uint64)
-    out[0] = 1
-    with np.errstate(over="ignore"):
-        return np.cumprod(out, dtype=np.uint64)
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte spans. Eight bytes at a time are mixed with their place in the span and added up, so equal
+    bytes give equal hashes, and structure in the bytes gives none in the sums."""
+    size = end - start
+    loads = (size + 7) >> 3
+    out = size.astype(np.uint64) * _ODD
+    total = int(loads.sum())
+    if not total:
+        return mix(out)
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    eight = np.ndarray(len(data) + 1, "<u8", padded.data, strides=(1,))
+    first = np.cumsum(loads) - loads
+    place = np.arange(total) - np.repeat(first, loads)
+    left = np.repeat(size, loads) - 8 * place
+    values = eight[np.repeat(start, loads) + 8 * place]
+    short = np.flatnonzero(left < 8)
+    values[short] &= (np.uint64(1) << (left[short] * 8).astype(np.uint64)) - np.uint64(1)
+    values = mix(values + mix((place + 1).astype(np.uint64) * _ODD))
+    some = np.flatnonzero(loads)
+    out[some] += np.add.reduceat(values, first[some])
+    return mix(out)
+
+
+def _powers(base: int, prime: int, n: int) -> np.ndarray:
+    out = np.ones(n + 1, np.uint64)
+    done = 1
+    while done <= n:
+        part = min(done, n + 1 - done)
+        out[done : done + part] = out[:part] * np.uint64(pow(base, done, prime)) % np.uint64(prime)
+        done += part
+    return out
 
 
 class Rolling:
-    """Polynomial rolling hashes modulo 2**64: any span of a sequence in constant time."""
+    """Rolling hashes of a sequence of 64-bit hashes: any span in constant time. Two polynomials modulo primes, since
+    those modulo a power of two give sequences like Thue and Morse's equal hashes whatever the base."""
 
-    def __init__(self, base: int) -> None:
-        self._base = base | 1
-        self._inverse = pow(self._base, -1, 1 << 64)
-        self._up = self._down = np.zeros(0, np.uint64)
+    PRIMES = (2**31 - 1, 2**31 - 19)
 
-    def _reserve(self, n: int) -> None:
-        if len(self._up) <= n:
-            size = max(n, 2 * len(self._up), 1 << 16)
-            self._up, self._down = _powers(self._base, size), _powers(self._inverse, size)
+    def __init__(self, base: int) -> None:
+        self._bases = [base % p for p in self.PRIMES]
+        self.forget()
 
     def forget(self) -> None:
         """Drop the tables of powers."""
-        self._up = self._down = np.zeros(0, np.uint64)
+        self._tables = [(np.zeros(0, np.uint64),) * 2] * 2
 
-    def sums(self, values: np.ndarray) -> np.ndarray:
-        """Prefix sums that :meth:`spans` needs."""
-        self._reserve(len(values) + 1)
-        out = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum((values.astype(np.uint64) + np.uint64(1)) * self._up[: len(values)], out=out[1:])
+    def _reserve(self, n: int) -> None:
+        have = len(self._tables[0][0])
+        if have <= n:
+            size = max(n, 2 * have, 1 << 16)
+            self._tables = [
+                (_powers(b, p, size), _powers(pow(b, -1, p), p, size)) for b, p in zip(self._bases, self.PRIMES, strict=True)
+            ]
+
+    def sums(self, values: np.ndarray) -> list[np.ndarray]:
+        """Prefix sums that :meth:`spans` needs, one array a prime."""
+        n = len(values)
+        self._reserve(n + 1)
+        out = []
+        for k, p in enumerate(self.PRIMES):
+            half = (values >> np.uint64(32 * k)) & np.uint64(0xFFFFFFFF)
+            sums = np.zeros(n + 1, np.uint64)
+            # Terms below 2**31: their sum fits for sequences of 2**32 values.
+            np.cumsum((half + np.uint64(1)) % np.uint64(p) * self._tables[k][0][:n] % np.uint64(p), out=sums[1:])
+            out.append(sums)
         return out
 
-    def spans(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    def spans(self, sums: list[np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Mixed hashes of the spans; equal content gives equal values wherever it stands."""
-        raw = (sums[end] - sums[start]) * self._down[start]
+        raw = np.zeros(len(start), np.uint64)
+        for k, p in enumerate(self.PRIMES):
+            part = (sums[k][end] - sums[k][start]) % np.uint64(p) * self._tables[k][1][start] % np.uint64(p)
+            raw = raw << np.uint64(31) | part
         return mix(raw ^ ((end - start).astype(np.uint64) * _ODD))
 
 

@@ -1,22 +1,25 @@
-"""Line dedup by content-defined chunks, compared byte by byte before anything goes.
+"""Line dedup by content-defined chunks of lines, compared byte by byte before anything goes.
 
-Two neighbouring words with the white space between them are a unit, so a passage of ``MIN_WORDS`` words is
-one of ``MIN_WORDS`` - 1 units. A chunk is ``CHUNK`` units in a row whose hash is the least of all in some passage of
-that length (all of them, if several are least). So each passage holds a chunk, and which ones depends on
-its own bytes alone. Chunks are looked for in all documents:
+A word with the white space behind it is a unit, so a passage of ``MIN_WORDS`` words holds ``MIN_WORDS`` - 1 units. A line
+ends with a unit that breaks the line, and inside a longer line with the unit whose hash is least among some ``FOLD``
+neighbours, so that a passage in mid-line has lines of its own. Lines are hashed, and a rolling hash runs over
+``LINES`` lines in a row: where it is least among some ``SPREAD`` neighbours, a chunk of these lines starts. All of this
+depends on the bytes near by alone, and each passage of ``MIN_WORDS`` words holds a chunk wherever it stands.
 
-1. Each chunk goes, by bucket, with its place and with hashes of the units before and behind it,
-   as many as a passage of ``MIN_WORDS`` around the chunk must share on one side.
-2. Occurrences that agree in the chunk and in one of these sides point to the first of them. "First" is
+1. Each chunk goes, by bucket, with its place and with hashes of the stretches around it: ``STEP`` - 1 units shorter than a
+   passage, at every ``STEP``-th position of the chunk in it. Two equal passages agree in one of them at least.
+2. Occurrences that agree in the chunk and in a stretch point to the first of them. "First" is
    the smallest document key (a hash of id and text), then position; each map task settles its own
    occurrences first, so a chunk that a third of all documents have comes once from each task.
-3. Chunks of a document that point to one stretch of another are joined to regions; the texts
-   of both stretches, with ``AROUND`` words on either side, are fetched and compared byte by byte.
+3. Chunks of a document that point to one stretch of another are joined to regions; the texts of both, the other one's
+   in fixed pieces of ``PART`` words, are fetched and compared byte by byte.
 4. Runs of at least ``MIN_WORDS`` equal words are removed, with the white space behind them. The first
    occurrence stays where it is.
 
-Words are ``[^\\x20\\x09-\\x0D]+``. A null text stays null, an empty one empty. Rows equal in id and text
-are one document and fare alike. Passages repeated inside one document are removed as well.
+Words are ``[^\\x20\\x09-\\x0D]+``. A passage of fewer than ``MIN_WORDS`` words is no repeat, by definition. A null text stays
+null, an empty one empty, an empty table gives no rows. Rows equal in id and text are one document and fare alike.
+Passages repeated inside one document are removed as well. Of a very long text only chunks and the pieces to
+compare are moved.
 """
 
 from __future__ import annotations
@@ -25,26 +28,31 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sprintmart.llm.flat import SPACE, Rolling, flat_texts, joined, mix, pieces, runs
+from sprintmart.llm.flat import SPACE, Rolling, flat_texts, joined, mix, pieces, runs, span_hashes
 from sprintmart.llm.kept import claim, keeper, release
 from sprintmart.llm.membership import may_have
 from sprintmart.llm.stored import stored
 
 MIN_WORDS = 50
-CHUNK = 8
-AROUND = 48
+#: Units among which one ends a line, lines of a chunk, and chunks of which one is used: a passage of 49 units has lines
+#: of its own from the fifth unit to the 46th, 14 at least, and so 13 chunks.
+FOLD, LINES, SPREAD = 3, 2, 13
+STEP = 12
+#: Words of a piece of an earlier text.
+PART = 512
 
 MIN_BUCKETS = 64
 #: Bytes of text for each bucket, and bytes whose chunks are packed together.
 BUCKET_BYTES = 32 << 20
 PACK_BYTES = 16 << 20
 
-_BYTES = Rolling(0x8EBC6AF09C88C6E3)
-_WORDS = Rolling(0x589965CC75374CC3)
-keeper("line_dedup", lambda: (_BYTES.forget(), _WORDS.forget()))
+_UNITS = Rolling(0x8EBC6AF09C88C6E3)
+_LINES = Rolling(0x589965CC75374CC3)
+keeper("line_dedup", lambda: (_UNITS.forget(), _LINES.forget()))
 
 
 def document_key(doc_id: str, text: str) -> Column:
@@ -60,47 +68,88 @@ def _sliding(choose: np.ufunc, values: np.ndarray, size: int) -> np.ndarray:
     return choose(values[: len(values) - (size - width)], values[size - width :]) if size > width else values
 
 
+def _least_of_some(values: np.ndarray, group: np.ndarray, size: int) -> np.ndarray:
+    """True for values that are least in some run of ``size`` neighbours of one group (groups stand in order). A group
+    of fewer values than that has none."""
+    out = np.zeros(len(values), bool)
+    if len(values) < size:
+        return out
+    values = values | np.uint64(1)
+    least = _sliding(np.minimum, values, size)
+    least[group[: len(least)] != group[size - 1 :]] = 0
+    nothing = np.zeros(size - 1, np.uint64)
+    best = _sliding(np.maximum, np.concatenate((nothing, least, nothing)), size)
+    return (values == best) & (best != 0)
+
+
+def _line_ends(data: np.ndarray, start: np.ndarray, end: np.ndarray, last: np.ndarray, units: np.ndarray) -> np.ndarray:
+    """True for units that end a line; ``last`` marks the last word of each text, which ends one too."""
+    breaks = np.concatenate(([0], np.cumsum(data == 10)))
+    following = np.append(start[1:], len(data))
+    ends = (breaks[following] > breaks[end]) | last
+    line = np.cumsum(ends) - ends
+    return ends | _least_of_some(units, line, FOLD)
+
+
+def stretches(chunk: np.ndarray, min_words: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Units before and behind a chunk of so many units, for each stretch."""
+    rest = np.maximum(min_words - 1 - chunk, 0)
+    most = max(min_words - 1 - LINES, 0)
+    before = [np.minimum(i, rest) for i in range(0, most + 1, STEP)]
+    return [(b, np.maximum(rest - b - (STEP - 1), 0)) for b in before]
+
+
+#: Stretches of a chunk.
+SIDES = len(stretches(np.array([LINES]), MIN_WORDS))
+
+
 def chunks(data: np.ndarray, offsets: np.ndarray, min_words: int) -> tuple[np.ndarray, ...]:
-    """Chunks of units: text, hash, first word (counted in its text), number of words, and hashes of the units
-    before and behind that a passage of ``min_words`` needs (0: there are too few)."""
+    """Chunks of lines: text, hash, first word (counted in its text), number of words, and a column of hashes of the
+    stretches around it (0 where the text is too short for one)."""
     n = len(offsets) - 1
     start, end = runs(~SPACE[data], offsets)
-    units = min_words - 1
-    size = min(CHUNK, max(1, units // 2))
-    window = units - size + 1
+    sides = len(stretches(np.array([LINES]), min_words))
     if len(start) < min_words:
-        return tuple(np.zeros(0, kind) for kind in (np.int64, np.uint64, np.int64, np.int64, np.uint64, np.uint64))
+        return tuple(np.zeros(0, kind) for kind in (np.int64, np.uint64, np.int64, np.int64)) + (
+            np.zeros((sides, 0), np.uint64),
+        )
     owner = np.searchsorted(offsets, start, "right") - 1
-    sums = _WORDS.sums(_BYTES.spans(_BYTES.sums(data), start[:-1], end[1:]))
-    first = np.arange(len(start) - size)
-    hash_ = _WORDS.spans(sums, first, first + size)
-    least = _sliding(np.minimum, hash_, window)
-    # Passages that reach into the next text choose nothing.
-    least[owner[: len(least)] != owner[units:]] = 0
-    nothing = np.zeros(window - 1, np.uint64)
-    chosen = _sliding(np.maximum, np.concatenate((nothing, least, nothing)), window)
-    a = np.flatnonzero((hash_ == chosen) & (chosen != 0))
-    b = a + size
-    who = owner[a]
+    last = np.append(owner[1:] != owner[:-1], True)
+    # The last word of a text has no white space to count; it is in no unit that is used.
+    units = span_hashes(data, start, np.where(last, end, np.append(start[1:], len(data))))
+    line_end = np.flatnonzero(_line_ends(data, start, end, last, units)) + 1
+    line_start = np.concatenate(([0], line_end[:-1]))
+    sums = _UNITS.sums(units)
+    lines = _LINES.sums(_UNITS.spans(sums, line_start, line_end))
+    first = np.arange(max(0, len(line_end) - LINES + 1))
+    rolled = _LINES.spans(lines, first, first + LINES)
+    of = owner[line_start[first]]
+    rolled[of != owner[line_end[first + LINES - 1] - 1]] = np.uint64(2**64 - 1)
+    spread = SPREAD if min_words == MIN_WORDS else max(1, (min_words - 6) // FOLD - LINES)
+    used = np.flatnonzero(_least_of_some(rolled, of, spread) & (rolled != np.uint64(2**64 - 1)))
+    a, b = line_start[used], line_end[used + LINES - 1]
+    who = of[used]
     text_first = np.searchsorted(owner, np.arange(n))
-    text_last = np.searchsorted(owner, np.arange(n), "right")
-    side = -(-(units - size) // 2)
-    left_ok, right_ok = a - side >= text_first[who], b + side < text_last[who]
-    known = np.uint64(1)
-    left = np.where(left_ok, _WORDS.spans(sums, np.where(left_ok, a - side, a), a) | known, np.uint64(0))
-    right = np.where(right_ok, _WORDS.spans(sums, b, np.where(right_ok, b + side, b)) | known, np.uint64(0))
-    return who, hash_[a], a - text_first[who], np.full(len(a), size + 1), left, right
+    # Units end before the last word.
+    text_last = np.searchsorted(owner, np.arange(n), "right") - 1
+    b = np.minimum(b, text_last[who])
+    hash_ = _UNITS.spans(sums, a, b)
+    around = np.zeros((sides, len(a)), np.uint64)
+    for k, (before, behind) in enumerate(stretches(b - a, min_words)):
+        fits = (a - before >= text_first[who]) & (b + behind <= text_last[who])
+        around[k, fits] = _UNITS.spans(sums, (a - before)[fits], (b + behind)[fits]) | np.uint64(1)
+    return who, hash_, a - text_first[who], b - a + 1, around
 
 
 _PAIR = ["key", "at", "n", "to", "to_at"]
-_PAIR_KINDS = ["<i8", "<u4", "<u4", "<i8", "<u4"]
+_PAIR_KINDS = ["<i8", "<u4", "<u1", "<i8", "<u4"]
 
 
 def settle(hash_: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of entries in the order of key and place: those that agree with an earlier one in chunk and side, the first
-    each agrees with, and all that are first. A side of 0 agrees with nothing."""
+    """Of entries in the order of key and place: those that agree with an earlier one in chunk and stretch, the first
+    each agrees with, and all that are first. A stretch of 0 agrees with nothing."""
     use = np.flatnonzero(side != 0)
-    group = mix(hash_[use] ^ mix(side[use]))
+    group = mix(hash_[use] ^ mix(side[use].astype(np.uint64)))
     order = np.argsort(group, kind="stable")
     group, order = group[order], use[order]
     head = np.ones(len(order), bool)
@@ -110,42 +159,47 @@ def settle(hash_: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def _settled(entries: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Pairs (key, at, n, to, to_at) of agreeing occurrences, and the entries that are first in chunk and side."""
-    order = np.lexsort((entries[4], entries[3]))
-    entries = [c[order] for c in entries]
+    """Pairs (key, at, n, to, to_at) of agreeing occurrences, and the entries that are first in chunk and stretch."""
+    key, at = entries[-3], entries[-2]
+    order = np.lexsort((at, key))
     # A place that came several times is one place.
-    hash_, left, right, key, at, n = entries
     new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (at[1:] != at[:-1])
-    hash_, left, right, key, at, n = entries = [c[new] for c in entries]
-    found = [settle(hash_, side) for side in (left, right)]
+    new[1:] = (key[order][1:] != key[order][:-1]) | (at[order][1:] != at[order][:-1])
+    entries = [c[order[new]] for c in entries]
+    hash_, *sides, key, at, n = entries
+    found = [settle(hash_, side) for side in sides]
     x, y = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+    # Several stretches often agree with the same occurrence.
+    once = np.unique(x * len(key) + y)
+    x, y = once // max(1, len(key)), once % max(1, len(key))
     heads = np.unique(np.concatenate([f[2] for f in found]))
     return [key[x], at[x], n[x], key[y], at[y]], [c[heads] for c in entries]
 
 
-_PACKED = "bucket int, hashes binary, lefts binary, rights binary, keys binary, ats binary, ns binary, " + ", ".join(
-    f"p_{c} binary" for c in _PAIR
-)
-_PACKED_FIELDS = pa.schema(
-    [("bucket", pa.int32()), *((f.split()[0], pa.binary()) for f in _PACKED.split(", ")[1:])]
-)
-_ENTRY_KINDS = ["<u8", "<u4", "<u4", "<i8", "<u4", "<u4"]
+_ENTRY = ["hashes", *(f"side{k}" for k in range(SIDES)), "keys", "ats", "ns"]
+_ENTRY_KINDS = ["<u8", *["<u4"] * SIDES, "<i8", "<u4", "<u1"]
+_COLUMNS = [*_ENTRY, *(f"p_{c}" for c in _PAIR)]
+_PACKED = "bucket int, " + ", ".join(f"{c} binary" for c in _COLUMNS)
+_PACKED_FIELDS = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in _COLUMNS)])
+
+
+def _dealt(bucket: np.ndarray, columns: list[np.ndarray], kinds: list[str]) -> dict[int, list[bytes]]:
+    """The columns packed by bucket, buckets that have none left out."""
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    columns = [c[order].astype(k) for c, k in zip(columns, kinds, strict=True)]
+    cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))) if len(bucket) else [0]
+    return {int(bucket[a]): [c[a:b].tobytes() for c in columns] for a, b in zip(cuts[:-1], cuts[1:], strict=True)}
 
 
 def _packed(entries: list[np.ndarray], pairs: list[np.ndarray], buckets: int) -> pa.RecordBatch:
     """Entries and settled pairs by bucket; pairs only pass through, to the bucket of their document."""
-    by = [(entries[0] >> np.uint64(20)) % np.uint64(buckets), pairs[0].view(np.uint64) % np.uint64(buckets)]
-    sides = []
-    for bucket, columns, kinds in zip(by, (entries, pairs), (_ENTRY_KINDS, _PAIR_KINDS), strict=True):
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1).astype(np.uint64))
-        sides.append((cuts, [c[order].astype(k) for c, k in zip(columns, kinds, strict=True)]))
-    rows = []
-    for bucket in range(buckets):
-        row = [c[cuts[bucket] : cuts[bucket + 1]].tobytes() for cuts, columns in sides for c in columns]
-        if any(row):
-            rows.append((bucket, *row))
+    own = _dealt((entries[0] >> np.uint64(20)) % np.uint64(buckets), entries, _ENTRY_KINDS)
+    done = _dealt(pairs[0].view(np.uint64) % np.uint64(buckets), pairs, _PAIR_KINDS)
+    rows = [
+        (bucket, *own.get(bucket, [b""] * len(_ENTRY)), *done.get(bucket, [b""] * len(_PAIR)))
+        for bucket in sorted(own.keys() | done.keys())
+    ]
     columns = list(zip(*rows, strict=True)) or [()] * len(_PACKED_FIELDS)
     return pa.RecordBatch.from_arrays(
         [pa.array(c, f.type) for c, f in zip(columns, _PACKED_FIELDS, strict=True)], schema=_PACKED_FIELDS
@@ -163,10 +217,12 @@ def pack_chunks(texts: DataFrame, buckets: int, min_words: int) -> DataFrame:
             keys = batch.column(0).to_numpy()
             data, offsets = flat_texts(batch.column(1))
             for a, b in pieces(offsets):
-                who, hash_, at, n, left, right = chunks(
+                who, hash_, at, n, around = chunks(
                     data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], min_words
                 )
-                held.append([hash_, left & np.uint64(0xFFFFFFFF), right & np.uint64(0xFFFFFFFF), keys[a:b][who], at, n])
+                sides = [(s & np.uint64(0xFFFFFFFF)).astype(np.uint32) for s in around]
+                sides += [np.zeros(len(at), np.uint32)] * (SIDES - len(sides))
+                held.append([hash_, *sides, keys[a:b][who], at, n])
                 size += int(offsets[b] - offsets[a])
                 if size >= PACK_BYTES:
                     yield _close(held, buckets)
@@ -180,7 +236,7 @@ def pack_chunks(texts: DataFrame, buckets: int, min_words: int) -> DataFrame:
 
 
 def _close(held: list[list[np.ndarray]], buckets: int) -> pa.RecordBatch:
-    # Only the first occurrence of each chunk and side goes on; a later one is settled already.
+    # Only the first occurrence of each chunk and stretch goes on; a later one is settled already.
     pairs, first = _settled([np.concatenate(c) for c in zip(*held, strict=True)])
     return _packed(first, pairs, buckets)
 
@@ -194,49 +250,55 @@ def _matches_of_bucket(parts: int):
 
     def match(table: pa.Table) -> pa.Table:
         release()
-        names = ["hashes", "lefts", "rights", "keys", "ats", "ns"]
-        entries = [joined(table, c, k) for c, k in zip(names, _ENTRY_KINDS, strict=True)]
-        own, _ = _settled([c.astype(np.uint64) if i < 3 else c for i, c in enumerate(entries)])
+        entries = [joined(table, c, k) for c, k in zip(_ENTRY, _ENTRY_KINDS, strict=True)]
+        own, _ = _settled(entries)
         done = [joined(table, f"p_{c}", k) for c, k in zip(_PAIR, _PAIR_KINDS, strict=True)]
         pairs = [np.concatenate(c) for c in zip(own, done, strict=True)]
-        part = (pairs[0].view(np.uint64) % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        pairs = [c[order] for c in pairs]
-        cuts = np.searchsorted(part[order], np.arange(parts + 1))
-        rows = [
-            (p, *(c[cuts[p] : cuts[p + 1]].astype(k).tobytes() for c, k in zip(pairs, _PAIR_KINDS, strict=True)))
-            for p in range(parts)
-            if cuts[p] < cuts[p + 1]
-        ]
-        columns = list(zip(*rows, strict=True)) or [()] * len(_MATCH_FIELDS)
+        dealt = _dealt(pairs[0].view(np.uint64) % np.uint64(parts), pairs, _PAIR_KINDS)
+        columns = list(zip(*((p, *c) for p, c in dealt.items()), strict=True)) or [()] * len(_MATCH_FIELDS)
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, _MATCH_FIELDS, strict=True)], schema=_MATCH_FIELDS)
 
     return match
 
 
-_REGION = "key bigint, first bigint, last bigint, to bigint, to_first bigint, to_last bigint"
+_REGION = "key bigint, first bigint, last bigint, to bigint, to_first bigint, to_last bigint, skip bigint"
 _REGION_NAMES = [c.split()[0] for c in _REGION.split(", ")]
 
 
-def _regions_of_part(table: pa.Table) -> pa.Table:
-    """Neighbouring chunks that point to one stretch, as one region in words, with ``AROUND`` on both sides."""
-    key, at, n, to, to_at = (
-        joined(table, f"p_{c}", k).astype(np.int64) for c, k in zip(_PAIR, _PAIR_KINDS, strict=True)
-    )
-    shift = at - to_at
-    order = np.lexsort((at, shift, to, key))
-    key, at, n, to, shift = (c[order] for c in (key, at, n, to, shift))
-    end = at + n
-    new = np.ones(len(key), bool)
-    new[1:] = (
-        (key[1:] != key[:-1]) | (to[1:] != to[:-1]) | (shift[1:] != shift[:-1]) | (at[1:] > end[:-1] + 2 * AROUND)
-    )
-    head = np.flatnonzero(new)
-    tail = np.append(head[1:], len(key)) - 1
-    before = np.minimum(AROUND, np.minimum(at[head], at[head] - shift[head])) if len(head) else head
-    first, last = at[head] - before, end[tail] + AROUND
-    columns = [key[head], first, last, to[head], first - shift[head], last - shift[head]]
-    return pa.table([pa.array(c.astype(np.int64)) for c in columns], names=_REGION_NAMES)
+def _regions_of_part(min_words: int):
+    around = min_words - LINES
+
+    def regions(table: pa.Table) -> pa.Table:
+        """Neighbouring chunks that point to one stretch, as one region in words with what a passage may add on both
+        sides, cut at the pieces of the earlier text (first, last). ``skip`` words of the piece come before."""
+        key, at, n, to, to_at = (
+            joined(table, f"p_{c}", k).astype(np.int64) for c, k in zip(_PAIR, _PAIR_KINDS, strict=True)
+        )
+        shift = at - to_at
+        order = np.lexsort((at, shift, to, key))
+        key, at, n, to, shift = (c[order] for c in (key, at, n, to, shift))
+        end = at + n
+        new = np.ones(len(key), bool)
+        new[1:] = (
+            (key[1:] != key[:-1]) | (to[1:] != to[:-1]) | (shift[1:] != shift[:-1]) | (at[1:] > end[:-1] + 2 * around)
+        )
+        head = np.flatnonzero(new)
+        tail = np.append(head[1:], len(key)) - 1
+        before = np.minimum(around, np.minimum(at[head], at[head] - shift[head])) if len(head) else head
+        first, last = at[head] - before, end[tail] + around
+        # The pieces overlap by a passage less a word, so each passage lies in one of them.
+        overlap = min_words - 1
+        low, high = (first - shift[head]) // PART, np.maximum(last - shift[head] - overlap - 1, 0) // PART
+        count = np.maximum(high, low) - low + 1
+        k = np.repeat(np.arange(len(head)), count)
+        piece = low[k] + np.arange(len(k)) - np.repeat(np.cumsum(count) - count, count)
+        to_first, to_last = piece * PART, piece * PART + PART + overlap
+        off = shift[head][k]
+        a, b = np.maximum(first[k], to_first + off), np.minimum(last[k], to_last + off)
+        columns = [key[head][k], a, b, to[head][k], to_first, to_last, a - off - to_first]
+        return pa.table([pa.array(c.astype(np.int64)) for c in columns], names=_REGION_NAMES)
+
+    return regions
 
 
 def _word_spans(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -244,65 +306,107 @@ def _word_spans(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return runs(~SPACE[data], np.array([0, len(data)])) if len(data) else (np.zeros(0, int), np.zeros(0, int))
 
 
-def cut_out(text: Column, stretches: Column) -> Column:
+def cut_out(text: Column, wanted: Column) -> Column:
     """The bytes of stretches of words (first, last) of a text, from the first word's start to the last
     one's end; a stretch ends with the text."""
 
     @F.arrow_udf("array<binary>")
     def pick(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for texts, wanted in batches:
-            out = []
-            for t, w in zip(texts, wanted, strict=True):
-                raw = (t.as_py() or "").encode()
-                start, end = _word_spans(raw)
-                out.append([raw[start[s["first"]] : end[min(s["last"], len(end)) - 1]] for s in w.as_py()])
+        for texts, asked in batches:
+            data, offsets = flat_texts(texts)
+            raw = data.tobytes()
+            of = np.repeat(np.arange(len(asked)), pc.list_value_length(asked).fill_null(0).to_numpy(zero_copy_only=False))
+            flat = asked.flatten()
+            first, last = (flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            out: list[list[bytes]] = [[] for _ in range(len(asked))]
+            at = 0
+            for a, b in pieces(offsets):
+                here = slice(at, at := int(np.searchsorted(of, b)))
+                start, end = runs(~SPACE[data[offsets[a] : offsets[b]]], offsets[a : b + 1] - offsets[a])
+                cuts = np.searchsorted(start, offsets[a : b + 1] - offsets[a])
+                own = of[here] - a
+                begin = start[np.minimum(cuts[own] + first[here], len(start) - 1)] + offsets[a]
+                stop = end[np.minimum(cuts[own] + last[here], cuts[own + 1]) - 1] + offsets[a]
+                for k, x, y in zip(of[here].tolist(), begin.tolist(), stop.tolist(), strict=True):
+                    out[k].append(raw[x:y])
             yield pa.array(out, pa.list_(pa.binary()))
         release()
 
-    return pick(text, stretches)
+    return pick(text, wanted)
 
 
 def _equal_parts(
     x: np.ndarray, xs: np.ndarray, xe: np.ndarray, y: np.ndarray, ys: np.ndarray, ye: np.ndarray
 ) -> np.ndarray:
-    """Whether part i of x, from xs[i] to xe[i], has the bytes of part i of y."""
+    """Whether part i of x, from xs[i] to xe[i], has the bytes of part i of y. Compares eight bytes at a time."""
     size = xe - xs
     same = size == ye - ys
     at = np.flatnonzero(same & (size > 0))
     if len(at):
         sizes = size[at]
-        first = np.cumsum(sizes) - sizes
-        inner = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
-        equal = x[np.repeat(xs[at], sizes) + inner] == y[np.repeat(ys[at], sizes) + inner]
-        same[at] = np.logical_and.reduceat(equal, first)
+        loads = (sizes + 7) >> 3
+        first = np.cumsum(loads) - loads
+        step = 8 * (np.arange(int(loads.sum())) - np.repeat(first, loads))
+        left = np.repeat(sizes, loads) - step
+        differ = _eight(x)[np.repeat(xs[at], loads) + step] ^ _eight(y)[np.repeat(ys[at], loads) + step]
+        short = np.flatnonzero(left < 8)
+        differ[short] &= (np.uint64(1) << (left[short] * 8).astype(np.uint64)) - np.uint64(1)
+        same[at] = ~np.logical_or.reduceat(differ != 0, first)
     return same
 
 
-def equal_runs(x: bytes, y: bytes, min_words: int) -> list[tuple[int, int]]:
-    """Runs of at least ``min_words`` words, numbered from 0, that both texts have at the same numbers, byte by
-    byte with the white space between them."""
-    (xs, xe), (ys, ye) = _word_spans(x), _word_spans(y)
-    n = min(len(xs), len(ys))
-    if n < min_words:
-        return []
-    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
-    same = _equal_parts(a, xs[:n], xe[:n], b, ys[:n], ye[:n])
-    gap = _equal_parts(a, xe[: n - 1], xs[1:n], b, ye[: n - 1], ys[1:n])
-    first, last = runs(same, np.concatenate(([0], np.flatnonzero(~gap) + 1)))
-    return [(int(i), int(j)) for i, j in zip(first, last, strict=True) if j - i >= min_words]
-
+def _eight(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as numbers."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray(len(data) + 1, "<u8", padded.data, strides=(1,))
+
+
+def equal_runs(
+    x: np.ndarray, x_offsets: np.ndarray, y: np.ndarray, y_offsets: np.ndarray, skip: np.ndarray, min_words: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of at least ``min_words`` words that text i of x has byte by byte, with the white space between them, where text
+    i of y has them ``skip[i]`` words later: number of the text, first word and behind the last word in x."""
+    xs, xe = runs(~SPACE[x], x_offsets)
+    ys, ye = runs(~SPACE[y], y_offsets)
+    x_first, y_first = np.searchsorted(xs, x_offsets), np.searchsorted(ys, y_offsets)
+    n = np.maximum(np.minimum(np.diff(x_first), np.diff(y_first) - skip), 0)
+    of = np.repeat(np.arange(len(n)), n)
+    inner = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+    i, j = x_first[of] + inner, y_first[of] + skip[of] + inner
+    same = _equal_parts(x, xs[i], xe[i], y, ys[j], ye[j])
+    linked = np.zeros(len(of), bool)
+    inside = np.flatnonzero(of[1:] == of[:-1])
+    linked[inside + 1] = _equal_parts(x, xe[i[inside]], xs[i[inside + 1]], y, ye[j[inside]], ys[j[inside + 1]])
+    first, last = runs(same, np.flatnonzero(~linked))
+    long = last - first >= min_words
+    first, last = first[long], last[long]
+    return of[first], inner[first], inner[last - 1] + 1
+
+
+def compared(x: Column, y: Column, skip: Column, min_words: int) -> Column:
+    kind = pa.struct([("a", pa.int64()), ("b", pa.int64())])
 
-def compared(x: Column, y: Column, min_words: int) -> Column:
     @F.arrow_udf("array<struct<a:bigint,b:bigint>>")
-    def test(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for xs, ys in batches:
-            found = [equal_runs(x.as_py(), y.as_py(), min_words) for x, y in zip(xs, ys, strict=True)]
-            yield pa.array(
-                [[{"a": a, "b": b} for a, b in f] for f in found],
-                pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])),
-            )
+    def test(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for xs, ys, skips in batches:
+            (x_data, x_offsets), (y_data, y_offsets) = flat_texts(xs, b""), flat_texts(ys, b"")
+            skipped = skips.to_numpy(zero_copy_only=False)
+            counts, firsts, lasts = [], [], []
+            for a, b in pieces(x_offsets):
+                of, first, last = equal_runs(
+                    x_data[x_offsets[a] : x_offsets[b]], x_offsets[a : b + 1] - x_offsets[a],
+                    y_data[y_offsets[a] : y_offsets[b]], y_offsets[a : b + 1] - y_offsets[a], skipped[a:b], min_words,
+                )
+                counts.append(np.bincount(of, minlength=b - a))
+                firsts.append(first)
+                lasts.append(last)
+            flat = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in (counts, firsts, lasts)]
+            ends = np.concatenate(([0], np.cumsum(flat[0]))).astype(np.int32)
+            values = pa.StructArray.from_arrays([pa.array(c.astype(np.int64)) for c in flat[1:]], fields=list(kind))
+            yield pa.ListArray.from_arrays(pa.array(ends), values)
 
-    return test(x, y)
+    return test(x, y, skip)
 
 
 def strike_words(raw: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int]:
@@ -345,6 +449,8 @@ def struck(text: Column, spans: Column) -> Column:
 def repeated_spans(texts: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(key, spans): runs of words, as half-open ranges, that an earlier place has byte by byte.
     ``texts`` has the columns key and text."""
+    if min_words > MIN_WORDS:
+        raise ValueError(f"passages of more than {MIN_WORDS} words need more stretches")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(MIN_BUCKETS, -(-size // BUCKET_BYTES))
     matches = (
@@ -352,12 +458,13 @@ def repeated_spans(texts: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         .groupBy("bucket")
         .applyInArrow(_matches_of_bucket(buckets), _MATCH)
     )
-    regions = stored(matches.groupBy("part").applyInArrow(_regions_of_part, _REGION).distinct(), "regions")
+    regions = stored(matches.groupBy("part").applyInArrow(_regions_of_part(min_words), _REGION).distinct(), "regions")
     wanted = regions.select("key", "first", "last").unionByName(
         regions.select(F.col("to").alias("key"), F.col("to_first").alias("first"), F.col("to_last").alias("last"))
     )
+    # Of an earlier text these are fixed pieces, and of a later one as many as its own chunks ask for.
     per_text = stored(
-        wanted.groupBy("key").agg(F.collect_set(F.struct("first", "last")).alias("stretches")), "wanted"
+        wanted.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("stretches")), "wanted"
     )
     affected = texts.where(may_have(per_text, "key")(F.col("key")))
     cut = affected.join(per_text, "key").select("key", "stretches", cut_out(F.col("text"), F.col("stretches")).alias("c"))
@@ -369,7 +476,7 @@ def repeated_spans(texts: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
     there = regions.join(parts.toDF("to", "to_first", "to_last", "y"), ["to", "to_first", "to_last"])
     both = there.join(parts.withColumnRenamed("bytes", "x"), ["key", "first", "last"])
-    equal = both.select("key", "first", F.explode(compared(F.col("x"), F.col("y"), min_words)).alias("r"))
+    equal = both.select("key", "first", F.explode(compared(F.col("x"), F.col("y"), F.col("skip"), min_words)).alias("r"))
     spans = equal.select("key", (F.col("first") + F.col("r.a")).alias("a"), (F.col("first") + F.col("r.b")).alias("b"))
     return spans.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("spans"))
 

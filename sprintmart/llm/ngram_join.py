@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sprintmart.llm.components import components
-from sprintmart.llm.flat import LOWER, SPACE, Rolling, flat_texts, joined, mix, pieces, runs
+from sprintmart.llm.flat import LOWER, SPACE, Rolling, flat_texts, joined, mix, pieces, runs, span_hashes
 from sprintmart.llm.kept import claim, keeper, release
 from sprintmart.llm.stored import stored
 
@@ -48,9 +48,8 @@ BUCKET_GRAMS = 1_000_000
 MIN_BUCKETS = 64
 PACK_BYTES = 8 << 20
 
-_BYTES = Rolling(0x9D8F3C2A17B5E461)
 _WORDS = Rolling(0xC2B2AE3D27D4EB4F)
-keeper("ngram_join", lambda: (_BYTES.forget(), _WORDS.forget()))
+keeper("ngram_join", _WORDS.forget)
 _LOW = np.uint64((1 << 48) - 1)
 
 
@@ -61,7 +60,7 @@ def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     start, end = runs(~SPACE[data], offsets)
     owner = np.searchsorted(offsets, start, "right") - 1
     n_words = np.bincount(owner, minlength=n)
-    sums = _WORDS.sums(_BYTES.spans(_BYTES.sums(LOWER[data]), start, end))
+    sums = _WORDS.sums(span_hashes(LOWER[data], start, end))
     last = np.cumsum(n_words)
     key = _WORDS.spans(sums, last - n_words, last)
     first = np.arange(max(0, len(start) - WORDS + 1))

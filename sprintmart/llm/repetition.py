@@ -1,13 +1,13 @@
 """Quality rules on repetition: characters inside repeated n-grams and lines, from rolling hashes.
 
-Works on the flat bytes of many texts at once. Every word gets a hash from prefix sums over the
-bytes, every n-gram one from prefix sums over the word hashes, so several lengths share one pass.
-Hashes are salted with the text, sorted, and those that occur twice mark the words they cover.
-Equality is that of 64-bit hashes: two different n-grams of one text of a million words are taken
-for equal with a probability below one in ten million.
+Works on the flat bytes of many texts at once. Every word and line gets a 64-bit hash of its bytes, every n-gram a
+rolling one from prefix sums over the word hashes modulo two primes, so several lengths share one pass. Hashes are
+salted with the text, sorted, and those that occur twice mark the words they cover. Equality is that of 62 bits: two
+different n-grams of one text of a million words are taken for equal about once in ten million such texts.
 
 A null text is an empty one: it has no words, lines or symbols, and all shares are 0. Words are
-``[^\\x20\\x09-\\x0D]+``; lines end at ``\\n`` and count if they have a word.
+``[^\\x20\\x09-\\x0D]+``; lines end at ``\\n`` and count if they have a word. Repeated rows give equal counts, an empty
+table no rows.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sprintmart.llm.flat import SPACE, Rolling, code_points, flat_texts, mix, pieces, runs
+from sprintmart.llm.flat import SPACE, Rolling, code_points, flat_texts, mix, pieces, runs, span_hashes
 
 #: Length in words of the windows of the base rule.
 BASE_WINDOW = 8
@@ -30,7 +30,6 @@ COVERAGE = {5: 0.40, 8: 0.33, 10: 0.30}
 #: The largest share of word characters in lines that repeat an earlier line.
 LINE_COVERAGE = 0.30
 
-_BYTES = Rolling(0x9D8F3C2A17B5E461)
 _WORDS = Rolling(0xC2B2AE3D27D4EB4F)
 
 #: Fixed set: the symbols of the base rule.
@@ -85,7 +84,6 @@ def measure(data: np.ndarray, offsets: np.ndarray, lengths: tuple[int, ...]) ->
     word_chars = chars_before[end] - chars_before[start]
     out["n_words"] = np.bincount(owner, minlength=n)
     out["word_chars"] = _per_text(word_chars, owner, n)
-    sums = _BYTES.sums(data)
 
     breaks = np.unique(np.concatenate((offsets[:-1], np.flatnonzero(data == 10) + 1)))
     line_of_word = np.searchsorted(breaks, start, "right") - 1
@@ -95,11 +93,11 @@ def measure(data: np.ndarray, offsets: np.ndarray, lengths: tuple[int, ...]) ->
     # The line break itself is no part of the line; a text's last line has none.
     line_end = np.where(data[line_end - 1] == 10, line_end - 1, line_end)
     line_owner = owner[first_word]
-    later = _later(_BYTES.spans(sums, line_start, line_end) ^ salt[line_owner])
+    later = _later(span_hashes(data, line_start, line_end) ^ salt[line_owner])
     out["n_dup_lines"] = np.bincount(line_owner[later], minlength=n)
     out["dup_line_chars"] = _per_text(np.add.reduceat(word_chars, first_word)[later], line_owner[later], n)
 
-    word_sums = _WORDS.sums(_BYTES.spans(sums, start, end))
+    word_sums = _WORDS.sums(span_hashes(data, start, end))
     for size in sorted({*lengths, BASE_WINDOW}):
         first = np.arange(len(start) - size + 1)
         first = first[owner[first] == owner[first + size - 1]] if len(first) else first

@@ -167,9 +167,20 @@ def test_rows_equal_in_id_and_text_fare_alike(docs_of, prose):
 
 
 def test_equal_runs_compare_bytes():
+    def found(pairs, min_words):
+        x, y = (b"".join(p[k] for p in pairs) for k in (0, 1))
+        offsets = [np.concatenate(([0], np.cumsum([len(p[k]) for p in pairs]))) for k in (0, 1)]
+        flat = [np.frombuffer(v, np.uint8) for v in (x, y)]
+        skip = np.array([p[2] for p in pairs])
+        return list(zip(*(c.tolist() for c in line_dedup.equal_runs(flat[0], offsets[0], flat[1], offsets[1], skip, min_words))))
+
     x, y = b"a b c  d e f g", b"a b c d e x g"
-    assert line_dedup.equal_runs(x, y, 2) == [(0, 3), (3, 5)]
-    assert line_dedup.equal_runs(x, y, 3) == [(0, 3)]
+    assert found([(x, y, 0)], 2) == [(0, 0, 3), (0, 3, 5)]
+    assert found([(x, y, 0)], 3) == [(0, 0, 3)]
+    longer = b"averylongword that-is-longer-than-eight-bytes a b"
+    assert found([(x, y, 0), (longer, b"0 1 " + longer, 2), (b"", b"a", 0), (longer, longer[:-1] + b"c", 0), (b"a", b"a", 5)], 2) == [
+        (0, 0, 3), (0, 3, 5), (1, 0, 4), (3, 0, 3)
+    ]
     assert line_dedup.strike_words(b" a b\nc d ", [(1, 2), (1, 3)]) == (b" a d ", 2)
 
 
@@ -182,26 +193,74 @@ def test_contents_do_not_depend_on_partitions(docs_of, crowd):
     assert once == again
 
 
-def test_every_passage_of_51_words_holds_a_chunk_with_a_side():
-    """Between other words, in mid-line, of few distinct words and periodic: both copies share a chunk and a side."""
+def test_every_passage_of_50_words_holds_a_chunk_with_a_stretch():
+    """Between other words, in mid-line, over several lines, of few distinct words and periodic: both copies share a
+    chunk and a stretch around it."""
     rng = random.Random(11)
     missing = 0
-    for case in range(3_000):
+    for _ in range(4_000):
         pool = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([1, 2, 3, 60, 60, 60]))]
-        cycle = [rng.choice(pool) for _ in range(rng.choice([1, 2, 3, 7, 51]))]
-        passage = " ".join((cycle * 51)[:51])
+        cycle = [rng.choice(pool) + rng.choice([" ", " ", " ", "\n"]) for _ in range(rng.choice([1, 2, 3, 7, 50]))]
+        passage = "".join((cycle * 50)[:50]).strip()
         other = lambda: " ".join(f"o{rng.randrange(10**6)}" for _ in range(rng.randrange(0, 40)))
-        both = [f"{other()} {passage} {other()}".strip().encode() for _ in range(2)]
+        both = [f"{other()} {passage}{rng.choice([' ', chr(10)])}{other()}".strip().encode() for _ in range(2)]
         found = []
         for raw in both:
-            _, hash_, _, _, left, right = line_dedup.chunks(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), 50)
-            found.append({(int(h), k, int(v)) for h, *sides in zip(hash_, left, right) for k, v in enumerate(sides) if v})
+            _, hash_, _, _, around = line_dedup.chunks(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), 50)
+            found.append({(int(h), k, int(v)) for k, side in enumerate(around) for h, v in zip(hash_, side) if v})
         missing += not (found[0] & found[1])
     assert missing == 0
 
 
+def repeated_windows(texts: list[str]) -> int:
+    """Windows of 50 words, with their white space, that an earlier place has too."""
+    seen, again = set(), 0
+    for text in texts:
+        for piece in pieces(text, 50):
+            again += piece in seen
+            seen.add(piece)
+    return again
+
+
+@pytest.mark.parametrize("copies, share", [(50, 0.02), (500, 0.02), (500, 0.03)])
+def test_repeated_windows_of_near_copies_go(docs_of, words, prose, copies, share):
+    """Each copy changes its own words, so the first one that shares a chunk need not share all of a passage."""
+    rng = random.Random(copies)
+    base = prose(5, 300)
+    docs = docs_of([edited(base, rng, share, words) for _ in range(copies)])
+    before = repeated_windows([r.text for r in docs.collect()])
+    left = [r.repeats.text for r in line_dedup.without_repeats(docs).collect()]
+    assert before > 50 * copies
+    assert repeated_windows(left) <= 0.02 * before
+
+
+def test_a_popular_passage_and_a_long_text(docs_of, prose):
+    """Pieces of the earlier text are fixed, also where passages lie across them."""
+    long = prose(31, 3_000)
+    parts = pieces(long, 120)
+    texts = [long] + [f"own{i} words{i} {parts[17 * i]} end{i}" for i in range(160)]
+    rows = {r.doc_id: r.repeats for r in line_dedup.without_repeats(docs_of(texts)).collect()}
+    left = [rows[i].text for i in range(len(texts))]
+    assert repeated_windows(left) == 0
+    assert sum(rows[i].removed_words for i in range(len(texts))) >= 160 * 100
+
+
 def test_a_first_copy_with_other_white_space_hides_no_equal_copies(docs_of, prose):
     passage = prose(77, 120).replace("\n", " ")
     texts = [passage.replace(" ", "  "), *(f"start{i} {passage}" for i in range(6))]
     rows = line_dedup.without_repeats(docs_of(texts)).select("repeats.removed_words").collect()
     assert sum(r.removed_words >= 110 for r in rows) == 5
+
+
+def thue_morse(n: int, flip: int = 0) -> list[int]:
+    return [bin(i).count("1") + flip & 1 for i in range(n)]
+
+
+@pytest.mark.parametrize("joint", ["", " "])
+def test_structured_texts_are_told_apart(docs_of, joint):
+    """Sequences that polynomial hashes modulo a power of two take for equal, as letters of a word and as words."""
+    texts = [joint.join("ab"[v] for v in thue_morse(2048, flip)) for flip in (0, 1)]
+    texts += [joint.join(["alpha", "beta"][v] for v in thue_morse(1024, flip)) for flip in (0, 1)]
+    rows = ngram_join.near_duplicate_groups(docs_of(texts)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == plain_components(dict(enumerate(texts)))
+    assert len({r.key for r in rows}) == 4
