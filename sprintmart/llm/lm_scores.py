@@ -8,14 +8,17 @@ probability of every token after all that stands before it in the text.
 1. Texts are packed in blocks with a vocabulary of their own, stored once, and no longer moved as text.
 2. Words of all training texts are counted over all blocks; a block asks for the counts of its own
    vocabulary, so a word is shuffled once a block, however often it occurs, and a hot word is no hot key.
-3. Network weights start from ``SEED_TOKENS`` tokens of one block; then every block goes on from there with
-   all of its training texts, and the weights are averaged, each block with its weight. Back-propagation is
-   cut after a few tokens, the state is not.
+3. Training texts, as numbers, are dealt to parts by a hash of id and text and ordered by it, so that weights
+   depend on the rows alone and not on how they lie in partitions. Weights start from ``SEED_TOKENS`` tokens of the first
+   part; then every part goes on from there with all of its texts, and the weights are averaged, each part with its
+   number of tokens. Back-propagation is cut after a few tokens, the state is not.
 4. Every text is scored from its first to its last token with the state carried through.
 
 Bounded, whatever the corpus: ``WORDS`` frequent words and the weights (some 70,000 numbers). All counts are
-exact and cover all training texts. A null text is an empty one: its end alone is scored. Repeated rows are
-trained on and scored each. Without training texts all counts are 0 and the untrained network scores.
+exact and cover all training texts. A null text is an empty one: its end alone is scored. Rows equal in id and text
+are counted and scored each, and the network is fitted to one of them, so no part is longer for them. A very long
+text is in one part and one block. Without training texts all counts are 0 and the untrained network scores; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sprintmart.llm import recurrent
+from sprintmart.llm.flat import mix
 from sprintmart.llm.kept import claim
 from sprintmart.llm.stored import stored
 
@@ -37,6 +41,10 @@ WORDS = 1024
 TAILS = 64
 TAIL_BYTES = 3
 SEED_TOKENS = 400_000
+#: Training tokens of a part, and texts that it is trained on side by side.
+PART_TOKENS = 4_000_000
+LANES = 512
+RATE = 0.02
 
 #: A block ends with the text that brings it to so many bytes.
 BLOCK_BYTES = 32 << 20
@@ -47,12 +55,12 @@ END = "\n"
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 _BLOCK = (
-    "block bigint, doc_ids array<bigint>, train array<boolean>, lengths array<bigint>, tokens binary,"
+    "block bigint, doc_ids array<bigint>, hashes array<bigint>, train array<boolean>, lengths array<bigint>, tokens binary,"
     " words array<string>, counts array<bigint>"
 )
 _BLOCK_FIELDS = pa.schema(
-    [("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())),
-     ("lengths", pa.list_(pa.int64())), ("tokens", pa.binary()), ("words", pa.list_(pa.string())),
+    [("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("hashes", pa.list_(pa.int64())),
+     ("train", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int64())), ("tokens", pa.binary()), ("words", pa.list_(pa.string())),
      ("counts", pa.list_(pa.int64()))]
 )
 
@@ -65,7 +73,7 @@ def blocks(docs: DataFrame) -> DataFrame:
         claim("lm_scores")
         part = TaskContext.get().partitionId()
         number: dict[bytes, int] = {END.encode(): 0}
-        docs_, train, texts = [], [], []
+        docs_, hashes, train, texts = [], [], [], []
         size = count = 0
 
         def close() -> pa.RecordBatch:
@@ -73,9 +81,9 @@ def blocks(docs: DataFrame) -> DataFrame:
             tokens = np.concatenate(texts)
             lengths = np.array([len(t) for t in texts])
             counts = np.bincount(tokens[np.repeat(np.array(train), lengths)], minlength=len(number))
-            row = (part << 32 | count, docs_[:], train[:], lengths, tokens.astype("<u4").tobytes(),
+            row = (part << 32 | count, docs_[:], hashes[:], train[:], lengths, tokens.astype("<u4").tobytes(),
                    [w.decode() for w in number], counts)
-            for kept in (docs_, train, texts):
+            for kept in (docs_, hashes, train, texts):
                 kept.clear()
             number.clear()
             number[END.encode()] = 0
@@ -85,7 +93,7 @@ def blocks(docs: DataFrame) -> DataFrame:
             )
 
         for batch in batches:
-            for doc, text, learn in zip(*(batch.column(c) for c in ("doc_id", "text", "train")), strict=True):
+            for doc, text, learn, h in zip(*(batch.column(c) for c in ("doc_id", "text", "train", "h")), strict=True):
                 raw = (text.as_py() or "").encode()
                 words = raw.translate(_LOWER).split()
                 for word in set(words).difference(number):
@@ -93,6 +101,7 @@ def blocks(docs: DataFrame) -> DataFrame:
                 words.append(END.encode())
                 texts.append(np.fromiter(map(number.__getitem__, words), np.uint32, len(words)))
                 docs_.append(doc.as_py())
+                hashes.append(h.as_py())
                 train.append(bool(learn.as_py()))
                 size += len(raw) + 1
                 if size >= BLOCK_BYTES:
@@ -100,7 +109,7 @@ def blocks(docs: DataFrame) -> DataFrame:
         if texts:
             yield close()
 
-    return docs.select("doc_id", "text", "train").mapInArrow(pack, _BLOCK)
+    return docs.select("doc_id", "text", "train", F.xxhash64("doc_id", "text").alias("h")).mapInArrow(pack, _BLOCK)
 
 
 def word_counts(packed: DataFrame) -> DataFrame:
@@ -151,12 +160,12 @@ class Vocabulary:
 
 
 _ENCODED = (
-    "block bigint, doc_ids array<bigint>, train array<boolean>, lengths array<bigint>, ids binary,"
+    "block bigint, doc_ids array<bigint>, hashes array<bigint>, train array<boolean>, lengths array<bigint>, ids binary,"
     " known array<bigint>, base array<double>, rest array<double>"
 )
 _ENCODED_FIELDS = pa.schema(
-    [("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())),
-     ("lengths", pa.list_(pa.int64())), ("ids", pa.binary()), ("known", pa.list_(pa.int64())),
+    [("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("hashes", pa.list_(pa.int64())),
+     ("train", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int64())), ("ids", pa.binary()), ("known", pa.list_(pa.int64())),
      ("base", pa.list_(pa.float64())), ("rest", pa.list_(pa.float64()))]
 )
 
@@ -184,7 +193,7 @@ def encoded(packed: DataFrame, counts: DataFrame, vocabulary: Vocabulary) -> Dat
             known, low, rest = (
                 np.bincount(owner, weights=v[tokens], minlength=len(lengths)) for v in (count > 0, base, inside)
             )
-            out.append((row["block"], row["doc_ids"], row["train"], lengths, model[tokens].astype("<u2").tobytes(),
+            out.append((row["block"], row["doc_ids"], row["hashes"], row["train"], lengths, model[tokens].astype("<u2").tobytes(),
                         known.astype(np.int64), low, rest))
         columns = list(zip(*out, strict=True)) or [()] * len(_ENCODED_FIELDS)
         return pa.table(
@@ -194,19 +203,37 @@ def encoded(packed: DataFrame, counts: DataFrame, vocabulary: Vocabulary) -> Dat
     return packed.groupBy("block").cogroup(answered.groupBy("asker")).applyInArrow(encode, _ENCODED)
 
 
-def _training(row: dict, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and offsets of the block's training texts: all of them, or the first ones up to so many tokens (one at
+_PART = "part bigint, h bigint, ids binary"
+
+
+def training_texts(texts: DataFrame, parts: int) -> DataFrame:
+    """(part, h, ids) of the training texts, those with one hash once."""
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            lengths = np.array(row["lengths"], np.int64)
+            ends = 2 * np.cumsum(lengths)
+            which = np.flatnonzero(np.array(row["train"], bool))
+            hashes = np.array(row["hashes"], np.int64)[which]
+            # The hash is mixed again, so that one part is not one partition of the shuffle before.
+            part = (mix(hashes.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+            ids = [row["ids"][ends[i] - 2 * lengths[i] : ends[i]] for i in which]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(hashes), pa.array(ids, pa.binary())], ["part", "h", "ids"])
+
+    return texts.select("train", "hashes", "lengths", "ids").mapInArrow(pick, _PART).dropDuplicates(["part", "h"])
+
+
+def _training(table: pa.Table, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and offsets of a part's texts by their hash: all of them, or the first ones up to so many tokens (one at
     least)."""
-    lengths = np.array(row["lengths"])
-    start = np.cumsum(lengths) - lengths
-    part = np.flatnonzero(np.array(row["train"], bool))
+    table = table.sort_by("h")
+    raw = [v.as_py() for v in table.column("ids")]
+    lengths = np.array([len(r) // 2 for r in raw], np.int64)
     if most is not None:
-        part = part[: max(1, int(np.searchsorted(np.cumsum(lengths[part]), most, "right")))]
-    ids = np.frombuffer(row["ids"], "<u2").astype(np.int64)
-    texts = [ids[start[i] : start[i] + lengths[i]] for i in part]
-    return (np.concatenate(texts) if texts else np.zeros(0, np.int64)), np.concatenate(
-        ([0], np.cumsum(lengths[part], dtype=np.int64))
-    )
+        raw = raw[: max(1, int(np.searchsorted(np.cumsum(lengths), most, "right")))]
+        lengths = lengths[: len(raw)]
+    ids = np.frombuffer(b"".join(raw), "<u2").astype(np.int64)
+    return ids, np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
 
 
 def _flat(p: dict[str, np.ndarray]) -> np.ndarray:
@@ -228,44 +255,37 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 
 def trained(texts: DataFrame, vocabulary: Vocabulary) -> recurrent.Network:
-    """The network: seeded on one block, then trained on all of them side by side and averaged."""
+    """The network: seeded on the first part, then trained on all parts side by side and averaged."""
     net = vocabulary.network()
     words, tails, start = net.words, net.tails, {k: v.copy() for k, v in net.p.items()}
-    cols = ["block", "train", "lengths", "ids"]
-
-    def seed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            own = recurrent.Network(words, tails, {k: v.copy() for k, v in start.items()})
-            ids, offsets = _training(row, SEED_TOKENS)
-            for rate in (0.01, 0.005):
-                recurrent.train(own, ids, offsets, rate)
-            yield pa.RecordBatch.from_arrays([pa.array([_flat(own.p)], pa.list_(pa.float32()))], ["weights"])
-
-    block = texts.where(F.exists("train", lambda t: t)).orderBy(F.xxhash64("block"), "block").limit(1)
-    found = block.select(*cols).mapInArrow(seed, "weights array<float>").collect()
-    if not found:
+    parts = max(1, -(-vocabulary.total // PART_TOKENS))
+    dealt = stored(training_texts(texts, parts), "training")
+    weights = pa.schema([("weights", pa.list_(pa.float32()))])
+
+    def seed(table: pa.Table) -> pa.Table:
+        own = recurrent.Network(words, tails, {k: v.copy() for k, v in start.items()})
+        ids, offsets = _training(table, SEED_TOKENS)
+        for rate in (0.01, 0.005):
+            recurrent.train(own, ids, offsets, rate)
+        return pa.table([pa.array([_flat(own.p)], weights.field(0).type)], schema=weights)
+
+    # The part with the least number that has texts; with many parts that is the first.
+    least = dealt.agg(F.min("part")).first()[0]
+    if least is None:
         return net
+    found = dealt.where(F.col("part") == least).groupBy("part").applyInArrow(seed, "weights array<float>").collect()
     seeded = _shaped(np.array(found[0]["weights"], np.float32), start)
 
-    def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, weight = None, 0
-        for row in _rows(batches):
-            own = recurrent.Network(words, tails, {k: v.copy() for k, v in seeded.items()})
-            ids, offsets = _training(row)
-            recurrent.train(own, ids, offsets, 0.004)
-            part = _flat(own.p).astype(np.float64) * len(ids)
-            total, weight = (part if total is None else total + part), weight + len(ids)
-        if weight:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([total], pa.list_(pa.float64())), pa.array([weight], pa.int64())], ["weights", "n"]
-            )
-
-    parts = texts.select(*cols).mapInArrow(refine, "weights array<double>, n bigint")
-    mean = (
-        parts.select(F.posexplode("weights").alias("at", "v"), "n")
-        .groupBy("at").agg((F.sum("v") / F.sum("n")).alias("v"))
-        .collect()
-    )
+    def refine(table: pa.Table) -> pa.Table:
+        claim("lm_scores")
+        own = recurrent.Network(words, tails, {k: v.copy() for k, v in seeded.items()})
+        ids, offsets = _training(table)
+        recurrent.train(own, ids, offsets, RATE, LANES)
+        flat = _flat(own.p).astype(np.float64) * len(ids)
+        return pa.table({"at": np.arange(len(flat)), "v": flat, "n": np.full(len(flat), len(ids))})
+
+    refined = dealt.groupBy("part").applyInArrow(refine, "at bigint, v double, n bigint")
+    mean = refined.groupBy("at").agg((F.sum("v") / F.sum("n")).alias("v")).collect()
     flat = np.zeros(len(mean))
     for r in mean:
         flat[r["at"]] = r["v"]

@@ -12,8 +12,9 @@ The steps, all over whole texts:
    shingle. Contents whose prefix holds none but their own shingles are done.
 4. Contents that share a prefix shingle are candidates. Since components are asked for, most pairs are
    spared: first each content is verified against one content of each of its prefix shingles; then
-   the pairs whose contents are in different components still are joined in full, under the length, the
-   positional and the suffix filter (a bitmap that bounds the difference of two sets), and none is lost.
+   the pairs whose contents are in different components still are joined in full, the smaller one of a pair on
+   its shorter prefix, under the length, the positional and the suffix filter (a bitmap that bounds the difference
+   of two sets), and none is lost.
 5. Every pair left is verified once, by intersecting the shared shingles.
 
 A text of fewer than five words has one shingle, its whole sequence; a text without words (or a null)
@@ -346,14 +347,17 @@ def remaining_pairs(entries: DataFrame, records: DataFrame, members: DataFrame)
     mixed = sizes.groupBy("gram").agg(F.max_by("label", F.struct("c", "label")).alias("major"), F.count("*").alias("k"))
     tagged = labelled.join(mixed.where("k > 1").drop("k"), "gram").drop("component")
     tagged = stored(tagged.join(records.select("key", "bits"), "key"), "open")
-    x, y = tagged.where("label <> major").alias("x"), tagged.alias("y")
-    first = _before("x", "y")
-    # A pair of two smaller components is met from both sides and counts once.
-    once = (F.col("y.label") == F.col("y.major")) | first
-    index = F.when(first, _indexed("x")).otherwise(_indexed("y"))
-    fits = _may_link("x", "y") & once & index & _position_fits("x", "y") & _suffix_fits("x", "y")
-    met = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.label") != F.col("y.label")) & fits)
-    return met.select(*_pair("x", "y")).distinct()
+    # The smaller content of a pair meets the larger one on its indexed shingles alone, so these are picked
+    # before the join; a pair of two contents outside the major component is met in one of the two joins.
+    small = _indexed("x")
+    fits = _before("x", "y") & (F.col("x.label") != F.col("y.label")) & _may_link("x", "y")
+    fits = (F.col("x.gram") == F.col("y.gram")) & fits & _position_fits("x", "y") & _suffix_fits("x", "y")
+    minor, major = "label <> major", "label = major"
+    met = [
+        tagged.where(one).alias("x").where(small).join(tagged.where(other).alias("y"), fits).select(*_pair("x", "y"))
+        for one, other in ((minor, "true"), (major, minor))
+    ]
+    return met[0].unionByName(met[1]).distinct()
 
 
 def linked_contents(texts: DataFrame, n_shingles: int) -> DataFrame:

@@ -264,3 +264,21 @@ def test_structured_texts_are_told_apart(docs_of, joint):
     rows = ngram_join.near_duplicate_groups(docs_of(texts)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == plain_components(dict(enumerate(texts)))
     assert len({r.key for r in rows}) == 4
+
+
+def test_pages_of_one_template_form_no_candidates(spark, docs_of):
+    """A template of 81 words with 20 own words around: many share all of its shingles, none link."""
+    template = " ".join(f"t{i}" for i in range(81))
+    own = lambda i, side: " ".join(f"{side}{i}w{k}" for k in range(10))
+    docs = docs_of([f"{own(i, 'a')} {template} {own(i, 'b')}" for i in range(400)])
+    shared = ngram_join.pack_shingles(docs.select("text"), 4).groupBy("bucket").applyInArrow(
+        ngram_join._shared_of_bucket(4), ngram_join._SHARED
+    )
+    records = shared.groupBy("part").applyInArrow(ngram_join._records_of_part, ngram_join._RECORD).cache()
+    entries = ngram_join.prefix_entries(records).cache()
+    assert entries.count() > 400
+    members = spark.createDataFrame([], "key long, component long")
+    assert ngram_join.remaining_pairs(entries, records, members).count() == 0
+    # No pair is even met: nothing of the smaller side is indexed.
+    assert entries.alias("x").where(ngram_join._indexed("x")).count() == 0
+    assert {r.component_id for r in ngram_join.near_duplicate_groups(docs).collect()} == set(range(400))

@@ -49,6 +49,16 @@ def test_repetition_equals_the_plain_version(docs_of, prose):
         assert row.n_words == "kept"
 
 
+@pytest.mark.parametrize("joint", ["", " "])
+def test_structured_words_and_lines_are_told_apart(docs_of, joint):
+    """Sequences that polynomial hashes modulo a power of two take for equal."""
+    lines = [joint.join("ab"[bin(i).count("1") + flip & 1] for i in range(2048)) for flip in (0, 1)]
+    text = f"{lines[0]}\n{lines[1]}\n{lines[0]} {lines[1]} tail"
+    c = docs_of([text]).select(repetition.repetition(F.col("text")).alias("c")).first().c
+    assert (c.n_words, c.word_chars, c.n_symbols, c.n_dup_lines, c.n_repeat_words, c.dup_line_chars,
+            list(c.dup_ngram_chars)) == plain_repetition(text)
+
+
 def test_repetition_verdicts(docs_of, prose):
     fine, twice = prose(2, 200), prose(3, 40)
     docs = docs_of([fine, (twice + "\n") * 2, "few words", None]).withColumn("key", repetition.repetition(F.col("text")))
@@ -201,6 +211,23 @@ def test_language_model_of_few_texts(spark):
 
 
 
+def test_scores_do_not_depend_on_partitions(spark, words, prose, monkeypatch):
+    monkeypatch.setattr(lm_scores, "PART_TOKENS", 1_500)
+    monkeypatch.setattr(lm_scores, "BLOCK_BYTES", 20_000)
+    rows = [(i, prose(300 + i, 20 + i), i % 5 != 1) for i in range(120)] + [(3, prose(303, 23), True)] * 4 + [(None, None, True)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, train boolean")
+    found = []
+    for parts in (1, 4):
+        scores, vocabulary = lm_scores.lm_scores(docs.repartition(parts))
+        assert vocabulary.total > 2 * lm_scores.PART_TOKENS
+        found.append(sorted((r.doc_id or -1, r.n_tokens, r.base_score, r.score) for r in scores.collect()))
+    assert len(found[0]) == len(rows)
+    for x, y in zip(*found, strict=True):
+        assert x[:2] == y[:2]
+        assert x[2] == pytest.approx(y[2], rel=1e-9)
+        assert x[3] == pytest.approx(y[3], rel=1e-6)
+
+
 def test_every_training_text_reaches_the_network(spark, monkeypatch):
     """With the seed cut to one text, the words of any other text in another order change the weights."""
     monkeypatch.setattr(lm_scores, "SEED_TOKENS", 1)
@@ -211,11 +238,14 @@ def test_every_training_text_reaches_the_network(spark, monkeypatch):
         own = ids.copy()
         if changed is not None:
             own[changed] = own[changed][::-1]
-        row = (0, [True] * 11 + [False], [30] * 12, own.astype("<u2").tobytes())
-        texts = spark.createDataFrame([row], "block bigint, train array<boolean>, lengths array<bigint>, ids binary")
+        row = (0, list(range(12)), [True] * 11 + [False], [30] * 12, own.astype("<u2").tobytes())
+        texts = spark.createDataFrame(
+            [row], "block bigint, hashes array<bigint>, train array<boolean>, lengths array<bigint>, ids binary"
+        )
         return lm_scores._flat(lm_scores.trained(texts, vocabulary).p)
 
     base = weights(None)
+    # The text of the least hash seeds the weights; each of the others counts as well.
     assert [np.array_equal(weights(i), base) for i in range(1, 12)] == [False] * 10 + [True]
 
 
