@@ -11,7 +11,8 @@ depends on the bytes near by alone, and each passage of ``MIN_WORDS`` words hold
 2. Occurrences that agree in the chunk and in a stretch point to the first of them. "First" is
    the smallest document key (a hash of id and text), then position; each map task settles its own
    occurrences first, so a chunk that a third of all documents have comes once from each task.
-3. Chunks of a document that point to one stretch of another are joined to regions; the texts of both, the other one's
+3. A chunk that agrees with an occurrence in two stretches shares a passage with it, and needs no other one. Chunks
+   of a document that point to one stretch of another are joined to regions; the texts of both, the other one's
    in fixed pieces of ``PART`` words, are fetched and compared byte by byte.
 4. Runs of at least ``MIN_WORDS`` equal words are removed, with the white space behind them. The first
    occurrence stays where it is.
@@ -51,8 +52,8 @@ BUCKET_BYTES = 32 << 20
 PACK_BYTES = 16 << 20
 
 _UNITS = Rolling(0x8EBC6AF09C88C6E3)
-_LINES = Rolling(0x589965CC75374CC3)
-keeper("line_dedup", lambda: (_UNITS.forget(), _LINES.forget()))
+_STEP = np.uint64(0x589965CC75374CC3)
+keeper("line_dedup", _UNITS.forget)
 
 
 def document_key(doc_id: str, text: str) -> Column:
@@ -120,9 +121,11 @@ def chunks(data: np.ndarray, offsets: np.ndarray, min_words: int) -> tuple[np.nd
     line_end = np.flatnonzero(_line_ends(data, start, end, last, units)) + 1
     line_start = np.concatenate(([0], line_end[:-1]))
     sums = _UNITS.sums(units)
-    lines = _LINES.sums(_UNITS.spans(sums, line_start, line_end))
+    lines = _UNITS.spans(sums, line_start, line_end)
     first = np.arange(max(0, len(line_end) - LINES + 1))
-    rolled = _LINES.spans(lines, first, first + LINES)
+    rolled = lines[: len(first)]
+    for k in range(1, LINES):
+        rolled = mix(rolled * _STEP + lines[k : k + len(first)])
     of = owner[line_start[first]]
     rolled[of != owner[line_end[first + LINES - 1] - 1]] = np.uint64(2**64 - 1)
     spread = SPREAD if min_words == MIN_WORDS else max(1, (min_words - 6) // FOLD - LINES)
@@ -133,7 +136,7 @@ def chunks(data: np.ndarray, offsets: np.ndarray, min_words: int) -> tuple[np.nd
     # Units end before the last word.
     text_last = np.searchsorted(owner, np.arange(n), "right") - 1
     b = np.minimum(b, text_last[who])
-    hash_ = _UNITS.spans(sums, a, b)
+    hash_ = rolled[used]
     around = np.zeros((sides, len(a)), np.uint64)
     for k, (before, behind) in enumerate(stretches(b - a, min_words)):
         fits = (a - before >= text_first[who]) & (b + behind <= text_last[who])
@@ -141,8 +144,8 @@ def chunks(data: np.ndarray, offsets: np.ndarray, min_words: int) -> tuple[np.nd
     return who, hash_, a - text_first[who], b - a + 1, around
 
 
-_PAIR = ["key", "at", "n", "to", "to_at"]
-_PAIR_KINDS = ["<i8", "<u4", "<u1", "<i8", "<u4"]
+_PAIR = ["key", "at", "n", "to", "to_at", "sure"]
+_PAIR_KINDS = ["<i8", "<u4", "<u1", "<i8", "<u4", "<u1"]
 
 
 def settle(hash_: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -159,7 +162,8 @@ def settle(hash_: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def _settled(entries: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Pairs (key, at, n, to, to_at) of agreeing occurrences, and the entries that are first in chunk and stretch."""
+    """Pairs (key, at, n, to, to_at, sure) of agreeing occurrences, and the entries that are first in chunk and stretch.
+    A pair that agrees in two stretches shares a passage for sure: they reach ``STEP`` units further together."""
     key, at = entries[-3], entries[-2]
     order = np.lexsort((at, key))
     # A place that came several times is one place.
@@ -170,10 +174,10 @@ def _settled(entries: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarr
     found = [settle(hash_, side) for side in sides]
     x, y = (np.concatenate([f[i] for f in found]) for i in (0, 1))
     # Several stretches often agree with the same occurrence.
-    once = np.unique(x * len(key) + y)
+    once, times = np.unique(x * len(key) + y, return_counts=True)
     x, y = once // max(1, len(key)), once % max(1, len(key))
     heads = np.unique(np.concatenate([f[2] for f in found]))
-    return [key[x], at[x], n[x], key[y], at[y]], [c[heads] for c in entries]
+    return [key[x], at[x], n[x], key[y], at[y], times > 1], [c[heads] for c in entries]
 
 
 _ENTRY = ["hashes", *(f"side{k}" for k in range(SIDES)), "keys", "ats", "ns"]
@@ -261,6 +265,27 @@ def _matches_of_bucket(parts: int):
     return match
 
 
+def _few_partners(
+    key: np.ndarray, at: np.ndarray, n: np.ndarray, to: np.ndarray, shift: np.ndarray, sure: np.ndarray
+) -> list[np.ndarray]:
+    """The pairs without those that another one makes needless: a chunk that shares a passage for sure with some
+    occurrences is compared with one of them, in the stretch that most chunks of its text share."""
+    order = np.lexsort((shift, to, key))
+    new = np.ones(len(key), bool)
+    new[1:] = (np.diff(key[order]) != 0) | (np.diff(to[order]) != 0) | (np.diff(shift[order]) != 0)
+    first = np.flatnonzero(new)
+    size = np.diff(np.append(first, len(key)))
+    common = np.empty(len(key), np.int64)
+    common[order] = np.repeat(size, size)
+    order = np.lexsort((shift, to, -common, 1 - sure, at, key))
+    key, at, n, to, shift, sure = (c[order] for c in (key, at, n, to, shift, sure))
+    head = np.ones(len(key), bool)
+    head[1:] = (np.diff(key) != 0) | (np.diff(at) != 0)
+    settled = np.repeat(sure[head] > 0, np.diff(np.append(np.flatnonzero(head), len(key))))
+    use = head | ~settled
+    return [c[use] for c in (key, at, n, to, shift)]
+
+
 _REGION = "key bigint, first bigint, last bigint, to bigint, to_first bigint, to_last bigint, skip bigint"
 _REGION_NAMES = [c.split()[0] for c in _REGION.split(", ")]
 
@@ -271,10 +296,9 @@ def _regions_of_part(min_words: int):
     def regions(table: pa.Table) -> pa.Table:
         """Neighbouring chunks that point to one stretch, as one region in words with what a passage may add on both
         sides, cut at the pieces of the earlier text (first, last). ``skip`` words of the piece come before."""
-        key, at, n, to, to_at = (
-            joined(table, f"p_{c}", k).astype(np.int64) for c, k in zip(_PAIR, _PAIR_KINDS, strict=True)
-        )
-        shift = at - to_at
+        pairs = [joined(table, f"p_{c}", k).astype(np.int64) for c, k in zip(_PAIR, _PAIR_KINDS, strict=True)]
+        pairs[4] = pairs[1] - pairs[4]
+        key, at, n, to, shift = _few_partners(*pairs)
         order = np.lexsort((at, shift, to, key))
         key, at, n, to, shift = (c[order] for c in (key, at, n, to, shift))
         end = at + n
