@@ -6,10 +6,15 @@ letter or digit is a gap between words, all other characters are kept. Patterns
 Normalising never changes a text's length in bytes, so a word found in it has the same bytes in the
 original, and spans are given in characters of the original text.
 
+The automaton reads words, not letters: each word that an item has is a number, all others are 0, and a pattern is a
+sequence of ``WINDOW`` numbers. So it has about 13 nodes for each word of an item, some 16 MB for 100 KB of item text,
+and one automaton holds ``BLOCK_BYTES`` of it. Tasks get the items' text and build the automaton themselves, once a
+worker. A larger benchmark is dealt into several automata, and each document passes through all of them as one
+row; beyond ``MAX_BYTES``, which the driver would hold, it is refused with an error.
+
 Nulls, empty texts and texts without words have no words and no hits. An item without words has no
-pattern. Repeated items are all named where they occur; an item without an id hits, but is not named. Memory: an automaton holds at most
-``BLOCK_BYTES`` of item text; a larger benchmark is dealt into several automata, and each document
-passes through all of them, one after the other, as a row.
+pattern. Repeated items are all named where they occur; an item without an id hits, but is not named. Repeated rows
+get equal results, an empty table none.
 """
 
 from __future__ import annotations
@@ -28,7 +33,8 @@ from sprintmart.llm.flat import code_points
 from sprintmart.llm.kept import claim, keeper
 
 WINDOW = 13
-BLOCK_BYTES = 256 << 10
+BLOCK_BYTES = 2 << 20
+MAX_BYTES = 64 << 20
 
 _RESULT = (
     "struct<n_words:bigint,n_hit:bigint,spans:array<struct<start:bigint,end:bigint>>,items:array<string>,"
@@ -48,47 +54,49 @@ def normal_words(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_TABLE).split()
 
 
-def windows_of(items: list[tuple[str | None, str | None]], window: int) -> dict[bytes, tuple[str, ...]]:
-    """Patterns with the items they stem from."""
-    found: dict[bytes, set[str]] = defaultdict(set)
-    for item, text in items:
-        words = normal_words(text)
-        for i in range(max(1, len(words) - window + 1) if words else 0):
-            found[b" " + b" ".join(words[i : i + window]) + b" "].update(() if item is None else (item,))
-    return {key: tuple(sorted(value)) for key, value in sorted(found.items())}
+class Machine:
+    """One automaton over the windows of items (id, text); each pattern carries its items."""
 
+    def __init__(self, items: list[tuple[str | None, str | None]], window: int) -> None:
+        self.number: dict[bytes, int] = {}
+        found: dict[tuple[int, ...], set[str]] = defaultdict(set)
+        for item, text in items:
+            words = normal_words(text)
+            ids = [self.number.setdefault(w, len(self.number) + 1) for w in words]
+            for i in range(max(1, len(ids) - window + 1) if ids else 0):
+                found[tuple(ids[i : i + window])].update(() if item is None else (item,))
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        for pattern, names in found.items():
+            self.automaton.add_word(pattern, (len(pattern), tuple(sorted(names))))
+        self.automaton.make_automaton()
 
-def automaton(patterns: tuple[tuple[bytes, tuple[str, ...]], ...]):
-    """The machine; each pattern carries its number of words and its items."""
-    machine = ahocorasick.Automaton()
-    for pattern, items in patterns:
-        machine.add_word(pattern.decode("latin-1"), (pattern.count(b" ") - 1, items))
-    machine.make_automaton()
-    return machine
+    def matches(self, words: list[bytes]) -> list[tuple[int, tuple[int, tuple[str, ...]]]]:
+        """(last word, (number of words, items)) of every pattern found."""
+        number = self.number
+        if not number:
+            return []
+        return list(self.automaton.iter(tuple([number.get(w, 0) for w in words])))
 
 
-_held: dict[bytes, object] = {}
+_held: dict[bytes, Machine] = {}
 keeper("decontaminate", _held.clear)
 
 
-def _machine(key: bytes, patterns) -> object:
-    """The automaton of this worker process; the last one built is kept for the next task."""
+def _machine(key: bytes, items: list[tuple[str | None, str | None]], window: int) -> Machine:
+    """An automaton of this worker process, kept for the next batches and tasks."""
     if key not in _held:
-        _held.clear()
-        _held[key] = automaton(patterns)
+        _held[key] = Machine(items, window)
     return _held[key]
 
 
-def scan(machine, text: str) -> tuple[int, np.ndarray, list[tuple[int, int]], list[str]]:
+def scan(machine: Machine, text: str) -> tuple[int, np.ndarray, list[tuple[int, int]], list[str]]:
     """Number of words, indexes of the hit words, their spans in the text, and the items found."""
     plain = text.encode().translate(_TABLE)
     words = plain.split()
-    line = b" " + b" ".join(words) + b" "
-    matches = list(machine.iter(line.decode("latin-1"))) if words and len(machine) else []
+    matches = machine.matches(words) if words else []
     if not matches:
         return len(words), np.zeros(0, np.int64), [], []
-    gaps = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
-    last = np.searchsorted(gaps, np.array([end for end, _ in matches]))
+    last = np.array([end for end, _ in matches]) + 1
     size = np.array([n for _, (n, _) in matches])
     change = np.zeros(len(words) + 1, np.int64)
     np.add.at(change, last - size, 1)
@@ -135,13 +143,13 @@ def _values(name: str, column: tuple) -> list:
     return [[{"start": a, "end": b} for a, b in spans] for spans in column]
 
 
-def _scanner(patterns, chained: bool):
-    key = hashlib.sha256(repr(patterns).encode()).digest()
+def _scanner(items: list[tuple[str | None, str | None]], window: int, chained: bool):
+    key = hashlib.sha256(repr((items, window)).encode()).digest()
 
     if chained:
         def more(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
             claim("decontaminate")
-            machine = _machine(key, patterns)
+            machine = _machine(key, items, window)
             for texts, before in batches:
                 yield _merged(texts, before, machine)
 
@@ -149,7 +157,10 @@ def _scanner(patterns, chained: bool):
 
     def first(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         claim("decontaminate")
-        machine = _machine(key, patterns)
+        # The machines of another benchmark go before the first one of this is built.
+        if key not in _held:
+            _held.clear()
+        machine = _machine(key, items, window)
         for texts in batches:
             yield _merged(texts, None, machine)
 
@@ -159,11 +170,13 @@ def _scanner(patterns, chained: bool):
 def _blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> Iterator[list[tuple[str | None, str | None]]]:
     """Items in blocks of bounded size, each collected on its own."""
     rows = benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t"))
-    total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    total = rows.agg(F.sum(F.octet_length("t") + F.coalesce(F.octet_length("i"), F.lit(0)))).first()[0] or 0
+    if total > MAX_BYTES:
+        raise ValueError(f"a benchmark of {total} bytes; the driver holds {MAX_BYTES} at most")
     n = max(1, -(-total // block_bytes))
     for block in range(n):
         part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == block)
-        yield [(r["i"], r["t"]) for r in part.toLocalIterator()]
+        yield sorted(((r["i"], r["t"]) for r in part.collect()), key=repr)
 
 
 def mark_hits(
@@ -182,8 +195,7 @@ def mark_hits(
     """
     found: Column | None = None
     for items in _blocks(benchmark, item, item_text, block_bytes):
-        patterns = tuple(windows_of(items, window).items())
-        found = _scanner(patterns, found is not None)(F.col(text), *([] if found is None else [found]))
+        found = _scanner(items, window, found is not None)(F.col(text), *([] if found is None else [found]))
     return docs.withColumn(into, found).withColumn(into, F.col(into).dropFields("hit_words"))
 
 

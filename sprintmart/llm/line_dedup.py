@@ -8,9 +8,9 @@ depends on the bytes near by alone, and each passage of ``MIN_WORDS`` words hold
 
 1. Each chunk goes, by bucket, with its place and with hashes of the stretches around it: ``STEP`` - 1 units shorter than a
    passage, at every ``STEP``-th position of the chunk in it. Two equal passages agree in one of them at least.
-2. Occurrences that agree in the chunk and in a stretch point to the first of them. "First" is
-   the smallest document key (a hash of id and text), then position; each map task settles its own
-   occurrences first, so a chunk that a third of all documents have comes once from each task.
+2. Occurrences that agree in the chunk and in a stretch point to the first of them, or to the one before in their
+   own document. "First" is the smallest document key (a hash of id and text), then position; each map task settles
+   its own occurrences first, so a chunk that a third of all documents have comes once from each task.
 3. A chunk that agrees with an occurrence in two stretches shares a passage with it, and needs no other one. Chunks
    of a document that point to one stretch of another are joined to regions; the texts of both, the other one's
    in fixed pieces of ``PART`` words, are fetched and compared byte by byte.
@@ -148,17 +148,22 @@ _PAIR = ["key", "at", "n", "to", "to_at", "sure"]
 _PAIR_KINDS = ["<i8", "<u4", "<u1", "<i8", "<u4", "<u1"]
 
 
-def settle(hash_: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of entries in the order of key and place: those that agree with an earlier one in chunk and stretch, the first
-    each agrees with, and all that are first. A stretch of 0 agrees with nothing."""
+def settle(hash_: np.ndarray, side: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of entries in the order of key and place: those that agree with an earlier one in chunk and stretch, which one
+    each is compared with, and all that are first. That is the one before in the same document, or else the first of
+    all; so a periodic text repeats itself at one distance. A stretch of 0 agrees with nothing."""
     use = np.flatnonzero(side != 0)
     group = mix(hash_[use] ^ mix(side[use].astype(np.uint64)))
     order = np.argsort(group, kind="stable")
     group, order = group[order], use[order]
     head = np.ones(len(order), bool)
     head[1:] = group[1:] != group[:-1]
-    first = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))] if len(order) else order
-    return order[~head], first[~head], order[head]
+    if not len(order):
+        return order, order, order
+    partner = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))]
+    own = np.flatnonzero(~head[1:] & (key[order[1:]] == key[order[:-1]])) + 1
+    partner[own] = order[own - 1]
+    return order[~head], partner[~head], order[head]
 
 
 def _settled(entries: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -171,7 +176,7 @@ def _settled(entries: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarr
     new[1:] = (key[order][1:] != key[order][:-1]) | (at[order][1:] != at[order][:-1])
     entries = [c[order[new]] for c in entries]
     hash_, *sides, key, at, n = entries
-    found = [settle(hash_, side) for side in sides]
+    found = [settle(hash_, side, key) for side in sides]
     x, y = (np.concatenate([f[i] for f in found]) for i in (0, 1))
     # Several stretches often agree with the same occurrence.
     once, times = np.unique(x * len(key) + y, return_counts=True)

@@ -67,17 +67,20 @@ class Network:
         """Natural log probability of each id after its state; a tail class stands for all its words."""
         p = self.p
         kinds = self.classes(ids)
-        logits = h @ p["c"] + p["cb"]
-        rows = np.arange(len(ids))
+        # Tokens lie along the last axis, over which sums and exponentials run fastest.
+        states = np.ascontiguousarray(h.T)
+        logits = p["c"].T @ states + p["cb"][:, None]
         # States are bounded by one, so the logits need no shift to stay finite.
-        out = logits[rows, kinds] - np.log(np.exp(logits).sum(1))
+        out = logits[kinds, np.arange(len(ids))] - np.log(np.exp(logits).sum(0))
         order = np.argsort(kinds, kind="stable")
         cuts = np.searchsorted(kinds[order], np.arange(self.groups + 1))
+        states = states[:, order]
         for g in range(self.groups):
-            at = order[cuts[g] : cuts[g + 1]]
-            if len(at):
-                words = h[at] @ p["w"][g] + p["wb"][g]
-                out[at] += words[np.arange(len(at)), ids[at] - g * GROUP] - np.log(np.exp(words).sum(1))
+            a, b = cuts[g], cuts[g + 1]
+            if a < b:
+                at = order[a:b]
+                words = p["w"][g].T @ states[:, a:b] + p["wb"][g][:, None]
+                out[at] += words[ids[at] - g * GROUP, np.arange(b - a)] - np.log(np.exp(words).sum(0))
         return out
 
     def score(self, ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -124,33 +127,34 @@ class Network:
             h, z, r, n, inner = self.step(gates[inputs[t]], h)
             kept.append((old, z, r, n, inner, clear))
             states.append(h)
-        flat, ids = np.concatenate(states), targets.ravel()
-        rows = np.arange(len(ids))
+        flat, ids = np.ascontiguousarray(np.concatenate(states).T), targets.ravel()
         scale = F4(1 / len(ids))
         kinds = self.classes(ids)
-        logits = flat @ p["c"] + p["cb"]
-        e = np.exp(logits - logits.max(1, keepdims=True))
-        prob = e / e.sum(1, keepdims=True)
-        loss = -np.log(prob[rows, kinds] + 1e-12).sum()
-        prob[rows, kinds] -= 1
+        own = kinds, np.arange(len(ids))
+        prob = np.exp(p["c"].T @ flat + p["cb"][:, None])
+        prob /= prob.sum(0)
+        loss = -np.log(prob[own] + 1e-12).sum()
+        prob[own] -= 1
         prob *= scale
-        g = {"c": flat.T @ prob, "cb": prob.sum(0), "w": np.zeros_like(p["w"]), "wb": np.zeros_like(p["wb"])}
-        dstates = prob @ p["c"].T
+        g = {"c": flat @ prob.T, "cb": prob.sum(1), "w": np.zeros_like(p["w"]), "wb": np.zeros_like(p["wb"])}
+        dflat = p["c"] @ prob
         order = np.argsort(kinds, kind="stable")
         cuts = np.searchsorted(kinds[order], np.arange(self.groups + 1))
+        sorted_states = flat[:, order[: cuts[-1]]]
         for k in range(self.groups):
-            at = order[cuts[k] : cuts[k + 1]]
-            if not len(at):
+            a, b = cuts[k], cuts[k + 1]
+            if a == b:
                 continue
-            words = flat[at] @ p["w"][k] + p["wb"][k]
-            e = np.exp(words - words.max(1, keepdims=True))
-            q = e / e.sum(1, keepdims=True)
-            own = np.arange(len(at)), ids[at] - k * GROUP
+            at, part = order[a:b], sorted_states[:, a:b]
+            q = np.exp(p["w"][k].T @ part + p["wb"][k][:, None])
+            q /= q.sum(0)
+            own = ids[at] - k * GROUP, np.arange(b - a)
             loss -= np.log(q[own] + 1e-12).sum()
             q[own] -= 1
             q *= scale
-            g["w"][k], g["wb"][k] = flat[at].T @ q, q.sum(0)
-            dstates[at] += q @ p["w"][k].T
+            g["w"][k], g["wb"][k] = part @ q.T, q.sum(1)
+            dflat[:, at] += p["w"][k] @ q
+        dstates = np.ascontiguousarray(dflat.T)
         dstates = dstates.reshape(steps, lanes, HIDDEN)
         dgates = np.empty((steps, lanes, 3 * HIDDEN), F4)
         g["u"] = np.zeros_like(p["u"])

@@ -255,3 +255,20 @@ def test_an_item_without_an_id_hits_unnamed(spark, docs_of):
     for size in (1 << 18, 1):
         rows = decontaminate.mark_hits(docs, items, block_bytes=size).orderBy("doc_id").select("hits.*").collect()
         assert [(r.n_hit, r["items"]) for r in rows] == [(4, []), (3, ["b"]), (0, [])]
+
+
+def test_a_large_benchmark_is_one_automaton(spark, docs_of, words, monkeypatch):
+    """A megabyte of items is scanned for in one pass; beyond its bound a benchmark is refused."""
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice(words) for _ in range(1_500)) for _ in range(100)]
+    assert sum(map(len, texts)) > 1 << 20
+    items = spark.createDataFrame([(f"i{k}", t) for k, t in enumerate(texts)], "item_id string, text string")
+    passages = [" ".join(texts[k].split()[40 : 40 + n]) for k, n in ((3, 12), (5, 13), (7, 30))]
+    docs = docs_of([f"before {p} behind" for p in passages])
+    marked = decontaminate.mark_hits(docs, items)
+    rows = marked.orderBy("doc_id").select("hits.*").collect()
+    assert [(r.n_hit, r["items"]) for r in rows] == [(0, []), (13, ["i5"]), (30, ["i7"])]
+    assert marked._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    monkeypatch.setattr(decontaminate, "MAX_BYTES", 1 << 20)
+    with pytest.raises(ValueError, match="driver"):
+        decontaminate.mark_hits(docs, items)
