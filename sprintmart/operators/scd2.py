@@ -282,12 +282,35 @@ def changed_rows(flagged: DataFrame, spec: Scd2Spec) -> DataFrame:
     )
 
 
+def tag_active(
+    active: DataFrame,
+    stg: DataFrame,
+    spec: Scd2Spec,
+    change: str = "import_date",
+    duplicates: str = "error",
+    plain_key: str | None = None,
+) -> DataFrame:
+    """What a merge needs to know of each active row: id, keys, whether it is to be replaced, and whether it makes a
+    staged row known. One join of the active part with the stage, of which only these columns are read; every
+    later step starts from this table. ``plain_key`` is the column that the dimension is laid out by."""
+    flagged = flag_changed(active, stg, spec, change, duplicates)
+    return flagged.select(
+        F.col("uuid").alias("_replaced"),
+        F.col(spec.match_key[1]).alias("_changed_key"),
+        F.col("import_date").alias("_old_import"),
+        F.col(plain_key or spec.match_key[1]).alias("_dim_key"),
+        F.col(spec.new_key[1]).alias("_have"),
+        F.col(spec.new_probe).isNotNull().alias("_seen"),
+        "_changed",
+    )
+
+
 def retire(flagged: DataFrame) -> DataFrame:
     """The active rows after the update: the changed ones are inactive, the others unchanged."""
     return flagged.withColumn("is_active_register", ~F.col("_changed")).drop("_changed")
 
 
-def _retire_by_id(active: DataFrame, changed: DataFrame) -> DataFrame:
+def retired_by_id(active: DataFrame, changed: DataFrame) -> DataFrame:
     """The same from the stored ids of the changed rows."""
     gone = changed.select(F.col("_replaced").alias("_gone")).distinct()
     rows = active.join(gone, F.col("uuid") == F.col("_gone"), "left")
@@ -328,13 +351,15 @@ class Scd2Result:
     """One merge, in the parts a writer stores separately.
 
     ``current`` is the formerly active part, retired rows included; ``fresh`` and ``new`` are
-    inserted; ``history`` is the inactive part nothing changes in, so no writer rewrites it.
+    inserted; ``history`` is the inactive part nothing changes in, so no writer rewrites it. ``changed`` names the
+    retired rows: id, match key, import date, and in a merge with stored steps the key of the dimension.
     """
 
     current: DataFrame
     fresh: DataFrame
     new: DataFrame
     history: DataFrame
+    changed: DataFrame
 
     @property
     def written(self) -> DataFrame:
@@ -355,39 +380,45 @@ def scd2_parts(
 ) -> Scd2Result:
     """The merge of a staged table into a dimension.
 
-    ``stage`` may store a named intermediate table and return it read back. Those stored are the
-    ones read twice: the ids that changed, the rows to re-insert and the rows unknown to the
-    active part.
+    ``stage`` may store a named intermediate table and return it read back. Those stored are the ones read twice: the
+    tags of the active rows, the rows to re-insert, the rows unknown to the active part, and the new ones. The
+    active part is then compared once, by its keys alone, and read in full only where it is written anew.
     """
-    keep = stage or (lambda df, _: df)
+    plain_key = spec.match_key[1]
     dim = dim.select(*spec.columns)
     if spec.with_team:
         dim, stg = _with_keys(spec, dim, 1), _with_keys(spec, stg, 0)
         spec = replace(spec, match_key=(_KEYS[0],) * 2, new_key=(_KEYS[1],) * 2, columns=(*spec.columns, *_KEYS),
                        values={**spec.values, **_same(*_KEYS)}, with_team=False)
-        parts = scd2_parts(dim, stg, spec, change, duplicates, stage)
-        return Scd2Result(*[getattr(parts, f).drop(*_KEYS) for f in ("current", "fresh", "new", "history")])
+        parts = _parts(dim, stg, spec, change, duplicates, stage, plain_key)
+        return replace(parts, **{f: getattr(parts, f).drop(*_KEYS) for f in ("current", "fresh", "new", "history")})
+    return _parts(dim, stg, spec, change, duplicates, stage, plain_key)
+
+
+def _parts(
+    dim: DataFrame, stg: DataFrame, spec: Scd2Spec, change: str, duplicates: str, stage: Stage | None, plain_key: str
+) -> Scd2Result:
     if duplicates == "latest":
         stg = latest_per_key(stg, spec.match_key[0], [spec.latest_by])
     elif duplicates != "error":
         raise ValueError(f"unknown duplicate policy {duplicates!r}")
-    flagged = flag_changed(dim, stg, spec, change, duplicates)
-    changed = keep(changed_rows(flagged, spec), f"{spec.table}_changed")
-    fresh = keep(reinsert(stg, changed, spec, change), f"{spec.table}_need_updates")
     active, history = _split(dim)
-    # With the changed ids at hand the active part is compared with the stage once only; on an
-    # ordinary night they are few, and this join is a broadcast.
-    current = retire(flagged) if stage is None else _retire_by_id(active, changed)
+    if stage is None:
+        flagged = flag_changed(dim, stg, spec, change, duplicates)
+        changed = changed_rows(flagged, spec)
+        fresh = reinsert(stg, changed, spec, change)
+        current, near = retire(flagged), _seen(spec, active)
+        keep: Stage = lambda df, _: df
+    else:
+        keep = stage
+        tags = keep(tag_active(active, stg, spec, change, duplicates, plain_key), f"{spec.table}_tags")
+        changed = tags.filter("_changed")
+        fresh = keep(reinsert(stg, changed.drop("_have", "_seen", "_changed", "_dim_key"), spec, change), f"{spec.table}_need_updates")
+        current, near = retired_by_id(active, changed), tags.filter("_seen").select("_have")
     # Few rows are unknown to the active part, so the history is compared with those only.
-    near = _seen(spec, active).unionByName(_seen(spec, fresh))
-    candidates = keep(unknown_rows(stg, near, spec), f"{spec.table}_candidates")
+    candidates = keep(unknown_rows(stg, near.unionByName(_seen(spec, fresh)), spec), f"{spec.table}_candidates")
     new = _insertable(spec, unknown_rows(candidates, _seen(spec, history), spec), F.lit(""))
-    return Scd2Result(
-        current=current,
-        fresh=fresh,
-        new=new,
-        history=history,
-    )
+    return Scd2Result(current=current, fresh=fresh, new=keep(new, f"{spec.table}_new"), history=history, changed=changed)
 
 
 def _split(dim: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
@@ -12,8 +13,7 @@ from pyspark.sql import functions as F
 from sprintmart.functions.keys import stable_id
 from sprintmart.functions.text import any_column_match
 
-# Day rows a calendar may expand to before it is broadcast: 270 years.
-MAX_CALENDAR_DAYS = 100_000
+_EPOCH = date(1970, 1, 1)
 
 # The first sprint day, sprint length and sprint count of the 2025 calendar.
 FIRST_DAY_2025 = date(2025, 1, 7)
@@ -58,10 +58,6 @@ class Calendar:
 
     windows: Sequence[Window]
 
-    @property
-    def n_days(self) -> int:
-        return sum((w.end - w.start).days + 1 for w in self.windows)
-
     @staticmethod
     def regular(
         first_day: date, sprints: int, days: int = SPRINT_DAYS, year: int | None = None
@@ -99,36 +95,69 @@ class Calendar:
             stable_id("dim_sprint", F.col("dim_name")).alias("uuid"), F.col("dim_name").alias("sprint")
         )
 
-    def days(self, spark: SparkSession) -> DataFrame:
-        """One row per calendar day with its sprint; the earlier window wins an overlap."""
-        every_day = F.explode(F.sequence("start_date", "end_date")).alias("_day")
-        return (
-            self.frame(spark)
-            .select(every_day, "number", "list_name", "label", "dim_name")
-            .groupBy("_day")
-            .agg(F.min_by(F.struct("number", "list_name", "label", "dim_name"), "number").alias("s"))
-            .select("_day", F.col("s.number").alias("sprint_number"), "s.list_name", "s.label", "s.dim_name")
-        )
+    def segments(self) -> list[tuple[date, Window | None]]:
+        """First days of the stretches in which one window, or none, holds; of several windows that hold a day the one
+        with the smallest number counts, then the first. Sorted, at most twice as many as the windows and one."""
+        order = {id(w): (w.number, i) for i, w in enumerate(self.windows)}
+        opening = sorted((w for w in self.windows if w.start <= w.end), key=lambda w: w.start)
+        cuts = sorted({w.start for w in opening} | {w.end + timedelta(days=1) for w in opening})
+        out: list[tuple[date, Window | None]] = []
+        held: list[tuple[tuple[int, int], Window]] = []
+        at = 0
+        for day in cuts:
+            while at < len(opening) and opening[at].start <= day:
+                heapq.heappush(held, (order[id(opening[at])], opening[at]))
+                at += 1
+            while held and held[0][1].end < day:
+                heapq.heappop(held)
+            window = held[0][1] if held else None
+            if not out or out[-1][1] is not window:
+                out.append((day, window))
+        return out
 
 
 CALENDAR_2025 = Calendar.regular(FIRST_DAY_2025, SPRINTS_2025)
 
 
+def last_not_after(value: Column, bounds: Sequence[int]) -> Column:
+    """How many of the sorted bounds are not after the value, by binary search; 0 for NULL."""
+    array = F.lit(list(bounds)) if bounds else F.array().cast("array<int>")
+
+    def halve(state: Column, _: Column) -> Column:
+        low, high = state["low"], state["high"]
+        middle = F.floor((low + high + 1) / 2).cast("int")
+        reached = F.coalesce(F.get(array, middle - 1) <= value, F.lit(False))
+        return F.struct(
+            F.when(reached, middle).otherwise(low).alias("low"),
+            F.when(reached, high).otherwise(F.greatest(low, middle - 1)).alias("high"),
+        )
+
+    start = F.struct(F.lit(0).alias("low"), F.lit(len(bounds)).alias("high"))
+    steps = F.sequence(F.lit(1), F.lit(max(1, len(bounds).bit_length())))
+    return F.aggregate(steps, start, halve, lambda state: state["low"])
+
+
+#: Columns of a sprint, as a window has them.
+_COLUMNS = {"sprint_number": "number", "list_name": "list_name", "label": "label", "dim_name": "dim_name"}
+
+
 def assign_sprint(df: DataFrame, instant: str, calendar: Calendar, columns: Sequence[str] = ("label",)) -> DataFrame:
     """Add columns of the sprint an instant falls in, NULL outside every window.
 
-    The last day counts to its end. The calendar is expanded to days, so the lookup is a hash
-    join on the day with a table of at most ``MAX_CALENDAR_DAYS`` rows, not a range comparison
-    of every row with every window.
+    The last day counts to its end; of overlapping windows the one with the smallest number holds. The bounds of the
+    calendar are part of the plan and every row is looked up by binary search, whatever the length of the windows:
+    nothing is expanded, joined or shuffled.
     """
-    if calendar.n_days > MAX_CALENDAR_DAYS:
-        raise ValueError(f"calendar spans {calendar.n_days} days, more than {MAX_CALENDAR_DAYS} to broadcast")
-    days = F.broadcast(calendar.days(df.sparkSession).select("_day", *columns))
-    return (
-        df.withColumn("_on", F.to_date(F.col(instant)))
-        .join(days, F.col("_on") == F.col("_day"), "left")
-        .drop("_on", "_day")
-    )
+    segments = calendar.segments()
+    bounds = [(first - _EPOCH).days for first, _ in segments]
+    found = last_not_after(F.unix_date(F.to_date(F.col(instant))), bounds)
+    rows = df.withColumn("_segment", found - 1)
+    for column in columns:
+        kind = "int" if column == "sprint_number" else "string"
+        values = [None if w is None else getattr(w, _COLUMNS[column]) for _, w in segments]
+        array = F.array(*[F.lit(v).cast(kind) for v in values]) if values else F.array().cast(f"array<{kind}>")
+        rows = rows.withColumn(column, F.when(F.col("_segment") >= 0, F.get(array, F.col("_segment"))))
+    return rows.drop("_segment")
 
 
 def sprint_index(instant: Column, first_day: date, days: int = SPRINT_DAYS) -> Column:

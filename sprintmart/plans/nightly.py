@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field, replace
 from datetime import date, datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sprintmart.operators.fact import fact_new_rows
@@ -25,7 +27,7 @@ from sprintmart.operators.scd2 import (
 )
 from sprintmart.operators.sprints import Calendar, assign_sprint, current_sprint_rows
 from sprintmart.plans.extracts import customers_extract, squads_extract, tasks_extract
-from sprintmart.plans.staging import stg_customer, stg_service, stg_squad, stg_task
+from sprintmart.plans.staging import REJECTS, counted, reject_rows, stg_customer, stg_service, stg_squad, stg_task
 from sprintmart.plans.tables import Tables
 from sprintmart.schemas import (
     ASSOCIATION_PAGE,
@@ -45,7 +47,8 @@ from sprintmart.sources.pages import read_pages, write_jsonl
 from sprintmart.sources.workspace import TreeRules
 
 DIMENSIONS = ("dim_customer", "dim_squad", "dim_task")
-STAGES = ("stg_customer", "stg_service", "stg_squad", "stg_task", "dim_sprint")
+STAGES = ("stg_customer", "stg_service", "stg_squad", "stg_task", "stg_rejects", "dim_sprint")
+REJECT_COUNTS = "reject_counts"
 FACT_TABLE = "fat_sprint_detail"
 PAYLOAD = "history_payload"
 
@@ -103,6 +106,8 @@ class Settings:
     consolidate: bool = False
     services: bool = False
     year: int | None = None
+    keep_days: int | None = None
+    rejects: bool = True
 
     @property
     def tree_rules(self) -> TreeRules:
@@ -148,6 +153,17 @@ class Staged:
     squads: DataFrame
     tasks: DataFrame
     raw_tasks: DataFrame
+    rejects: DataFrame | None = None
+    counts: Mapping[str, Observation] = field(default_factory=dict)
+
+    def rejected_counts(self) -> list[tuple[str, str, int]]:
+        """(stage, field, rejected values) as counted by the writes of the stages; a row a checked column."""
+        return [
+            (name, column, n or 0)
+            for name, seen in self.counts.items()
+            for column, n in seen.get.items()
+            if column != "rows"
+        ]
 
 
 @dataclass(frozen=True)
@@ -175,35 +191,64 @@ def stage_all(landing: Landing, cfg: Settings, keep: Stage = _as_is) -> Staged:
     )
     found = tasks_extract(landing.workspace, landing.task_pages, cfg.tree_rules)
     current = keep(current_sprint_rows(found, cfg.calendar, cfg.today), "raw_task")
-    squads = keep(stg_squad(members, cfg.run_ts), "stg_squad")
-    customers = stg_customer(bought, cfg.run_ts, cfg.excluded_service, cfg.consolidate)
+    rejects: dict[str, DataFrame] = {}
+    counts: dict[str, Observation] = {}
+
+    def noted(stage: DataFrame, name: str) -> DataFrame:
+        """Store a stage, with its rejected values counted in the same pass and read from what was stored."""
+        if REJECTS not in stage.columns:
+            return keep(stage, name)
+        stage, counts[name] = counted(stage, name)
+        stage = keep(stage, name)
+        rejects[name] = reject_rows(stage, name)
+        return stage.drop(REJECTS)
+
+    squads = noted(stg_squad(members, cfg.run_ts, rejects=cfg.rejects), "stg_squad")
+    merged = cfg.consolidate
+    customers = stg_customer(
+        bought, cfg.run_ts, cfg.excluded_service, merged, rejects=cfg.rejects and not merged
+    )
     if cfg.services:
         keep(stg_service(bought), "stg_service")
+    # A member of two teams gives a task of the customer's team two equal rows, which are one record.
+    tasks = stg_task(current, squads, cfg.run_ts, cfg.tz, rejects=cfg.rejects).distinct()
     return Staged(
-        customers=keep(customers, "stg_customer"),
+        customers=noted(customers, "stg_customer"),
         squads=squads,
-        # A member of two teams gives a task of the customer's team two equal rows, which are one record.
-        tasks=keep(stg_task(current, squads, cfg.run_ts, cfg.tz).distinct(), "stg_task"),
+        tasks=noted(tasks, "stg_task"),
         raw_tasks=current,
+        rejects=reduce(DataFrame.unionByName, rejects.values()) if rejects else None,
+        counts=counts,
     )
 
 
-def run_night(landing: Landing, previous: Previous, cfg: Settings, keep: Stage = _as_is) -> Night:
+def run_night(
+    landing: Landing,
+    previous: Previous,
+    cfg: Settings,
+    keep: Stage | None = None,
+    write: Callable[[Scd2Result, Scd2Spec], DataFrame] | None = None,
+) -> Night:
     """One night.
 
     Without ``keep`` the result is a set of lazy plans. ``keep`` may store each named table and
-    return it read back; every step then starts from stored rows and nothing is computed twice.
+    return it read back; every step then starts from stored rows and nothing is computed twice. ``write``
+    stores a merge and returns the active rows, old and new.
     """
+    stage, keep = keep, keep or _as_is
     require_utc(landing.members.sparkSession)
     staged = stage_all(landing, cfg, keep)
+    if stage is not None and staged.rejects is not None:
+        # One row a value that spells nothing; the counts came with the writes of the stages.
+        keep(staged.rejects, "stg_rejects")
     specs = cfg.specs()
     if cfg.duplicates == "error":
         for stg, spec in zip((staged.customers, staged.squads, staged.tasks), specs):
             require_unique(stg, spec)
 
     def merge(dim: DataFrame, stg: DataFrame, spec: Scd2Spec) -> tuple[Scd2Result, DataFrame]:
-        merged = scd2_parts(dim, stg, spec, change=cfg.change, duplicates=cfg.duplicates, stage=keep)
-        return merged, keep(merged.written, spec.table)
+        merged = scd2_parts(dim, stg, spec, change=cfg.change, duplicates=cfg.duplicates, stage=stage)
+        return merged, merged.written if write is None else write(merged, spec)
 
     customer, customers = merge(previous.dim_customer, staged.customers, specs[0])
     squad, squads = merge(previous.dim_squad, staged.squads, specs[1])
@@ -242,12 +287,12 @@ def publish_night(landing: Landing, tables: Tables, cfg: Settings) -> Night:
     )
 
     stored: list[str] = []
+    staged: list[str] = []
 
     def keep(df: DataFrame, name: str) -> DataFrame:
-        if name in DIMENSIONS:
-            return tables.write_dimension(df, name)
         if name in STAGES:
-            return tables.write_stage(df, name)
+            staged.append(name)
+            return tables.write_stage(df, name, commit=False)
         if name == FACT_TABLE:
             return tables.write_appended(df, name)
         if name == PAYLOAD:
@@ -256,6 +301,20 @@ def publish_night(landing: Landing, tables: Tables, cfg: Settings) -> Night:
         stored.append(name)
         return tables.stage(df, name)
 
-    night = run_night(landing, previous, cfg, keep)
+    def write(merged: Scd2Result, spec: Scd2Spec) -> DataFrame:
+        # All stages of a night are switched together, before the first table made of them.
+        tables.commit_stages(staged)
+        staged.clear()
+        schema = {"dim_customer": DIM_CUSTOMER, "dim_squad": DIM_SQUAD, "dim_task": DIM_TASK}[spec.table]
+        return tables.write_merge(merged, spec.table, spec.match_key[1], schema)
+
+    night = run_night(landing, previous, cfg, keep, write)
+    tables.commit_stages(staged)
+    counts = night.staged.rejected_counts()
+    if counts:
+        schema = "stage string, field string, n bigint"
+        tables.write_appended(tables.spark.createDataFrame(counts, schema).coalesce(1), REJECT_COUNTS)
     tables.list_stages(stored)
+    if cfg.keep_days is not None:
+        tables.drop_expired(cfg.run_ts, cfg.keep_days, DIMENSIONS, STAGES)
     return night

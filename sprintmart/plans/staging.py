@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +13,7 @@ from sprintmart.functions.dates import epoch_ms_date, format_day_first, import_s
 from sprintmart.functions.fields import first_item, option_of_field, scalar_of_field, user_of_field
 from sprintmart.functions.numbers import (
     round_half_even,
+    safe_int,
     to_bool,
     to_identifier,
     to_number,
@@ -61,11 +62,73 @@ def clean_text(df: DataFrame) -> DataFrame:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+    """The columns of the schema in their types, and the rejected values if they were noted."""
+    noted = [REJECTS] if REJECTS in df.columns else []
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields], *noted)
 
 
-def stg_squad(members: DataFrame, run_ts: datetime) -> DataFrame:
+# --- values that staging makes NULL because they spell nothing of the column's type -------------
+
+REJECTS = "_rejects"
+
+#: Checked columns of each stage.
+CHECKED = {
+    "stg_squad": ("capacity_points", "start_date", "due_date", "date_created", "date_updated"),
+    "stg_customer": (
+        "plan_points", "monthly_revenue", "start_date", "service_end_date", "service_due_date", "crm_id",
+        "date_created", "date_updated",
+    ),
+    "stg_task": (
+        "start_date", "due_date", "date_closed", "date_done", "date_created", "date_updated", "quality_score",
+    ),
+}
+
+
+def rejected(stage: str, values: Mapping[str, tuple[Column, Column]], wanted: bool) -> list[tuple[str, Column]]:
+    """The noted column of a stage: (field, raw text) of every value that has text but none of the column's type.
+    ``values`` holds (raw, parsed) by column, in the order of ``CHECKED``."""
+    if not wanted:
+        return []
+    if tuple(values) != CHECKED[stage]:
+        raise ValueError(f"{stage} checks {CHECKED[stage]}, not {tuple(values)}")
+
+    def test(column: str, raw: Column, parsed: Column) -> Column:
+        text = raw.cast("string")
+        has_text = F.coalesce(null_tokens_to_null(trim_ws(text)), F.lit("")) != ""
+        return F.when(has_text & parsed.isNull(), F.struct(F.lit(column).alias("field"), text.alias("raw")))
+
+    return [(REJECTS, F.array_compact(F.array(*[test(c, *v) for c, v in values.items()])))]
+
+
+def counted(stage: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """A stage with its rejected values counted while it is written: rows and rejects by column."""
+    seen = Observation(f"rejects of {name}")
+
+    def times(column: str) -> Column:
+        return F.sum(F.size(F.filter(REJECTS, lambda r: r["field"] == column))).alias(column)
+
+    by_column = [times(c) for c in CHECKED[name]]
+    return stage.observe(seen, F.count(F.lit(1)).alias("rows"), *by_column), seen
+
+
+def reject_rows(stage: DataFrame, name: str, key: str = "task_id") -> DataFrame:
+    """(stage, key, field, raw) of a stored stage's rejected values, of which two columns are read."""
+    found = stage.select(F.col(key).alias("key"), F.explode(REJECTS).alias("r"))
+    return found.select(F.lit(name).alias("stage"), "key", "r.field", "r.raw")
+
+
+def stg_squad(members: DataFrame, run_ts: datetime, rejects: bool = False) -> DataFrame:
     """Staged members: 14 columns and the import stamp."""
+    checks = {
+        "capacity_points": (F.col("capacity_points"), to_number(F.col("capacity_points"))),
+        **{
+            name: (F.col(raw), iso_date(F.col(raw)))
+            for name, raw in (
+                ("start_date", "start_date"), ("due_date", "departure_date"), ("date_created", "hs_createdate"),
+                ("date_updated", "hs_lastmodifieddate"),
+            )
+        },
+    }
     day = lambda c: format_day_first(iso_date(F.col(c)))
     staged = project(
         members,
@@ -84,13 +147,26 @@ def stg_squad(members: DataFrame, run_ts: datetime) -> DataFrame:
             ("due_date", day("departure_date")),
             ("date_created", iso_date(F.col("hs_createdate"))),
             ("date_updated", iso_date(F.col("hs_lastmodifieddate"))),
+            *rejected("stg_squad", checks, rejects),
         ],
     )
     return conform(import_stamp(clean_text(staged), run_ts), STG_SQUAD)
 
 
-def _customer_columns(customers: DataFrame) -> DataFrame:
+def _customer_columns(customers: DataFrame, rejects: bool) -> DataFrame:
     nothing = constant(None, "string")
+    number = lambda c: (F.col(c), to_number(F.col(c)))
+    day = lambda c: (F.col(c), iso_date(F.col(c)))
+    checks = {
+        "plan_points": number("sprint_points_plan"),
+        "monthly_revenue": number("mrr"),
+        "start_date": day("service_start_date"),
+        "service_end_date": day("service_end_date"),
+        "service_due_date": day("service_due_date"),
+        "crm_id": (F.col("subscription_crm_id"), to_identifier(F.col("subscription_crm_id"))),
+        "date_created": day("createdAt"),
+        "date_updated": day("updatedAt"),
+    }
     return project(
         customers,
         [
@@ -118,6 +194,7 @@ def _customer_columns(customers: DataFrame) -> DataFrame:
             ("renewal_term", constant(None, "bigint")),
             ("status", "service_status"),
             ("service_name", "service_name"),
+            *rejected("stg_customer", checks, rejects),
         ],
     )
 
@@ -140,14 +217,18 @@ def stg_customer(
     excluded_service: str | None = None,
     consolidate: bool = False,
     order: Column | None = None,
+    rejects: bool = False,
 ) -> DataFrame:
     """Staged customers: 24 columns and the import stamp.
 
     By default every row of a repeated ``task_id`` stays. ``consolidate=True`` makes one row of
     them, which leaves the columns the consolidation does not cover empty (service name, plan,
-    renewal and list fields); both cases come out of a single aggregation.
+    renewal and list fields); both cases come out of a single aggregation. Rejected values are noted row by
+    row, so not for merged ones.
     """
-    staged = _customer_columns(customers)
+    if rejects and consolidate:
+        raise ValueError("rejected values are noted for rows that are not merged")
+    staged = _customer_columns(customers, rejects)
     if consolidate:
         by = order if order is not None else F.struct("date_created", "service_name", "team")
         columns = staged.columns
@@ -215,9 +296,14 @@ def stg_task(
     run_ts: datetime,
     tz: str = "UTC",
     sprint_column: str = "sprint_number",
+    rejects: bool = False,
 ) -> DataFrame:
-    """Staged tasks: 21 columns and the import stamp. ``squads`` is the staged member table."""
+    """Staged tasks: 21 columns and the import stamp. ``squads`` is the staged member table.
+
+    The quality score is staged as text; noted are those that the dimension will not take for a number."""
     day = lambda c: epoch_ms_date(F.col(c), tz)
+    checks = {c: (F.col(c), day(c)) for c in CHECKED["stg_task"][:-1]}
+    checks["quality_score"] = (F.col("quality_score"), safe_int(F.col("quality_score")))
     points = to_whole(F.col("points"))
     typed = project(
         task_fields(tasks),
@@ -240,6 +326,7 @@ def stg_task(
             ("sprint", sprint_label(F.col(sprint_column))),
             ("quality_score", "quality_score"),
             ("email", "email"),
+            *rejected("stg_task", checks, rejects),
         ],
     )
     teams = squads.select(F.col("email").alias("_email"), "team")

@@ -197,6 +197,34 @@ def sprint_assign(d: Data) -> DataFrame:
     return assign_sprint(rows, "ts", IRREGULAR, ("label", "list_name")).drop("ts")
 
 
+# Windows of very different lengths that overlap, lie in one another and leave gaps: the smallest number holds.
+OVERLAPPING = Calendar(
+    [
+        Window(5, date(1700, 1, 1), date(1995, 3, 31), 1995),
+        Window(2, date(1993, 2, 1), date(1993, 5, 31), 1993),
+        Window(4, date(1993, 5, 1), date(1994, 6, 30), 1993),
+        Window(3, date(1994, 1, 1), date(1994, 1, 31), 1994),
+        Window(1, date(1996, 1, 1), date(1996, 1, 1), 1996),
+        Window(6, date(1997, 1, 1), date(2900, 1, 1), 1997),
+    ]
+)
+_OVERLAPPING_SQL = ", ".join(f"({w.number}, date '{w.start}', date '{w.end}', '{w.dim_name}')" for w in OVERLAPPING.windows)
+
+
+@query(
+    "sprint_assign_bounds",
+    f"""
+select o_orderkey, min(w.n) as sprint_number, min_by(w.dim_name, w.n) as dim_name
+from orders left join (values {_OVERLAPPING_SQL}) w(n, a, b, dim_name)
+  on cast(o_orderdate as date) between w.a and w.b
+group by o_orderkey
+""",
+)
+def sprint_assign_bounds(d: Data) -> DataFrame:
+    rows = d.orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
+    return assign_sprint(rows, "day", OVERLAPPING, ("sprint_number", "dim_name")).drop("day")
+
+
 @query(
     "sprint_assign_arith",
     "select event_id, (cast(ts as date) - date '2023-12-25') // 14 + 1 as sprint from events",

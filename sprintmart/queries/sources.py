@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sprintmart import schemas
 from sprintmart.plans.extracts import customers_extract, squads_extract, teams_extract
-from sprintmart.plans.tables import full_refresh
+from sprintmart.plans.tables import Tables
 from sprintmart.queries import fixtures as fx
 from sprintmart.queries.registry import Data, plain, query
 from sprintmart.session import scratch_dir
@@ -15,6 +15,7 @@ from sprintmart.sources.pages import (
     bridge,
     existing_only,
     flatten,
+    flatten_open,
     page_records,
     parse_pages,
     read_jsonl,
@@ -120,6 +121,39 @@ def json_flatten(d: Data) -> DataFrame:
     return flatten(parse_pages(d.orders.select(F.to_json(record).alias("j")), "j", schema), "_")
 
 
+@query(
+    "json_flatten_open",
+    """
+select cast(o_orderkey as varchar) as id, o_orderstatus as properties_status,
+       case when o_orderkey % 3 = 0 then o_orderpriority end as properties_priority_name,
+       case when o_orderkey % 5 = 1 then o_custkey end as properties_owner_id,
+       case when o_orderkey % 7 = 2 then o_orderkey % 2 = 0 end as properties_urgent,
+       case when o_orderkey % 2 = 0 then '"' || o_orderstatus || '"' else cast(o_custkey as varchar) end as properties_mixed,
+       cast(null as varchar) as properties_never
+from orders
+""",
+)
+def json_flatten_open(d: Data) -> DataFrame:
+    """Documents whose fields no schema lists: some are in few documents, one is of two kinds, one is always null."""
+    key = F.col("o_orderkey")
+    some = lambda test, value: F.when(test, F.to_json(F.struct(value)))
+    parts = F.array_compact(
+        F.array(
+            F.to_json(F.struct(F.col("o_orderstatus").alias("status"))),
+            some(key % 3 == 0, F.struct(F.col("o_orderpriority").alias("name")).alias("priority")),
+            some(key % 5 == 1, F.struct(F.col("o_custkey").alias("id")).alias("owner")),
+            some(key % 7 == 2, (key % 2 == 0).alias("urgent")),
+            F.when(key % 2 == 0, F.to_json(F.struct(F.col("o_orderstatus").alias("mixed"))))
+            .otherwise(F.to_json(F.struct(F.col("o_custkey").alias("mixed")))),
+            F.lit('{"never":null}'),
+        )
+    )
+    # Several objects as one: their inner parts, joined.
+    inner = F.array_join(F.transform(parts, lambda p: F.substring(p, F.lit(2), F.length(p) - 2)), ",")
+    text = F.concat(F.lit('{"id":"'), key.cast("string"), F.lit('","properties":{'), inner, F.lit("}}"))
+    return flatten_open(d.orders.select(text.alias("j")), "j", "_")
+
+
 ORDERS_FLAT = """
 select o_orderkey, o_custkey, o_orderstatus, o_totalprice, cast(o_orderdate as date) as o_day,
        case when o_orderkey % 3 = 0 then o_orderpriority end as priority
@@ -137,12 +171,13 @@ def jsonl_roundtrip(d: Data) -> DataFrame:
 
 @query("stage_refresh", plain(ORDERS_FLAT))
 def stage_refresh(d: Data) -> DataFrame:
-    """Refreshed twice, held once."""
+    """Refreshed by two runs, held once: readers take the version that was committed last."""
     rows = d.sql(ORDERS_FLAT)
-    path = scratch_dir(d.spark, "stage")
-    for _ in range(2):
-        full_refresh(rows, path)
-    return d.spark.read.schema(rows.schema).parquet(path)
+    root = scratch_dir(d.spark, "stage")
+    for run in ("20250101T000000", "20250102T000000"):
+        tables = Tables(d.spark, root, run)
+        tables.write_stage(rows, "stg_order")
+    return tables.read_stage("stg_order", rows.schema)
 
 
 SQUADS_SQL = f"""

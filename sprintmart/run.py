@@ -32,7 +32,7 @@ from pyspark.sql import SparkSession
 
 from sprintmart.operators.history import TeamField
 from sprintmart.operators.sprints import SPRINT_DAYS, Calendar, Window
-from sprintmart.plans.nightly import DIMENSIONS, Settings, publish_night, read_landing
+from sprintmart.plans.nightly import DIMENSIONS, STAGES, Settings, publish_night, read_landing
 from sprintmart.plans.tables import RUN_FORMAT, Tables
 from sprintmart.session import build_session
 from sprintmart.sources.workspace import TreeRules
@@ -80,6 +80,7 @@ def main(argv: list[str] | None = None) -> None:
         parser.add_argument(f"--{name}", required=True)
     parser.add_argument("--run-ts", help="ISO instant of the run, by default now; repeat it to redo a run")
     parser.add_argument("--list-obsolete", action="store_true", help="print folders that may be dropped")
+    parser.add_argument("--keep-days", type=int, help="drop intermediate and superseded files older than this")
     args = parser.parse_args(argv)
     run_ts = datetime.fromisoformat(args.run_ts) if args.run_ts else datetime.now(timezone.utc)
     if run_ts.tzinfo is None:
@@ -90,6 +91,8 @@ def main(argv: list[str] | None = None) -> None:
     try:
         run_ts = run_ts.astimezone(timezone.utc).replace(microsecond=0)
         tables = run(spark, args.landing, args.mart, spec, run_ts)
+        if args.keep_days is not None:
+            tables.drop_expired(run_ts, args.keep_days, DIMENSIONS, STAGES)
         if args.list_obsolete:
             for path in [*tables.expired_stages(run_ts), *(p for t in DIMENSIONS for p in tables.superseded(t))]:
                 print(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +21,8 @@ def read_pages(spark: SparkSession, path: str, schema: T.StructType, required: s
     """
     landed = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     rows = spark.read.schema(landed).option("columnNameOfCorruptRecord", _CORRUPT).json(path)
-    message = F.concat(F.lit(f"no page with {required} in "), F.input_file_name())
+    # The file's name from its metadata: unlike input_file_name() it lets filters pass down to the scan.
+    message = F.concat(F.lit(f"no page with {required} in "), F.col("_metadata.file_path"))
     unreadable = F.col(_CORRUPT).isNotNull() | F.col(required).isNull()
     # The test stands in the one column that every reader of the page uses.
     checked = F.when(unreadable, F.raise_error(message).cast(schema[required].dataType)).otherwise(F.col(required))
@@ -79,8 +82,35 @@ def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
     return df.select(*leaves(df.schema, None, ""))
 
 
-def write_jsonl(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+def discovered_schema(df: DataFrame, column: str) -> T.DataType:
+    """The type of all JSON documents of a column together, found by an aggregation that merges partial results; the
+    driver gets one line of text. A field whose values are of different kinds is a VARIANT."""
+    found = df.select(F.schema_of_variant_agg(F.parse_json(column))).first()[0]
+    if found is None or found == "VOID":
+        return T.StructType([])
+    # Nothing is known of fields that are always null; as text they can be read.
+    return T.DataType.fromDDL(re.sub(r"(: |<)VOID\b", r"\1STRING", found).replace("OBJECT<", "STRUCT<"))
+
+
+def flatten_open(df: DataFrame, column: str, sep: str = ".") -> DataFrame:
+    """Every field that any document of a column holds, as :func:`flatten` names them: nothing is dropped for a schema
+    that does not list it. Fields without a value in any document are text, those of mixed kinds JSON text."""
+    kind = discovered_schema(df, column)
+    if not isinstance(kind, T.StructType):
+        raise TypeError(f"the documents in {column} are of type {kind.simpleString()}, not objects")
+    if not kind.fields:
+        return df.select()
+    document = F.variant_get(F.parse_json(column), "$", kind.simpleString())
+    flat = flatten(df.select(document.alias("_d")).select("_d.*"), sep)
+    return flat.select(*[F.to_json(f"`{c}`").alias(c) if t == "variant" else F.col(f"`{c}`") for c, t in flat.dtypes])
+
+
+def write_jsonl(df: DataFrame, path: str, by: str | None = None) -> None:
+    """JSON lines; with ``by`` in a folder for each of its values, which readers see as a column."""
+    if by is not None:
+        df = df.hint("rebalance", by)
+    writer = df.write.mode("overwrite").option("ignoreNullFields", "false")
+    (writer if by is None else writer.partitionBy(by)).json(path)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

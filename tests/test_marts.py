@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import json
+import os
+import re
+from dataclasses import replace
 from datetime import date, datetime, timedelta, timezone
 
 import pytest
@@ -8,11 +11,14 @@ from conftest import forced_skew, plan_of, tuples
 from pyspark.sql import functions as F
 
 from sprintmart import schemas
+from sprintmart.operators import scd2
 from sprintmart.operators.fact import fact_new_rows
 from sprintmart.operators.history import TeamField, history_payload
 from sprintmart.operators.sprints import CALENDAR_2025
 from sprintmart.plans import staging
 from sprintmart.plans.nightly import (
+    DIMENSIONS,
+    STAGES,
     Landing,
     Previous,
     Settings,
@@ -21,7 +27,9 @@ from sprintmart.plans.nightly import (
     run_night,
     stage_all,
 )
-from sprintmart.plans.tables import RUN_FORMAT, Tables, full_refresh
+from sprintmart.plans.tables import RUN_FORMAT, Tables
+from sprintmart.queries import marts
+from sprintmart.queries.registry import Data
 from sprintmart.run import calendar_of, run, settings_of
 from sprintmart.session import scratch_dir
 from sprintmart.sources.pages import parse_pages
@@ -204,10 +212,22 @@ def test_clean_text_and_project(spark):
 # --- published tables and the night --------------------------------------------------------
 
 
-def test_full_refresh_holds_one_copy(spark, tmp_path):
-    for _ in range(2):
-        full_refresh(spark.range(5), str(tmp_path / "t"))
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 5
+def test_a_failed_refresh_leaves_the_old_stage(spark, tmp_path):
+    first, second = (Tables(spark, str(tmp_path), r) for r in ("20250101T000000", "20250102T000000"))
+    schema = spark.range(0).schema
+    assert first.read_stage("stg", schema).count() == 0
+    first.write_stage(spark.range(5), "stg")
+    bad = spark.range(9).select(F.when(F.col("id") == 8, F.raise_error(F.lit("broken")).cast("long")).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        second.write_stage(bad, "stg")
+    assert second.read_stage("stg", schema).count() == 5
+    # Written, but not yet switched to; then both stages at once.
+    second.write_stage(spark.range(7), "stg", commit=False)
+    assert second.read_stage("stg", schema).count() == 5
+    second.commit_stages(["stg"])
+    assert second.read_stage("stg", schema).count() == 7
+    assert first.read_stage("stg", schema).count() == 5
+    assert second.superseded_stages("stg") == [first.path("stg", first.run)]
 
 
 def landing(spark, sprint="Sprint 7 - 2025", status="done"):
@@ -282,7 +302,112 @@ def test_three_nights(spark, tmp_path):
     assert third.committed("dim_task") == [first.run, second.run]
     assert len(third.expired_stages(later + timedelta(days=1, seconds=-1))) > 0
     assert third.expired_stages(RUN_TS) == []
-    assert third.superseded("dim_task") == [f"{first.path('dim_task', first.run)}/is_active_register=true"]
+    folders = third.superseded("dim_task")
+    assert folders and all(f.startswith(f"{first.path('dim_task', first.run)}/is_active_register=true/bucket=") for f in folders)
+    # Retention: what the first day left goes, the tables stay as they are.
+    now = later + timedelta(days=2)
+    before = third.read_dimension("dim_task", schemas.DIM_TASK).count()
+    old = third.expired_stages(now, days=1)
+    dropped = third.drop_expired(now, 1, DIMENSIONS, STAGES)
+    assert set(old) < set(dropped) and set(folders) <= set(dropped)
+    assert not any(os.path.exists(f) for f in dropped)
+    assert third.expired_stages(now, days=1) == [] and third.drop_expired(now, 1) == []
+    assert third.read_dimension("dim_task", schemas.DIM_TASK).count() == before
+    assert third.read_stage("stg_task", schemas.STG_TASK).count() == 2
+
+
+def test_a_night_drops_what_is_older_than_it_keeps(spark, tmp_path):
+    first, later = tables(spark, tmp_path, RUN_TS), RUN_TS + timedelta(days=2)
+    publish_night(landing(spark, status="to do"), first, settings())
+    assert any(os.path.isdir(p) for p in first.expired_stages(later))
+    second = tables(spark, tmp_path, later)
+    publish_night(landing(spark), second, replace(settings(later), keep_days=1))
+    assert not os.path.exists(first.path("_delta/dim_task_tags", first.run))
+    assert os.path.exists(second.path("_delta/dim_task_tags", second.run))
+    assert second.read_dimension("dim_task", schemas.DIM_TASK, including=True).count() == 4
+
+
+def files_below(folder) -> dict[str, int]:
+    return {
+        os.path.join(base, name): os.stat(os.path.join(base, name)).st_mtime_ns
+        for base, _, names in os.walk(folder) for name in names if name.endswith(".parquet")
+    }
+
+
+def task_rows(spark, schema, ids, **values):
+    rows = [tuple(({"task_id": str(i), "task_name": f"t{i}"} | values).get(f.name) for f in schema.fields) for i in ids]
+    return spark.createDataFrame(rows, schema)
+
+
+def bucketed(spark, tmp_path, n=400, buckets=16):
+    first = Tables(spark, str(tmp_path), "20250101T000000", buckets)
+    old = {"is_active_register": True, "import_date": date(2025, 1, 1)}
+    dim = task_rows(spark, schemas.DIM_TASK, range(n), **old).withColumn("uuid", F.md5("task_id"))
+    first.write_dimension(dim, "dim_task", "task_id")
+    return first, Tables(spark, str(tmp_path), "20250102T000000", buckets)
+
+
+def merge_into(tables, stg):
+    before = tables.read_dimension("dim_task", schemas.DIM_TASK)
+    merged = scd2.scd2_parts(before, stg, scd2.task_spec(), stage=tables.stage)
+    return merged, tables.write_merge(merged, "dim_task", "task_id", schemas.DIM_TASK)
+
+
+def staged_tasks(spark, ids):
+    return task_rows(spark, schemas.STG_TASK, ids, import_date=date(2025, 1, 2), import_date_time=RUN_TS)
+
+
+def test_a_merge_rewrites_the_buckets_it_touches(spark, tmp_path):
+    first, second = bucketed(spark, tmp_path)
+    before = files_below(first.path("dim_task", first.run))
+    assert len(first._layout("dim_task", True)[0]) == 16
+    _, rows = merge_into(second, staged_tasks(spark, [3, 4, 1000]))
+    layout = second._layout("dim_task", True)[0]
+    rewritten = [b for b, path in layout.items() if second.run in path]
+    assert 1 <= len(rewritten) <= 3
+    assert files_below(first.path("dim_task", first.run)) == before
+    after = second.read_dimension("dim_task", schemas.DIM_TASK, including=True).collect()
+    assert sorted(r.task_id for r in after if r.is_active_register) == sorted(map(str, [*range(400), 1000]))
+    assert sorted(r.task_id for r in after if not r.is_active_register) == ["3", "4"]
+    assert sorted(r.uuid for r in rows.collect()) == sorted(r.uuid for r in after)
+    # A third run sees the buckets of both; one in another number of buckets rewrites all of them.
+    third = Tables(spark, str(tmp_path), "20250103T000000", 4)
+    merge_into(third, staged_tasks(spark, [5]).withColumn("import_date", F.lit(date(2025, 1, 3))))
+    assert len(third._layout("dim_task", True)[0]) == 4
+    assert third.read_active("dim_task", schemas.DIM_TASK, including=True).count() == 401
+    assert third.read_dimension("dim_task", schemas.DIM_TASK, including=True).count() == 404
+
+
+def test_a_bucket_left_empty_is_empty(spark, tmp_path):
+    first, second = bucketed(spark, tmp_path, n=1)
+    (bucket,) = first._layout("dim_task", True)[0]
+    none = second.read_dimension("dim_task", schemas.DIM_TASK).limit(0)
+    second.write_dimension(none, "dim_task", "task_id", {bucket})
+    assert second.read_active("dim_task", schemas.DIM_TASK, including=True).count() == 0
+    assert second.read_active("dim_task", schemas.DIM_TASK).count() == 1
+    with pytest.raises(ValueError, match="not to be rewritten"):
+        second.write_dimension(task_rows(spark, schemas.DIM_TASK, range(40), is_active_register=True), "dim_task", "task_id", {bucket})
+
+
+def test_a_merge_compares_the_active_part_once_by_its_keys(spark, tmp_path):
+    first, second = bucketed(spark, tmp_path)
+    before = second.read_dimension("dim_task", schemas.DIM_TASK)
+    plans: dict[str, tuple] = {}
+
+    def stage(df, name):
+        plans[name] = df.inputFiles(), df._jdf.queryExecution().executedPlan().toString()
+        return second.stage(df, name)
+
+    files = re.compile(r"is_active_register=true")
+    merged = scd2.scd2_parts(before, staged_tasks(spark, [3, 1000]), scd2.task_spec(), stage=stage)
+    # The tags read the keys alone, and no other step reads the active part: new rows are looked up in the history.
+    assert {name for name, (found, _) in plans.items() if any(files.search(f) for f in found)} == {"dim_task_tags", "dim_task_new"}
+    assert re.search(r"PartitionFilters: \[[^\]]*NOT [^\]]*is_active_register", plans["dim_task_new"][1])
+    physical = second.read_dimension("dim_task", schemas.DIM_TASK)
+    tags = scd2.tag_active(physical.filter("is_active_register"), staged_tasks(spark, [3]), scd2.task_spec())
+    read = re.search(r"ReadSchema: struct<([^>]*)>", tags._jdf.queryExecution().executedPlan().toString()).group(1)
+    assert {c.partition(":")[0] for c in read.split(",")} == {"uuid", "task_id", "task_name", "import_date"}
+    assert {r.task_id for r in merged.new.collect()} == {"1000"}
 
 
 SPEC = {
@@ -396,3 +521,38 @@ def test_consolidated_staging_has_one_row_per_customer(spark):
     )
     rows = sorted(((r.task_id or "", r.plan_points, r.status, r.service_name) for r in merged.collect()), key=repr)
     assert rows == [("", 0, None, "C"), ("", 0, None, "C"), ("c1", 5, "active", None)]
+
+
+def test_rejected_values_are_counted_by_the_write(spark, tmp_path):
+    root = tables(spark, tmp_path, RUN_TS)
+    landed = landing(spark)
+    bad = landed.members.select(
+        F.transform("results", lambda r: r.withField("properties.capacity_points", F.lit("a few"))
+                    .withField("properties.start_date", F.lit("None")).withField("properties.hs_createdate", F.lit("x"))).alias("results")
+    )
+    night = publish_night(replace(landed, members=bad), root, settings())
+    rows = root.read_stage("stg_rejects", spark.createDataFrame([], "stage string, key string, field string, raw string").schema)
+    assert sorted(map(tuple, rows.collect())) == [
+        ("stg_squad", "m1", "capacity_points", "a few"), ("stg_squad", "m1", "date_created", "x")
+    ]
+    counts = {(s, f): n for s, f, n in night.staged.rejected_counts() if n}
+    assert counts == {("stg_squad", "capacity_points"): 1, ("stg_squad", "date_created"): 1}
+    stored = root.read_appended("reject_counts", spark.createDataFrame([], "stage string, field string, n long").schema, including=True)
+    assert stored.count() == sum(map(len, staging.CHECKED.values()))
+    assert root.read_stage("stg_squad", schemas.STG_SQUAD).columns == schemas.STG_SQUAD.fieldNames()
+    with pytest.raises(ValueError, match="not merged"):
+        staging.stg_customer(spark.createDataFrame([], "id string"), RUN_TS, consolidate=True, rejects=True)
+
+
+def test_a_bucketed_fact_is_not_shuffled(spark):
+    d = Data(spark, "/root/testdata/sf0.001")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tasks, sprints, customers, squads, loaded = marts.bucketed_star(d)
+        plan = fact_new_rows(tasks, sprints, customers, squads, loaded, 1995)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "LeftAnti" in plan and "SelectedBucketsCount: 8 out of 8" in plan
+    # Tasks are shuffled for the joins behind, by service and member, but not by task; nor are the fact's keys.
+    assert not re.search(r"Exchange hashpartitioning\((task_uuid|uuid|_loaded|_k0)#", plan)

@@ -57,7 +57,7 @@ def test_at_most_one_row_of_a_key_is_active_after_each_night(spark):
             assert active.groupBy(key, "team").count().filter("count > 1").count() == 0
             assert active.count() > 0
     fact = tables.read_appended("fat_sprint_detail", schemas.FACT_SPRINT, including=True)
-    stored = spark.read.schema(schemas.DIM_SPRINT).parquet(tables.path("dim_sprint"))
+    stored = tables.read_stage("dim_sprint", schemas.DIM_SPRINT)
     assert fact.count() > 0 and fact.join(stored, F.col("sprint_uuid") == stored["uuid"], "left_anti").count() == 0
 
 

@@ -2,11 +2,20 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from sprintmart import schemas
 from sprintmart.plans.extracts import customers_extract, squads_extract, teams_extract
-from sprintmart.sources.pages import bridge, flatten, page_records, parse_pages, read_pages
+from sprintmart.sources.pages import (
+    bridge,
+    flatten,
+    flatten_open,
+    page_records,
+    parse_pages,
+    read_pages,
+    write_jsonl,
+)
 from sprintmart.sources.workspace import TreeRules, select_lists, tasks_of_lists
 
 
@@ -122,3 +131,32 @@ def test_extract_of_nothing(spark):
     squads, teams = squads_extract(empty["m"], empty["a"], empty["t"])
     assert squads.count() == 0 and teams.count() == 0 and "squad_name" in squads.columns
     assert squads.select(F.col("member_email")).count() == 0
+
+
+def test_open_documents_keep_every_field(spark):
+    docs = ['{"a": 1, "b": {"c": "x"}}', '{"a": 2, "b": {"d": true, "e": [1, 2]}}', '{"f": {"g": {"h": 1.5}}, "z": null}', '{"a": "one"}', None]
+    df = spark.createDataFrame([(j,) for j in docs], "j string")
+    got = flatten_open(df, "j")
+    assert set(got.columns) == {"a", "b.c", "b.d", "b.e", "f.g.h", "z"}
+    rows = [r.asDict() for r in got.collect()]
+    assert [r["a"] for r in rows] == ["1", "2", None, '"one"', None]
+    assert [r["b.d"] for r in rows] == [None, True, None, None, None]
+    assert [float(r["f.g.h"]) for r in rows if r["f.g.h"] is not None] == [1.5]
+    assert rows[1]["b.e"] == [1, 2]
+    assert flatten_open(df.limit(0), "j").columns == []
+    with pytest.raises(TypeError):
+        flatten_open(spark.createDataFrame([("[1]",)], "j string"), "j")
+    with pytest.raises(Exception, match="MALFORMED"):
+        flatten_open(spark.createDataFrame([("{",)], "j string"), "j")
+
+
+def test_only_the_folders_of_chosen_lists_are_read(spark, tmp_path):
+    rows = [(f"l {i}", [{"id": str(i), "name": f"t{i}"}]) for i in range(6)]
+    pages = spark.createDataFrame(rows, "list_id string, tasks array<struct<id:string,name:string>>")
+    write_jsonl(pages, str(tmp_path / "tasks"), by="list_id")
+    landed = read_pages(spark, str(tmp_path / "tasks"), schemas.TASK_PAGE, "tasks")
+    tree = '{"spaces": [{"name": "D", "folders": [{"name": "f", "lists": [{"id": "l 2", "name": "two"}, {"id": "l 4", "name": "no"}]}]}]}'
+    tree_rows = spark.createDataFrame([(tree,)], "t string").select(F.from_json("t", schemas.WORKSPACE).alias("w")).select("w.*")
+    found = tasks_of_lists(landed, select_lists(tree_rows, TreeRules((), "D", "f", "two")))
+    assert [r.id for r in found.collect()] == ["2"]
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
