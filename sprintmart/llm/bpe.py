@@ -9,7 +9,8 @@ takes time in proportion to a pre-token's length, so a megabyte without a gap is
 Many short pre-tokens go through one queue together, which opens few buckets for many merges.
 
 The pattern splits a text into pre-tokens; one that is itself in the vocabulary is one token, as in
-the tiktoken library. A null text is an empty one and has no tokens. Workers keep the tokens of
+the tiktoken library. A null text is an empty one and has no tokens; repeated rows get equal ids, an empty table gives
+no rows. Workers keep the tokens of
 ``KEEP`` pre-tokens at most, of ``KEEP_CHARS`` characters each at most, which changes no result.
 """
 

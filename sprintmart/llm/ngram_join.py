@@ -18,8 +18,10 @@ The steps, all over whole texts:
 5. Every pair left is verified once, by intersecting the shared shingles.
 
 A text of fewer than five words has one shingle, its whole sequence; a text without words (or a null)
-has none and links with nothing. Repeated rows and ids are separate rows of one content. Shingles are
-told apart by at least 54 bits of a 64-bit hash and contents by 64 bits; all counts are exact apart from that.
+has none and links with nothing. Repeated rows and ids are separate rows of one content. A very long text is a piece of
+its own: its shingles go out by bucket like all others, and only those it shares come back as one row. Shingles are
+told apart by at least 54 bits and contents by 62 bits of hashes that are mixed from eight bytes at a time and rolled
+modulo two primes; all counts are exact apart from that.
 
 A hot shingle is one entry a content and a bucket, so it lies spread over as many rows as there
 are map tasks; a group of copies is one content; a group of near copies costs a star
@@ -373,12 +375,18 @@ def linked_contents(texts: DataFrame, n_shingles: int) -> DataFrame:
     return components(stars.unionByName(rest).toDF("u", "v")).toDF("key", "component")
 
 
+def row_key(doc_id: str, text: str) -> Column:
+    """128 bits of a row's id and text; a null differs from any value."""
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in (doc_id, text)]
+    return F.md5(F.concat(parts[0], F.lit("\n"), parts[1]))
+
+
 def near_duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row a document: ``doc_id``, ``n_shingles``, its content ``key`` (null without words), ``row_key`` (a hash of
-    id and text), the content that names its ``group`` (null without words), and ``component_id``, the smallest id
+    """One row a document: ``doc_id``, ``n_shingles``, its content ``key`` (null without words), :func:`row_key`
+    , the content that names its ``group`` (null without words), and ``component_id``, the smallest id
     reachable by links (its own for a text without words; null if no id of a component is known)."""
     rows = docs.select(
-        F.col(doc_id).alias("doc_id"), profile(F.col(text)).alias("p"), F.xxhash64(doc_id, text).alias("row_key")
+        F.col(doc_id).alias("doc_id"), profile(F.col(text)).alias("p"), row_key(doc_id, text).alias("row_key")
     )
     rows = stored(rows.select("doc_id", "p.key", "p.n_shingles", "row_key"), "profiles")
     n_shingles = rows.agg(F.sum("n_shingles")).first()[0] or 0
@@ -405,6 +413,6 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     )
     apart = groups.where("group IS NULL").select(F.col("row_key").alias("_row"), F.lit(False).alias("_grouped"))
     kept = stored(chosen.unionByName(apart).distinct(), "kept")
-    held = docs.select(F.struct(*docs.columns).alias("_doc"), F.xxhash64(doc_id, text).alias("_row")).join(kept, "_row")
+    held = docs.select(F.struct(*docs.columns).alias("_doc"), row_key(doc_id, text).alias("_row")).join(kept, "_row")
     turn = F.row_number().over(Window.partitionBy("_row").orderBy("_row"))
     return held.withColumn("_turn", turn).where("_turn = 1 OR NOT _grouped").select("_doc.*")

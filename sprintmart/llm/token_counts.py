@@ -12,7 +12,8 @@ from the vocabulary beforehand) only the leftmost place is merged in that round,
 would do. A sequence of more than ``LONG`` characters is merged with a heap, since its
 rounds would each touch the whole sequence.
 
-A null text is empty and has no tokens. Workers keep the counts of ``KEEP`` pre-tokens at most.
+A null text is empty and has no tokens. Repeated rows give equal counts, an empty table no rows, and a very long text
+is split like any other. Workers keep the counts of ``KEEP`` pre-tokens at most.
 """
 
 from __future__ import annotations

@@ -8,8 +8,9 @@ material it holds. Shares of windows above several gains feed a logistic calibra
 texts that had no part in the dictionary they are measured with.
 
 Everything is learned from a bounded sample of labelled rows: ``MAX_TOXIC`` and ``MAX_ORDINARY`` texts of at
-most ``MAX_TEXT`` bytes, chosen by a hash of their id. All texts are scored whole, in one pass without a
-shuffle. A null text is an empty one; it has one empty window, no gain, and the score that goes with
+most ``MAX_TEXT`` bytes, chosen by a hash of their id. The ordinary dictionary takes at most ``MAX_WINDOWS`` of their windows.
+All texts, very long ones as well, are scored whole, window by window, in one pass without a
+shuffle; repeated rows get equal scores. A null text is an empty one; it has one empty window, no gain, and the score that goes with
 that. Without labels of both kinds all scores are the prior of 0.5 (or 0 and 1 where one kind is
 missing), and a table without rows gives none.
 """
@@ -37,6 +38,8 @@ TOXIC_BYTES = 3 << 10
 MAX_TOXIC = 1500
 MAX_ORDINARY = 3000
 MAX_TEXT = 32 << 10
+#: Windows of the sample, chosen by a fixed shuffle, that the ordinary dictionary is trained on.
+MAX_WINDOWS = 40_000
 
 #: A telling run of bytes is in this share of the toxic texts at least, and its surplus there is so many
 #: standard errors; that number grows with the root of the sample, so it stands for one size of effect.
@@ -135,7 +138,7 @@ def train_dictionaries(toxic: list[str], ordinary: list[str]) -> Dictionaries:
     spans = [s for t in bad for s in telling_spans(t, grams)]
     rng.shuffle(spans)
     return Dictionaries(
-        _trained(ORDINARY_BYTES, base[:40_000], 64, 8), _trained(TOXIC_BYTES, spans, 24, 6) if spans else b""
+        _trained(ORDINARY_BYTES, base[:MAX_WINDOWS], 64, 8), _trained(TOXIC_BYTES, spans, 24, 6) if spans else b""
     )
 
 
