@@ -488,23 +488,30 @@ def repeated_spans(texts: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         .applyInArrow(_matches_of_bucket(buckets), _MATCH)
     )
     regions = stored(matches.groupBy("part").applyInArrow(_regions_of_part(min_words), _REGION).distinct(), "regions")
-    wanted = regions.select("key", "first", "last").unionByName(
-        regions.select(F.col("to").alias("key"), F.col("to_first").alias("first"), F.col("to_last").alias("last"))
+    # Stretches of a later text and of an earlier one are kept apart: each join moves its own kind only.
+    later = regions.select("key", "first", "last", F.lit(False).alias("earlier"))
+    wanted = later.unionByName(
+        regions.select(
+            F.col("to").alias("key"), F.col("to_first").alias("first"), F.col("to_last").alias("last"),
+            F.lit(True).alias("earlier"),
+        )
     )
     # Of an earlier text these are fixed pieces, and of a later one as many as its own chunks ask for.
     per_text = stored(
-        wanted.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("stretches")), "wanted"
+        wanted.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("first", "last", "earlier"))).alias("stretches")),
+        "wanted",
     )
     affected = texts.where(may_have(per_text, "key")(F.col("key")))
     cut = affected.join(per_text, "key").select("key", "stretches", cut_out(F.col("text"), F.col("stretches")).alias("c"))
     parts = stored(
         cut.select("key", F.explode(F.arrays_zip("stretches", "c")).alias("p"))
-        .select("key", "p.stretches.first", "p.stretches.last", F.col("p.c").alias("bytes"))
-        .dropDuplicates(["key", "first", "last"]),
+        .select("key", "p.stretches.first", "p.stretches.last", "p.stretches.earlier", F.col("p.c").alias("bytes"))
+        .dropDuplicates(["key", "first", "last", "earlier"]),
         "stretches",
     )
-    there = regions.join(parts.toDF("to", "to_first", "to_last", "y"), ["to", "to_first", "to_last"])
-    both = there.join(parts.withColumnRenamed("bytes", "x"), ["key", "first", "last"])
+    kind = lambda earlier, *names: parts.where(F.col("earlier") == earlier).drop("earlier").toDF(*names)
+    there = regions.join(kind(True, "to", "to_first", "to_last", "y"), ["to", "to_first", "to_last"])
+    both = there.join(kind(False, "key", "first", "last", "x"), ["key", "first", "last"])
     equal = both.select("key", "first", F.explode(compared(F.col("x"), F.col("y"), F.col("skip"), min_words)).alias("r"))
     spans = equal.select("key", (F.col("first") + F.col("r.a")).alias("a"), (F.col("first") + F.col("r.b")).alias("b"))
     return spans.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("spans"))

@@ -190,8 +190,11 @@ def test_each_stage_on_its_own_input(spark, corpus, tmp_path):
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 def test_every_operator_has_its_query(spark):
     names = entry.queries()
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
-    counts = {n: spark.read.parquet(f"{SF}/{'pages' if n == 'op6_warc' else 'documents'}.parquet").count() for n in queries.QUERIES}
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14)) and "pipeline" in names
+    rows = lambda table: spark.read.parquet(f"{SF}/{table}.parquet")
+    counts = {n: rows("pages" if n == "op6_warc" else "documents").count() for n in queries.QUERIES}
+    # A row for each vector and each of its first eight components.
+    counts["op12_whitening"] = 8 * rows("embeddings").where("embedding IS NOT NULL").count()
     assert {n: queries.QUERIES[n](spark, SF).count() for n in queries.QUERIES} == counts
 
 
