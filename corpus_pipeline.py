@@ -32,7 +32,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression-distance model rejects go. It learns from the labels of two thirds of
     the documents, as the single query does. Texts without words stay."""
     prepare(spark)
-    fold = F.crc32(F.col("doc_id").cast("string")) % 3
+    fold = F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(0)) % 3
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(fold != 1)
     model = toxicity.train(*toxicity.training_sample(docs, labels))
     score = toxicity.toxicity(F.col("text"), model)
