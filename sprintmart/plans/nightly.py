@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field, replace
 from datetime import date, datetime
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -42,7 +42,7 @@ from sprintmart.schemas import (
     TEAM_PAGE,
     WORKSPACE,
 )
-from sprintmart.session import require_utc
+from sprintmart.session import require_utc, together
 from sprintmart.sources.pages import read_pages, write_jsonl
 from sprintmart.sources.workspace import TreeRules
 
@@ -228,12 +228,14 @@ def run_night(
     cfg: Settings,
     keep: Stage | None = None,
     write: Callable[[Scd2Result, Scd2Spec], DataFrame] | None = None,
+    staged_all: Callable[[], None] = lambda: None,
 ) -> Night:
     """One night.
 
     Without ``keep`` the result is a set of lazy plans. ``keep`` may store each named table and
     return it read back; every step then starts from stored rows and nothing is computed twice. ``write``
-    stores a merge and returns the active rows, old and new.
+    stores a merge and returns the active rows, old and new; ``staged_all`` is called when all stages are stored,
+    before the first table made of them.
     """
     stage, keep = keep, keep or _as_is
     require_utc(landing.members.sparkSession)
@@ -245,14 +247,18 @@ def run_night(
     if cfg.duplicates == "error":
         for stg, spec in zip((staged.customers, staged.squads, staged.tasks), specs):
             require_unique(stg, spec)
+    staged_all()
 
     def merge(dim: DataFrame, stg: DataFrame, spec: Scd2Spec) -> tuple[Scd2Result, DataFrame]:
         merged = scd2_parts(dim, stg, spec, change=cfg.change, duplicates=cfg.duplicates, stage=stage)
         return merged, merged.written if write is None else write(merged, spec)
 
-    customer, customers = merge(previous.dim_customer, staged.customers, specs[0])
-    squad, squads = merge(previous.dim_squad, staged.squads, specs[1])
-    task, tasks = merge(previous.dim_task, staged.tasks, specs[2])
+    dims = (previous.dim_customer, previous.dim_squad, previous.dim_task)
+    stages = (staged.customers, staged.squads, staged.tasks)
+    # The three merges read and write tables of their own.
+    (customer, customers), (squad, squads), (task, tasks) = together(
+        landing.members.sparkSession, *(partial(merge, *parts) for parts in zip(dims, stages, specs))
+    )
     sprints = keep(cfg.calendar.dimension(landing.members.sparkSession), "dim_sprint")
     # A task belongs to the sprint of the day it was staged, in that sprint's own year. The rows
     # of this run carry the run's day, which near midnight is not the zone's.
@@ -301,15 +307,16 @@ def publish_night(landing: Landing, tables: Tables, cfg: Settings) -> Night:
         stored.append(name)
         return tables.stage(df, name)
 
-    def write(merged: Scd2Result, spec: Scd2Spec) -> DataFrame:
-        # All stages of a night are switched together, before the first table made of them.
+    def switch() -> None:
         tables.commit_stages(staged)
         staged.clear()
+
+    def write(merged: Scd2Result, spec: Scd2Spec) -> DataFrame:
         schema = {"dim_customer": DIM_CUSTOMER, "dim_squad": DIM_SQUAD, "dim_task": DIM_TASK}[spec.table]
         return tables.write_merge(merged, spec.table, spec.match_key[1], schema)
 
-    night = run_night(landing, previous, cfg, keep, write)
-    tables.commit_stages(staged)
+    night = run_night(landing, previous, cfg, keep, write, switch)
+    switch()
     counts = night.staged.rejected_counts()
     if counts:
         schema = "stage string, field string, n bigint"

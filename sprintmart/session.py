@@ -5,9 +5,15 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+T = TypeVar("T")
+
 
 def build_session(app: str = "sprintmart", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators count on.
@@ -38,6 +44,14 @@ def require_utc(spark: SparkSession) -> None:
         raise ValueError(f"the session time zone is {zone}, it must be UTC")
 
 
+def together(spark: SparkSession, *jobs: Callable[[], T]) -> list[T]:
+    """Results of jobs that do not depend on each other, run side by side, so that one's last tasks leave no cores idle;
+    the first error is raised when all have ended."""
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    return [r.result() for r in running]
+
+
 @functools.cache
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="sprintmart-")

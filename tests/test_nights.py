@@ -143,3 +143,19 @@ def test_the_hot_lists_of_the_queries_are_not_empty(spark):
     assert hot_keys(key_counts(d.lineitem, ["l_orderkey"]), ["l_orderkey"], relational.FEW).count() > 0
     assert hot_keys(key_counts(d.events, ["user_id"]), ["user_id"], relational.BUSY).count() > 0
     assert hot_keys(key_counts(d.sql(relational.LINES), relational.LINE_KEY), relational.LINE_KEY, 3).count() > 0
+
+
+def test_jobs_side_by_side(spark):
+    counts = session.together(spark, lambda: spark.range(5).count(), lambda: spark.range(7).count())
+    assert counts == [5, 7] and session.together(spark) == []
+    ended = []
+
+    def slow():
+        ended.append(spark.range(3).count())
+
+    def bad():
+        raise ValueError("broken")
+
+    with pytest.raises(ValueError, match="broken"):
+        session.together(spark, bad, slow)
+    assert ended == [3]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import re
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -45,3 +47,10 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_a_missing_library_leaves_only_the_corpus_queries_out():
+    code = "import sys; sys.modules['ahocorasick'] = None; import __spark_entry__ as e; print(*e.queries())"
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=root, capture_output=True, text=True, check=True)
+    assert set(QUERIES) == set(done.stdout.split())
