@@ -14,6 +14,9 @@ HIDDEN = 16
 GROUP = 32
 STEPS = 16
 
+#: Tokens whose output layer is worked out at once, so that it stays in a processor's own cache.
+BLOCK = 2048
+
 F4 = np.float32
 
 
@@ -69,9 +72,14 @@ class Network:
         kinds = self.classes(ids)
         # Tokens lie along the last axis, over which sums and exponentials run fastest.
         states = np.ascontiguousarray(h.T)
-        logits = p["c"].T @ states + p["cb"][:, None]
-        # States are bounded by one, so the logits need no shift to stay finite.
-        out = logits[kinds, np.arange(len(ids))] - np.log(np.exp(logits).sum(0))
+        out = np.empty(len(ids), F4)
+        for a in range(0, len(ids), BLOCK):
+            part = slice(a, a + BLOCK)
+            logits = p["c"].T @ states[:, part] + p["cb"][:, None]
+            # States are bounded by one, so the logits need no shift to stay finite.
+            out[part] = logits[kinds[part], np.arange(logits.shape[1])]
+            np.exp(logits, out=logits)
+            out[part] -= np.log(logits.sum(0))
         order = np.argsort(kinds, kind="stable")
         cuts = np.searchsorted(kinds[order], np.arange(self.groups + 1))
         states = states[:, order]
@@ -130,14 +138,21 @@ class Network:
         flat, ids = np.ascontiguousarray(np.concatenate(states).T), targets.ravel()
         scale = F4(1 / len(ids))
         kinds = self.classes(ids)
-        own = kinds, np.arange(len(ids))
-        prob = np.exp(p["c"].T @ flat + p["cb"][:, None])
-        prob /= prob.sum(0)
-        loss = -np.log(prob[own] + 1e-12).sum()
-        prob[own] -= 1
-        prob *= scale
-        g = {"c": flat @ prob.T, "cb": prob.sum(1), "w": np.zeros_like(p["w"]), "wb": np.zeros_like(p["wb"])}
-        dflat = p["c"] @ prob
+        loss = 0.0
+        g = {k: np.zeros_like(p[k]) for k in ("c", "cb", "w", "wb")}
+        dflat = np.empty_like(flat)
+        for a in range(0, len(ids), BLOCK):
+            part = flat[:, a : a + BLOCK]
+            prob = p["c"].T @ part
+            prob += p["cb"][:, None]
+            np.exp(prob, out=prob)
+            prob *= scale / prob.sum(0)
+            own = kinds[a : a + BLOCK], np.arange(part.shape[1])
+            loss -= np.log(prob[own] / scale + 1e-12).sum()
+            prob[own] -= scale
+            g["c"] += part @ prob.T
+            g["cb"] += prob.sum(1)
+            dflat[:, a : a + BLOCK] = p["c"] @ prob
         order = np.argsort(kinds, kind="stable")
         cuts = np.searchsorted(kinds[order], np.arange(self.groups + 1))
         sorted_states = flat[:, order[: cuts[-1]]]
