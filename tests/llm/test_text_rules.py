@@ -260,7 +260,7 @@ def test_an_item_without_an_id_hits_unnamed(spark, docs_of):
 def test_a_large_benchmark_is_one_automaton(spark, docs_of, words, monkeypatch):
     """A megabyte of items is scanned for in one pass; beyond its bound a benchmark is refused."""
     rng = random.Random(12)
-    texts = [" ".join(rng.choice(words) for _ in range(1_500)) for _ in range(100)]
+    texts = [" ".join(rng.choice(words) for _ in range(1_700)) for _ in range(100)]
     assert sum(map(len, texts)) > 1 << 20
     items = spark.createDataFrame([(f"i{k}", t) for k, t in enumerate(texts)], "item_id string, text string")
     passages = [" ".join(texts[k].split()[40 : 40 + n]) for k, n in ((3, 12), (5, 13), (7, 30))]
