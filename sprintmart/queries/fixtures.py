@@ -5,7 +5,7 @@ The flat statements run in both engines; Spark then nests them into the landed J
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame
@@ -236,11 +236,20 @@ def _field(name: str, kind: str, value: Column, options: Column | None = None) -
     ).cast(schemas.CUSTOM_FIELD)
 
 
+def list_name(day: Column) -> Column:
+    """The list that a task of a day is in."""
+    return F.concat(F.lit("Sprint "), sprint_index(day, FIRST_DAY).cast("string"), F.lit(" - 1995"))
+
+
 def task_records(d: Data) -> DataFrame:
     """Tasks in their nested form, with custom fields of every kind."""
-    t = d.sql(TASKS)
-    key = F.col("o_orderkey")
-    member = F.floor(F.col("o_custkey") / F.lit(14)).cast("bigint")
+    return d.sql(TASKS).select(*task_columns())
+
+
+def task_columns(of: Callable[[str], Column] = F.col) -> list[Column]:
+    """A task's nested form from its flat columns, which ``of`` finds by name."""
+    key, day, status, priority = of("o_orderkey"), of("day"), of("status"), of("priority")
+    member = F.floor(of("o_custkey") / F.lit(14)).cast("bigint")
     name = F.concat(F.lit("Supplier#"), F.lpad(member.cast("string"), 9, "0"))
     user = F.struct(
         member.alias("id"),
@@ -252,7 +261,6 @@ def task_records(d: Data) -> DataFrame:
     category = F.when(key % 10 == 9, F.lit("none")).when(key % 10 != 8, (key % 5).cast("string"))
     quality = F.when(key % 6 == 0, F.lit("8.0")).when(key % 6 < 4, (key % 10).cast("string"))
     service = F.concat(F.lit("Service "), key.cast("string"))
-    sprint = sprint_index(F.col("day"), FIRST_DAY)
     fields = F.array(
         _field("Reviewer", "users", listed),
         _field("Reviewer", "users", F.when(key % 4 == 0, F.lit("[]"))),
@@ -275,16 +283,14 @@ def task_records(d: Data) -> DataFrame:
             _options([f"Sprint {n:02d}" for n in range(1, SPRINT_OPTIONS + 1)]),
         ),
     )
-    ms = (F.unix_date("day").cast("bigint") * F.lit(86400000)).cast("string")
-    later = ((F.unix_date("day") + F.lit(10)).cast("bigint") * F.lit(86400000) - F.lit(1)).cast("string")
-    return t.select(
-        "id",
-        "name",
-        "description",
-        F.struct("status").alias("status"),
-        F.struct(F.col("priority_id").alias("id"), "priority").alias("priority"),
-        F.struct(F.concat(F.lit("Sprint "), sprint.cast("string"), F.lit(" - 1995")).alias("name")).alias("list"),
-        F.col("points").cast("double").alias("points"),
+    ms = (F.unix_date(day).cast("bigint") * F.lit(86400000)).cast("string")
+    later = ((F.unix_date(day) + F.lit(10)).cast("bigint") * F.lit(86400000) - F.lit(1)).cast("string")
+    return [
+        *(of(c).alias(c) for c in ("id", "name", "description")),
+        F.struct(status.alias("status")).alias("status"),
+        F.struct(of("priority_id").alias("id"), priority.alias("priority")).alias("priority"),
+        F.struct(list_name(day).alias("name")).alias("list"),
+        of("points").cast("double").alias("points"),
         ms.alias("start_date"),
         F.when(key % 3 != 0, later).alias("due_date"),
         F.when(key % 3 == 1, F.lit("12x")).alias("date_closed"),
@@ -295,4 +301,4 @@ def task_records(d: Data) -> DataFrame:
         .otherwise(F.array(user))
         .alias("assignees"),
         fields.alias("custom_fields"),
-    )
+    ]

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
+import threading
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
@@ -37,6 +39,35 @@ def build_session(app: str = "sprintmart", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+#: Whether the files of a statement's shuffles go when the statement ends. Else they stay until the driver happens to
+#: collect garbage, which a run of many statements may not see before its end.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_CLEANING: list[SparkSession] = []
+_CLEANING_LOCK = threading.Lock()
+
+
+@contextlib.contextmanager
+def brief_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the statements inside end with their statement, unless the session has a setting of its own.
+
+    For runs that store what they read again: a frame executed a second time would shuffle again.
+    """
+    with _CLEANING_LOCK:
+        # Nested and concurrent uses: the first sets it, the last takes it away.
+        mine = any(s is spark for s in _CLEANING) or spark.conf.get(_CLEANUP, "false") == "false"
+        if mine:
+            _CLEANING.append(spark)
+            spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        with _CLEANING_LOCK:
+            if mine:
+                del _CLEANING[next(i for i, s in enumerate(_CLEANING) if s is spark)]
+                if not any(s is spark for s in _CLEANING):
+                    spark.conf.unset(_CLEANUP)
+
+
 def require_utc(spark: SparkSession) -> None:
     """Fail early where zone-less source timestamps would be read in another zone."""
     zone = spark.conf.get("spark.sql.session.timeZone")

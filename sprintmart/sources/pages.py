@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,8 @@ from pyspark.sql import types as T
 
 
 _CORRUPT = "_corrupt_record"
+#: Lines of a compressed file at most.
+FILE_ROWS = 200_000
 
 
 def read_pages(spark: SparkSession, path: str, schema: T.StructType, required: str = "results") -> DataFrame:
@@ -105,11 +108,26 @@ def flatten_open(df: DataFrame, column: str, sep: str = ".") -> DataFrame:
     return flat.select(*[F.to_json(f"`{c}`").alias(c) if t == "variant" else F.col(f"`{c}`") for c, t in flat.dtypes])
 
 
-def write_jsonl(df: DataFrame, path: str, by: str | None = None) -> None:
-    """JSON lines; with ``by`` in a folder for each of its values, which readers see as a column."""
+def write_jsonl(
+    df: DataFrame,
+    path: str,
+    by: str | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
+    compression: str | None = None,
+) -> None:
+    """JSON lines; with ``by`` in a folder for each of its values, which readers see as a column.
+
+    ``finish`` makes the written columns, ``by`` among them, of rows that are in their place already: what is small
+    before it and large after it is moved and sorted while it is small. A file compressed with a codec that cannot be
+    split is read by one task, so it holds at most ``FILE_ROWS`` lines.
+    """
     if by is not None:
         df = df.hint("rebalance", by)
+        df = df if finish is None else df.sortWithinPartitions(by)
+    df = df if finish is None else finish(df)
     writer = df.write.mode("overwrite").option("ignoreNullFields", "false")
+    if compression is not None:
+        writer = writer.options(compression=compression, maxRecordsPerFile=FILE_ROWS)
     (writer if by is None else writer.partitionBy(by)).json(path)
 
 
