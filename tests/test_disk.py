@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sprintmart.queries import fixtures as fx
 from sprintmart.queries import marts
 from sprintmart.queries.registry import Data
-from sprintmart.session import _CLEANUP, brief_shuffles
+from sprintmart.session import _CLEANUP, brief_shuffles, release_driver
 
 ORDERS = 1500
 
@@ -101,3 +101,31 @@ def test_a_setting_of_the_session_stays(spark):
     finally:
         spark.conf.unset(_CLEANUP)
     assert spark.conf.get(_CLEANUP, "false") == "false"
+
+
+def full_collections(spark) -> int:
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    return sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+
+
+def test_the_driver_gives_back_frames_that_nothing_refers_to(spark):
+    frame = spark.range(10)
+    frame.itself = frame  # a cycle, as tracebacks and closures leave them
+    plan = spark._jvm.java.lang.ref.WeakReference(frame._jdf)
+    release_driver(spark)
+    assert plan.get() is not None
+    del frame
+    for _ in range(20):
+        release_driver(spark)
+        if plan.get() is None:
+            break
+        time.sleep(0.1)  # py4j lets go of an object in a thread of its own
+    assert plan.get() is None
+
+
+def test_a_night_gives_the_drivers_memory_back_after_each_step(spark, small):
+    before = full_collections(spark)
+    tables, night = marts.publish(small)
+    assert night.fact_rows.count() >= 0
+    # Nine pages landed together, some twenty stored tables and three merges.
+    assert full_collections(spark) - before >= 20
