@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from sprintmart.llm import recurrent
 from sprintmart.llm.flat import mix
-from sprintmart.llm.kept import claim
+from sprintmart.llm.kept import claim, release
 from sprintmart.llm.stored import stored
 
 WORDS = 1024
@@ -49,6 +49,12 @@ RATE = 0.02
 #: A block ends with the text that brings it to so many bytes.
 BLOCK_BYTES = 32 << 20
 
+#: In a block's tokens, a word whose number is this or more; those numbers follow in a column of their own.
+WIDE = 0xFFFF
+
+#: Tokens whose values are summed at once.
+SUMMED = 1 << 20
+
 #: The token at the end of each text; no word has white space.
 END = "\n"
 
@@ -56,15 +62,28 @@ _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuv
 
 _BLOCK = (
     "block bigint, doc_ids array<bigint>, hashes array<bigint>, train array<boolean>, lengths array<bigint>, tokens binary,"
-    " words array<string>, counts array<bigint>"
+    " wide binary, words array<string>, counts array<bigint>"
 )
 _BLOCK_FIELDS = pa.schema(
     [("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("hashes", pa.list_(pa.int64())),
-     ("train", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int64())), ("tokens", pa.binary()), ("words", pa.list_(pa.string())),
+     ("train", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int64())), ("tokens", pa.binary()), ("wide", pa.binary()), ("words", pa.list_(pa.string())),
      ("counts", pa.list_(pa.int64()))]
 )
 
 
+def narrowed(tokens: np.ndarray) -> tuple[bytes, bytes]:
+    """Word numbers in two bytes each, and those that need more. Words are numbered as they appear, so few do, and the
+    row of a block, which is moved and copied as a whole, is half as long."""
+    large = tokens >= WIDE
+    return np.where(large, WIDE, tokens).astype("<u2").tobytes(), tokens[large].astype("<u4").tobytes()
+
+
+def widened(low: bytes | pa.Buffer, wide: bytes | pa.Buffer) -> np.ndarray:
+    tokens = np.frombuffer(low, "<u2").astype(np.uint32)
+    tokens[tokens == WIDE] = np.frombuffer(wide, "<u4")
+    return tokens
+
+
 def blocks(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, text, train) in blocks: texts as numbers of the block's words, and how often its training
     texts have each word."""
@@ -80,10 +99,11 @@ def blocks(docs: DataFrame) -> DataFrame:
             nonlocal size, count
             tokens = np.concatenate(texts)
             lengths = np.array([len(t) for t in texts])
+            texts.clear()
             counts = np.bincount(tokens[np.repeat(np.array(train), lengths)], minlength=len(number))
-            row = (part << 32 | count, docs_[:], hashes[:], train[:], lengths, tokens.astype("<u4").tobytes(),
+            row = (part << 32 | count, docs_[:], hashes[:], train[:], lengths, *narrowed(tokens),
                    [w.decode() for w in number], counts)
-            for kept in (docs_, hashes, train, texts):
+            for kept in (docs_, hashes, train):
                 kept.clear()
             number.clear()
             number[END.encode()] = 0
@@ -106,6 +126,7 @@ def blocks(docs: DataFrame) -> DataFrame:
                 size += len(raw) + 1
                 if size >= BLOCK_BYTES:
                     yield close()
+                    release()
         if texts:
             yield close()
 
@@ -170,6 +191,19 @@ _ENCODED_FIELDS = pa.schema(
 )
 
 
+def _sums(values: np.ndarray, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The sum of its tokens' values for each text, some texts at a time."""
+    ends = np.cumsum(lengths)
+    cuts = np.flatnonzero(np.diff(ends // SUMMED)) + 1
+    out, at = [], 0
+    for some in np.split(lengths, cuts):
+        to = at + int(some.sum())
+        owner = np.repeat(np.arange(len(some)), some)
+        out.append(np.bincount(owner, weights=values[tokens[at:to]], minlength=len(some)))
+        at = to
+    return np.concatenate(out)
+
+
 def encoded(packed: DataFrame, counts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Blocks in model ids, with what needs no network: known tokens, the unigram score (log10), and the log
     probability of rare words within their classes."""
@@ -177,30 +211,31 @@ def encoded(packed: DataFrame, counts: DataFrame, vocabulary: Vocabulary) -> Dat
     answered = asked.join(counts, "word").select("asker", "at", "c")
 
     def encode(left: pa.Table, right: pa.Table) -> pa.Table:
+        claim("lm_scores")
         out = []
-        for row in left.to_pylist():
-            words = [w.encode() for w in row["words"]]
+        for i, row in enumerate(left.select(["block", "doc_ids", "hashes", "train"]).to_pylist()):
+            cell = lambda name, i=i: left.column(name)[i]
+            words = cell("words").values.cast(pa.binary()).to_pylist()
             count = np.zeros(len(words), np.int64)
             count[right.column("at").to_numpy()] = right.column("c").to_numpy()
             model = vocabulary.ids(words)
+            del words
             base = np.log10((count + 0.5) / (vocabulary.total + 0.5 * (vocabulary.size + 1)))
             tail = np.maximum(model - len(vocabulary.frequent), 0)
             inside = np.log((count + 0.5) / (vocabulary.mass[tail] + 0.5 * (vocabulary.kinds[tail] + 1)))
             inside[model < len(vocabulary.frequent)] = 0
-            tokens = np.frombuffer(row["tokens"], "<u4")
-            lengths = np.array(row["lengths"])
-            owner = np.repeat(np.arange(len(lengths)), lengths)
-            known, low, rest = (
-                np.bincount(owner, weights=v[tokens], minlength=len(lengths)) for v in (count > 0, base, inside)
-            )
-            out.append((row["block"], row["doc_ids"], row["hashes"], row["train"], lengths, model[tokens].astype("<u2").tobytes(),
+            tokens = widened(cell("tokens").as_buffer(), cell("wide").as_buffer())
+            lengths = cell("lengths").values.to_numpy()
+            known, low, rest = (_sums(v, tokens, lengths) for v in (count > 0, base, inside))
+            out.append((row["block"], row["doc_ids"], row["hashes"], row["train"], lengths, model.astype("<u2")[tokens].tobytes(),
                         known.astype(np.int64), low, rest))
         columns = list(zip(*out, strict=True)) or [()] * len(_ENCODED_FIELDS)
         return pa.table(
             [pa.array(list(c), f.type) for c, f in zip(columns, _ENCODED_FIELDS, strict=True)], schema=_ENCODED_FIELDS
         )
 
-    return packed.groupBy("block").cogroup(answered.groupBy("asker")).applyInArrow(encode, _ENCODED)
+    # Counts are the largest column after the tokens and words, and nothing here reads them.
+    return packed.drop("counts").groupBy("block").cogroup(answered.groupBy("asker")).applyInArrow(encode, _ENCODED)
 
 
 _PART = "part bigint, h bigint, ids binary"
